@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import reduce
+import json
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from venturelens import vocabulary as V
 
-# The characters Python's str.strip() removes; the same class is valid in Java and RE2.
+# The characters Python's str.strip() removes, as text and as a class valid in Java and RE2.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 SPACE = (
     r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -18,20 +21,23 @@ SPACE = (
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
-def any_of(text: Column, words: Sequence[str]) -> Column:
-    """True where one of ``words`` is a substring (case as given)."""
+def string_array(words: Sequence[str]) -> Column:
+    """A literal array (one split of one literal, folded to a constant by the optimizer)."""
     if not words:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
+        return F.array().cast("array<string>")
+    return F.split(F.lit("\x1f".join(words)), "\x1f")
 
 
-def string_array(words: Sequence[str]) -> Column:
+def any_of(text: Column, words: Sequence[str]) -> Column:
+    """True where one of ``words`` is a substring (case as given)."""
     if not words:
-        return F.array().cast("array<string>")
-    return F.array(*[F.lit(w) for w in words])
+        return F.lit(False)
+    if len(words) == 1:
+        return F.contains(text, F.lit(words[0]))
+    return F.exists(string_array(words), lambda w: F.contains(text, w))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -43,128 +49,110 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def keyword_sentences(text: Column, words: Sequence[str], limit: int = 10) -> Column:
+def keyword_sentences(text: Column, words: Sequence[str] | Column, limit: int | Column = 10) -> Column:
     """Sentences holding a keyword, the first ``limit`` of them, as ``a. b.``; else an empty string."""
-    lowered = [w.lower() for w in words]
+    if not isinstance(words, Column):
+        words = string_array([w.lower() for w in words])
     sentences = F.transform(
         F.split(F.coalesce(text, F.lit("")), r"[.!?]+", -1),
         lambda s: F.struct(s.alias("raw"), F.lower(s).alias("low")),
     )
-    hits = F.filter(sentences, lambda s: any_of(s["low"], lowered))
+    hits = F.filter(sentences, lambda s: F.exists(words, lambda w: F.contains(s["low"], w)))
     kept = F.filter(F.transform(hits, lambda s: strip(s["raw"])), lambda s: s != "")
-    closed = F.transform(F.slice(kept, 1, limit), lambda s: F.concat(s, F.lit(".")))
+    limit = limit if isinstance(limit, Column) else F.lit(limit)
+    closed = F.transform(F.slice(kept, F.lit(1), limit), lambda s: F.concat(s, F.lit(".")))
     return F.array_join(closed, " ")
 
 
-def cut_at_sentence(text: Column, n: int) -> Column:
+def cut_at_sentence(text: Column, n: int | Column) -> Column:
     """The first ``n`` characters, back to the last full stop in them; ``...`` if there is none."""
+    n = n if isinstance(n, Column) else F.lit(n)
 
     def shorten(head: Column) -> Column:
-        end = F.lit(n + 1) - F.instr(F.reverse(head), ".")
+        end = n + 1 - F.instr(F.reverse(head), ".")
         return F.when((end > 1) & (end <= n), F.substring(head, F.lit(1), end)).otherwise(
             F.concat(head, F.lit("..."))
         )
 
-    return F.when(F.length(text) <= n, text).otherwise(let(F.substring(text, 1, n), shorten))
-
-
-def _or_cut(selected: Column, text: Column, n: int) -> Column:
-    return F.coalesce(let(selected, lambda s: F.when(s != "", s)), cut_at_sentence(text, n))
-
-
-def _labelled(label: str, selected: Column) -> Column:
-    """``label`` + text, or null where nothing was selected (concat_ws then skips it)."""
-    return let(selected, lambda s: F.when(s != "", F.concat(F.lit(label), s)))
-
-
-def homepage_text(text: Column) -> Column:
-    return cut_at_sentence(text, 2500)
-
-
-def about_text(
+    return F.when(F.length(text) <= n, text).otherwise(let(F.substring(text, F.lit(1), n), shorten))
+
+
+# Per page type: characters to keep, keyword picks (label, word list, sentences), and whether the
+# kept characters stand before the picks (``both``) or only replace missing ones.
+RULES: dict[str, dict] = {
+    "homepage": {"cut": 2500},
+    "about": {"cut": 3500, "both": True, "picks": [("Locations: ", "location", 5), ("Leadership: ", "leadership", 10)]},
+    "blog": {"cut": 2000, "picks": [("", "funding", 8)]},
+    "press": {"cut": 2000, "picks": [("", "funding", 10)]},
+    "careers": {"cut": 1500, "picks": [("Headcount info: ", "headcount", 5), ("Locations: ", "location", 5)]},
+    "product": {"cut": 4000, "picks": [("", "product", 15)]},
+    "pricing": {"cut": 4000},
+    "customers": {"cut": 2000, "picks": [("", "customer", 10)]},
+    "partners": {"cut": 2000},
+    "team": {"cut": 4000, "picks": [("", "leadership", 20)]},
+}
+OTHER_RULE = {"cut": 2000}
+WORD_LISTS = {
+    "funding": V.FUNDING_WORDS,
+    "headcount": V.HEADCOUNT_WORDS,
+    "location": V.LOCATION_WORDS,
+    "product": V.PRODUCT_WORDS,
+    "customer": V.CUSTOMER_WORDS,
+    "leadership": V.LEADERSHIP_WORDS,
+}
+_RULE_TYPE = "struct<cut:int,both:boolean,picks:array<struct<label:string,words:array<string>,n:int>>>"
+
+
+def _rule_json(rule: Mapping, lists: Mapping[str, Sequence[str]]) -> dict:
+    picks = [
+        {"label": label, "words": [w.lower() for w in lists[name]], "n": n}
+        for label, name, n in rule.get("picks", [])
+    ]
+    return {"cut": rule["cut"], "both": rule.get("both", False), "picks": picks}
+
+
+def selected_text(
+    page_type: Column,
     text: Column,
-    locations: Sequence[str] = V.LOCATION_WORDS,
-    leaders: Sequence[str] = V.LEADERSHIP_WORDS,
+    words: Mapping[str, Sequence[str]] | None = None,
+    rules: Mapping[str, Mapping] = RULES,
+    other: Mapping = OTHER_RULE,
 ) -> Column:
-    return F.concat_ws(
-        "\n\n",
-        cut_at_sentence(text, 3500),
-        _labelled("Locations: ", keyword_sentences(text, locations, 5)),
-        _labelled("Leadership: ", keyword_sentences(text, leaders, 10)),
-    )
+    """The text kept by the rule of the row's page type.
 
+    The rules are one literal table looked up by page type, so the plan holds a single
+    expression however many types there are. ``words`` replaces word lists by name.
+    """
+    lists = {**WORD_LISTS, **(words or {})}
+    table = {kind: _rule_json(rule, lists) for kind, rule in rules.items()}
+    known = F.from_json(F.lit(json.dumps(table)), f"map<string,{_RULE_TYPE}>")
+    default = F.from_json(F.lit(json.dumps(_rule_json(other, lists))), _RULE_TYPE)
+
+    def apply(rule: Column) -> Column:
+        picks = F.transform(
+            rule["picks"],
+            lambda p: let(
+                keyword_sentences(text, p["words"], p["n"]),
+                lambda s: F.when(s != "", F.concat(p["label"], s)),
+            ),
+        )
+        head = cut_at_sentence(text, rule["cut"])
 
-def blog_text(text: Column, words: Sequence[str] = V.FUNDING_WORDS) -> Column:
-    return _or_cut(keyword_sentences(text, words, 8), text, 2000)
-
-
-def press_text(text: Column, words: Sequence[str] = V.FUNDING_WORDS) -> Column:
-    return _or_cut(keyword_sentences(text, words, 10), text, 2000)
-
-
-def careers_text(
-    text: Column,
-    headcount: Sequence[str] = V.HEADCOUNT_WORDS,
-    locations: Sequence[str] = V.LOCATION_WORDS,
-) -> Column:
-    selected = F.concat_ws(
-        "\n\n",
-        _labelled("Headcount info: ", keyword_sentences(text, headcount, 5)),
-        _labelled("Locations: ", keyword_sentences(text, locations, 5)),
-    )
-    return _or_cut(selected, text, 1500)
-
-
-def product_text(text: Column, words: Sequence[str] = V.PRODUCT_WORDS) -> Column:
-    return _or_cut(keyword_sentences(text, words, 15), text, 4000)
-
-
-def pricing_text(text: Column) -> Column:
-    return cut_at_sentence(text, 4000)
-
-
-def partners_text(text: Column) -> Column:
-    return cut_at_sentence(text, 2000)
-
-
-def customers_text(text: Column, words: Sequence[str] = V.CUSTOMER_WORDS) -> Column:
-    return _or_cut(keyword_sentences(text, words, 10), text, 2000)
-
+        def combine(found: Column) -> Column:
+            return (
+                F.when(rule["both"], F.concat_ws("\n\n", head, found))
+                .when(F.size(found) > 0, F.concat_ws("\n\n", found))
+                .otherwise(head)
+            )
 
-def team_text(text: Column, words: Sequence[str] = V.LEADERSHIP_WORDS) -> Column:
-    return _or_cut(keyword_sentences(text, words, 20), text, 4000)
+        return let(F.filter(picks, lambda x: x.isNotNull()), combine)
 
+    return let(F.coalesce(F.try_element_at(known, page_type), default), apply)
 
-def selected_text(page_type: Column, text: Column, words: dict[str, Sequence[str]] | None = None) -> Column:
-    """The rule of the row's page type; unknown types keep 2,000 characters.
 
-    ``words`` may replace a keyword list: funding, headcount, location, product, customer, leadership.
-    """
-    w = {
-        "funding": V.FUNDING_WORDS,
-        "headcount": V.HEADCOUNT_WORDS,
-        "location": V.LOCATION_WORDS,
-        "product": V.PRODUCT_WORDS,
-        "customer": V.CUSTOMER_WORDS,
-        "leadership": V.LEADERSHIP_WORDS,
-        **(words or {}),
-    }
-    rules = {
-        "homepage": homepage_text(text),
-        "about": about_text(text, w["location"], w["leadership"]),
-        "blog": blog_text(text, w["funding"]),
-        "press": press_text(text, w["funding"]),
-        "careers": careers_text(text, w["headcount"], w["location"]),
-        "product": product_text(text, w["product"]),
-        "pricing": pricing_text(text),
-        "customers": customers_text(text, w["customer"]),
-        "partners": partners_text(text),
-        "team": team_text(text, w["leadership"]),
-    }
-    chain = None
-    for kind, rule in rules.items():
-        chain = F.when(page_type == kind, rule) if chain is None else chain.when(page_type == kind, rule)
-    return chain.otherwise(cut_at_sentence(text, 2000))
+def rule_text(page_type: str, text: Column, words: Mapping[str, Sequence[str]] | None = None) -> Column:
+    """The rule of one page type applied to every row."""
+    return selected_text(F.lit(page_type), text, words)
 
 
 def token_estimate(chars: Column) -> Column:

@@ -13,11 +13,10 @@ from venturelens.functions import text as tx
 
 def select_pages(pages: DataFrame, words: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """Adds ``selected``, the text kept by the page type's rule; pages without text are dropped."""
-    return (
-        pages.filter(F.length("text") > 0)
-        .withColumn("selected", tx.selected_text(F.col("page_type"), F.col("text"), words))
-        .filter(F.length("selected") > 0)
-    )
+    selected = tx.selected_text(F.col("page_type"), F.col("text"), words)
+    # One generated row or none: a filter on the new column would evaluate the rules twice.
+    kept = F.filter(F.array(selected), lambda s: F.length(s) > 0)
+    return pages.filter(F.length("text") > 0).select("*", F.explode(kept).alias("selected"))
 
 
 def reduction_stats(pages: DataFrame, key: str = "company_id") -> DataFrame:

@@ -16,6 +16,16 @@ def fits_broadcast(df: DataFrame, row_bytes: int) -> bool:
     return df.select(F.lit(1)).limit(bound + 1).count() <= bound
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartitions a source with fewer splits than cores, ahead of costly per-row work.
+
+    So few splits also mean little data (splits are at most maxPartitionBytes); a source with
+    enough splits stays as it is and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def salt_of(parts: Sequence[str], salts: int) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(salts)).cast("int")
 

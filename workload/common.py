@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from venturelens import vocabulary as V
-from venturelens.functions.text import SPACE
+from venturelens.functions.text import SPACES
+from venturelens.operators.skew import spread
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -25,6 +26,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:
+    """A table of wide text rows, spread over the cores where its files give fewer splits than cores."""
+    return spread(table(spark, sf, name), key)
+
+
 # The driver's prose holds none of the default keywords, so queries pass words that occur in it.
 WORDS = {
     "funding": ["then", "with", "pour"],
@@ -39,7 +45,7 @@ PAGE_KINDS = [*V.PAGE_TYPES, "other"]
 
 def company_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as pages: eleven consecutive documents are one company, one page type each."""
-    d = table(spark, sf, "documents")
+    d = text_table(spark, sf, "documents", "doc_id")
     kinds = F.array(*[F.lit(k) for k in PAGE_KINDS])
     return d.select(
         F.concat(F.lit("c"), F.floor(F.col("doc_id") / 11).cast("string")).alias("company_id"),
@@ -66,7 +72,7 @@ pages_ as (
 
 
 def sql_strip(x: str) -> str:
-    return f"regexp_replace({x}, '^{SPACE}+|{SPACE}+$', '', 'g')"
+    return f"trim({x}, '{SPACES}')"
 
 
 def sql_any(low: str, words: Sequence[str]) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from venturelens import vocabulary as V
 from venturelens.functions import text as tx
 from venturelens.operators import records, selection
-from workload.common import PAGES_CTE, WORDS, company_pages, query, sql_cut, sql_sentences, table
+from workload.common import PAGES_CTE, WORDS, company_pages, query, sql_cut, sql_sentences, table, text_table
 
 
 def _or_cut(sel: str, n: int) -> str:
@@ -44,7 +44,7 @@ SELECTED_CTE = (
     f"select doc_id, {sql_sentences('text', ['the', 'und', 'para'], 10)} as selected from documents",
 )
 def e01(spark, sf):
-    d = table(spark, sf, "documents")
+    d = text_table(spark, sf, "documents", "doc_id")
     return d.select("doc_id", tx.keyword_sentences(F.col("text"), ["the", "und", "para"], 10).alias("selected"))
 
 
@@ -53,23 +53,23 @@ def e02(spark, sf):
     return table(spark, sf, "documents").select("doc_id", tx.cut_at_sentence(F.col("text"), 500).alias("cut"))
 
 
-def _rule(name, ident, column):
+def _rule(name, ident):
     @query(f"{ident}_{name}_rule", f"select doc_id, {RULES_SQL[name]} as selected from documents where length(text) > 0")
     def run(spark, sf):
-        d = table(spark, sf, "documents").filter(F.length("text") > 0)
-        return d.select("doc_id", column(F.col("text")).alias("selected"))
-
-
-_rule("homepage", "e03", tx.homepage_text)
-_rule("about", "e04", lambda t: tx.about_text(t, WORDS["location"], WORDS["leadership"]))
-_rule("blog", "e05", lambda t: tx.blog_text(t, WORDS["funding"]))
-_rule("press", "e06", lambda t: tx.press_text(t, WORDS["funding"]))
-_rule("careers", "e07", lambda t: tx.careers_text(t, WORDS["headcount"], WORDS["location"]))
-_rule("product", "e08", lambda t: tx.product_text(t, WORDS["product"]))
-_rule("pricing", "e09", tx.pricing_text)
-_rule("partners", "e09b", tx.partners_text)
-_rule("customers", "e10", lambda t: tx.customers_text(t, WORDS["customer"]))
-_rule("team", "e11", lambda t: tx.team_text(t, WORDS["leadership"]))
+        d = text_table(spark, sf, "documents", "doc_id").filter(F.length("text") > 0)
+        return d.select("doc_id", tx.rule_text(name, F.col("text"), WORDS).alias("selected"))
+
+
+_rule("homepage", "e03")
+_rule("about", "e04")
+_rule("blog", "e05")
+_rule("press", "e06")
+_rule("careers", "e07")
+_rule("product", "e08")
+_rule("pricing", "e09")
+_rule("partners", "e09b")
+_rule("customers", "e10")
+_rule("team", "e11")
 
 
 @query("e12_select_pages", f"with {SELECTED_CTE} select doc_id, company_id, page_type, selected from selected_")
