@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,17 +117,64 @@ def embed(df: DataFrame, model: Callable[[], Callable[[list[str]], list[list[flo
 # --- search --------------------------------------------------------------------------
 
 
-def _scored(chunks: DataFrame, queries: DataFrame, keys: Sequence[str], id_: str, size: int | None, salts: int) -> DataFrame:
-    q = queries.withColumnRenamed("embedding", "_q")
-    row_bytes = 64 + 8 * (size or 1024)
-    if fits_broadcast(q, row_bytes):
-        joined = chunks.join(F.broadcast(q), list(keys))
-    else:
-        # A hot company's chunks are spread over the salts; its queries are repeated for each.
-        repeated = q.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = chunks.withColumn("_salt", salt_of([id_], salts)).join(repeated, [*keys, "_salt"]).drop("_salt")
-    score = vx.dot(F.col("embedding"), F.col("_q"), size)
-    return joined.withColumn("score", score).drop("embedding", "_q")
+# Scores are compared at nine decimals, so equal vectors tie whatever order a sum is built in.
+SCORE_DIGITS = 9
+
+
+def _best_of_batches(
+    chunks: DataFrame, queries: DataFrame, k: int, company: str, query: str, id_: str
+) -> DataFrame:
+    """Per Arrow batch, company and query the chunks that may be among the top ``k``.
+
+    The query vectors (few, counted before) travel with the function; chunk vectors are scored as
+    one matrix product per batch and company, and only the best ``k`` (with ties) leave the task.
+    """
+    tables: dict = {}
+    for row in queries.select(company, F.col(query).cast("bigint"), "embedding").collect():
+        numbers, rows = tables.setdefault(row[0], ([], []))
+        numbers.append(row[1])
+        rows.append(row[2])
+    tables = {c: (np.array(n), np.array(v, dtype="float64")) for c, (n, v) in tables.items()}
+    kind = {c: chunks.schema[c].dataType.simpleString() for c in (company, id_)}
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, keys = batch.column(0), batch.column(1)
+            vectors = batch.column(2)
+            matrix = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+            groups = names.dictionary_encode()
+            codes = groups.indices.to_numpy(zero_copy_only=False)
+            for code, name in enumerate(groups.dictionary.to_pylist()):
+                if name not in tables:
+                    continue
+                numbers, wanted = tables[name]
+                rows = np.flatnonzero(codes == code)
+                scores = np.round(matrix[rows].astype("float64") @ wanted.T, SCORE_DIGITS)
+                if len(rows) > k:
+                    bar = np.partition(scores, len(rows) - k, axis=0)[len(rows) - k]
+                    at, of = np.nonzero(scores >= bar)
+                else:
+                    at, of = np.divmod(np.arange(scores.size), scores.shape[1])
+                picked = pa.array(rows[at])
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(picked), keys.take(picked), pa.array(numbers[of]), pa.array(scores[at, of])],
+                    names=[company, id_, query, "score"],
+                )
+
+    full = chunks.select(company, id_, "embedding").filter(F.col(company).isNotNull() & (F.size("embedding") > 0))
+    return full.mapInArrow(
+        best, f"`{company}` {kind[company]}, `{id_}` {kind[id_]}, `{query}` bigint, score double"
+    )
+
+
+def _all_pairs(chunks: DataFrame, queries: DataFrame, company: str, query: str, id_: str, salts: int) -> DataFrame:
+    """Scores by a salted equi-join: a hot company's chunks are spread, its queries repeated per salt."""
+    repeated = queries.select(company, query, F.col("embedding").alias("_q")).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    )
+    joined = chunks.withColumn("_salt", salt_of([id_], salts)).join(repeated, [company, "_salt"])
+    score = F.round(vx.dot(F.col("embedding"), F.col("_q")), SCORE_DIGITS)
+    return joined.select(company, id_, F.col(query).cast("bigint").alias(query), score.alias("score"))
 
 
 def search_company(
@@ -135,28 +184,29 @@ def search_company(
     company: str = "company",
     query: str = "query_no",
     id_: str = "chunk_key",
-    size: int | None = None,
+    size: int = 1024,
     salts: int = 32,
 ) -> DataFrame:
-    """Top ``k`` chunks of each query among the chunks of the query's own company.
+    """Top ``k`` chunks of each query among the chunks of the query's own company (ties: lowest id).
 
-    The company is an equi-join key, so it filters before anything is ranked; the content is not
-    needed to rank and should be joined to the winners afterwards.
+    Companies are matched before anything is ranked, and only ids and scores are ranked; content is
+    joined to the winners afterwards. Up to 64 MB of query vectors (``size`` numbers each) are sent
+    to the tasks; more go through a shuffle join.
     """
-    scored = _scored(chunks, queries, [company], id_, size, salts)
-    return top_per_group(scored, [company, query], [F.col("score").desc(), F.col(id_)], k, [id_])
+    if fits_broadcast(queries, 64 + 8 * size):
+        scored, salts = _best_of_batches(chunks, queries, k, company, query, id_), 1
+    else:
+        scored = _all_pairs(chunks, queries, company, query, id_, salts)
+    return top_per_group(scored, [company, query], [F.col("score").desc(), F.col(id_)], k, [id_], salts=salts)
 
 
 def search_all(
-    chunks: DataFrame, vector: Column | Sequence[float], k: int = 5, id_: str = "chunk_key", size: int | None = None
+    chunks: DataFrame, vector: Sequence[float], k: int = 5, id_: str = "chunk_key"
 ) -> DataFrame:
     """Top ``k`` over the whole store for one query vector (TakeOrderedAndProject: k rows per task).
-
-    ``vector`` is a list of numbers or a scalar-subquery column (``df.scalar()``).
     """
-    if not isinstance(vector, Column):
-        size, vector = len(vector), F.array(*[F.lit(float(x)) for x in vector])
-    score = vx.dot(F.col("embedding"), vector, size)
+    terms = F.array(*[F.lit(float(x)) for x in vector])
+    score = F.round(vx.dot(F.col("embedding"), terms), SCORE_DIGITS)
     return chunks.withColumn("score", score).drop("embedding").orderBy(F.col("score").desc(), id_).limit(k)
 
 

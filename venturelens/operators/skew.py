@@ -64,14 +64,17 @@ def top_per_group(
 
     Two rounds: ``n`` per (key, salt), then ``n`` per key. Map tasks keep ``n`` rows per group
     before each shuffle (WindowGroupLimit), so the last task of a hot key sees salts x n rows.
+    ``salts=1`` is the single round, for input that is already small per key.
     """
-    first = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    cut = (
-        df.withColumn("_salt", salt_of(spread, salts))
-        .withColumn("_r", F.row_number().over(first))
-        .filter(F.col("_r") <= n)
-        .drop("_r", "_salt")
-    )
+    cut = df
+    if salts > 1:
+        first = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        cut = (
+            df.withColumn("_salt", salt_of(spread, salts))
+            .withColumn("_r", F.row_number().over(first))
+            .filter(F.col("_r") <= n)
+            .drop("_r", "_salt")
+        )
     last = Window.partitionBy(*keys).orderBy(*order)
     return cut.withColumn(rank, F.row_number().over(last)).filter(F.col(rank) <= n)
 

@@ -19,7 +19,7 @@ def build_index(files: DataFrame, model: Callable) -> DataFrame:
 
 
 def retrieve(
-    store: DataFrame, queries: DataFrame, k: int = 3, top_k: int = 15, size: int | None = None
+    store: DataFrame, queries: DataFrame, k: int = 3, top_k: int = 15, size: int = 1024
 ) -> DataFrame:
     """Top ``k`` per query, equal contents once, at most ``top_k`` per company.
 
@@ -33,5 +33,5 @@ def retrieve(
     return rt.cap_hits(rt.dedupe_ordered(hits), top_k)
 
 
-def contexts(companies: DataFrame, store: DataFrame, queries: DataFrame, k: int = 3, top_k: int = 15, size: int | None = None) -> DataFrame:
+def contexts(companies: DataFrame, store: DataFrame, queries: DataFrame, k: int = 3, top_k: int = 15, size: int = 1024) -> DataFrame:
     return rt.context_texts(companies, retrieve(store, queries, k, top_k, size))
