@@ -72,6 +72,21 @@ def validate(
     )
 
 
+def conform(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """The given columns in order and type; missing ones null, missing lists empty, others dropped."""
+    have = set(df.columns)
+
+    def one(name: str, kind: str) -> Column:
+        value = (F.col(name) if name in have else F.lit(None)).cast(kind)
+        if kind.startswith("array"):
+            value = F.coalesce(value, F.array().cast(kind))
+        if name == "schema_version":
+            value = F.coalesce(value, F.lit(V.SCHEMA_VERSION))
+        return value.alias(name)
+
+    return df.select(*[one(n, k) for n, k in columns.items()])
+
+
 def split_valid(checked: DataFrame, key: str = "company_id") -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) rows: one bad item rejects every item of its company."""
     bad = F.size("errors") > 0

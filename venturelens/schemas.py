@@ -148,14 +148,18 @@ def entity_ddl(entity: str) -> str:
 
 
 # A company as the dashboards read it: record, business-intelligence and public pricing fields.
-PROFILE_DDL = (
-    "struct<"
-    + ",".join(f"{f.name}:{f.type}" for f in ENTITIES["company"])
-    + ","
-    + ",".join(f"{n}:{t}" for n, t in BI_FIELDS.items())
-    + ",pricing_tiers_public:array<string>,visibility:struct<news_mentions_30d:int,avg_sentiment:double,"
-    "github_stars:int,glassdoor_rating:double,attention_trend:string>>"
-)
+PROFILE: dict[str, str] = {
+    **{f.name: f.type for f in ENTITIES["company"]},
+    **BI_FIELDS,
+    "pricing_tiers_public": "array<string>",
+    "visibility": "struct<news_mentions_30d:int,avg_sentiment:double,github_stars:int,"
+    "glassdoor_rating:double,attention_trend:string>",
+}
+
+
+def columns_of(entity: str) -> dict[str, str]:
+    return {f.name: f.type for f in ENTITIES[entity]}
+
 
 SEED = (
     "rank INT, company_name STRING, legal_name STRING, description STRING, funding STRING, "
