@@ -76,15 +76,15 @@ def conform(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """The given columns in order and type; missing ones null, missing lists empty, others dropped."""
     have = set(df.columns)
 
-    def one(name: str, kind: str) -> Column:
-        value = (F.col(name) if name in have else F.lit(None)).cast(kind)
+    def one(name: str, kind: str) -> str:
+        value = f"cast({f'`{name}`' if name in have else 'null'} as {kind})"
         if kind.startswith("array"):
-            value = F.coalesce(value, F.array().cast(kind))
+            value = f"coalesce({value}, cast(array() as {kind}))"
         if name == "schema_version":
-            value = F.coalesce(value, F.lit(V.SCHEMA_VERSION))
-        return value.alias(name)
+            value = f"coalesce({value}, '{V.SCHEMA_VERSION}')"
+        return f"{value} as `{name}`"
 
-    return df.select(*[one(n, k) for n, k in columns.items()])
+    return df.selectExpr(*[one(n, k) for n, k in columns.items()])
 
 
 def split_valid(checked: DataFrame, key: str = "company_id") -> tuple[DataFrame, DataFrame]:

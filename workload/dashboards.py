@@ -8,6 +8,7 @@ from venturelens import schemas as S
 from venturelens.functions import markdown as md
 from venturelens.functions import urls
 from venturelens.operators import dashboard, records
+from venturelens.operators.skew import spread
 from workload.common import query, table
 
 STAMP = "2025-01-01T00:00:00"
@@ -64,7 +65,8 @@ def event_table(spark, sf):
 
 
 def product_table(spark, sf):
-    l, o = table(spark, sf, "lineitem"), table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    l = spread(table(spark, sf, "lineitem"), "l_orderkey")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     joined = l.join(o, l.l_orderkey == o.o_orderkey)
     rows = joined.select(
         F.format_string("p%012d-%d-%d-%d", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("product_id"),
