@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from venturelens.functions import markdown as md
 from venturelens.functions import urls
+from venturelens.operators.skew import union_rows
 
 
 def structured_dashboards(
@@ -123,7 +124,7 @@ def response_rows(structured: DataFrame, answered: DataFrame, generated_at: str)
     r = answered.select(
         "company_name", F.lit("RAG").alias("pipeline"), "dashboard", F.col("retrieved_chunks").cast("bigint")
     )
-    return s.unionByName(r).withColumn("generated_at", F.lit(generated_at))
+    return union_rows([s, r]).withColumn("generated_at", F.lit(generated_at))
 
 
 def page_context(ids: DataFrame, pages: DataFrame, key: str = "company_name") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from venturelens import vocabulary as V
 from venturelens.functions import markdown as md
 from venturelens.functions import text as tx
+from venturelens.operators.skew import union_rows
 
 
 def rubric_total(scores: DataFrame, limits: Mapping[str, int] = V.RUBRIC) -> DataFrame:
@@ -58,10 +59,12 @@ def redact(df: DataFrame, text: str = "text", email: str = tx.EMAIL, phone: str
 
 def provenance_coverage(entities: Mapping[str, DataFrame]) -> DataFrame:
     """Share of records with at least one source, per entity."""
-    rows = None
-    for name, df in entities.items():
-        one = df.select(F.lit(name).alias("entity"), (F.size("provenance") > 0).alias("_ok"))
-        rows = one if rows is None else rows.unionByName(one)
+    rows = union_rows(
+        [
+            df.select(F.lit(name).alias("entity"), (F.size("provenance") > 0).alias("_ok"))
+            for name, df in entities.items()
+        ]
+    )
     return rows.groupBy("entity").agg(
         F.count(F.lit(1)).alias("records"), F.avg(F.col("_ok").cast("int")).alias("covered")
     )

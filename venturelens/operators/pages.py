@@ -14,6 +14,7 @@ from venturelens import vocabulary as V
 from venturelens.functions import html as hx
 from venturelens.functions import urls
 from venturelens.functions.text import any_of, strip
+from venturelens.operators.skew import top_per_group, union_rows
 
 
 # --- parser form of the text operators -------------------------------------------
@@ -383,12 +384,9 @@ def list_from_lines(
 
 def first_method(methods: Sequence[DataFrame], key: str, first: int = 50) -> DataFrame:
     """Rows of the first extraction method that found anything on a page, the first ``first`` of them."""
-    from venturelens.operators.skew import top_per_group
-
-    tagged = [m.select(key, "pos", "name", "url", F.lit(i).alias("method_no")) for i, m in enumerate(methods, 1)]
-    rows = tagged[0]
-    for more in tagged[1:]:
-        rows = rows.unionByName(more)
+    rows = union_rows(
+        [m.select(key, "pos", "name", "url", F.lit(i).alias("method_no")) for i, m in enumerate(methods, 1)]
+    )
     winner = rows.groupBy(key).agg(F.min("method_no").alias("method_no"))
     kept = rows.join(winner, [key, "method_no"])
     return top_per_group(kept, [key], [F.col("pos"), F.col("name")], first, ["name"], rank="n", salts=1)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from venturelens import schemas as S
 from venturelens import vocabulary as V
 from venturelens.functions import urls
-from venturelens.operators.skew import fits_broadcast, with_part
+from venturelens.operators.skew import fits_broadcast, union_rows, with_part
 
 URL = r"(?i)^https?://[^\s/?#]+\.?[^\s]*$"
 
@@ -211,15 +211,17 @@ def assemble_payloads(
     """
     names = list(children)
     types = {n: _packed_type(children[n], sort_keys[n]) for n in names}
-    long = None
+    rows = []
     for n in names:
         items = children[n].select(key, _packed(children[n], sort_keys[n]).alias(n))
-        rows = items.select(
-            key,
-            F.xxhash64(n).alias("_spread"),
-            *[F.col(m) if m == n else F.lit(None).cast(types[m]).alias(m) for m in names],
+        rows.append(
+            items.select(
+                key,
+                F.xxhash64(n).alias("_spread"),
+                *[F.col(m) if m == n else F.lit(None).cast(types[m]).alias(m) for m in names],
+            )
         )
-        long = rows if long is None else long.unionByName(rows)
+    long = union_rows(rows)
     parts = with_part(long, key, ["_spread"], max_children)
     lists = parts.groupBy(key, "part_no").agg(
         *[

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venturelens.operators.skew import fits_broadcast
+from venturelens.operators.skew import fits_broadcast, union_rows
 
 
 def run_counts(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -44,7 +44,7 @@ def failed_items(results: DataFrame, by: Sequence[str] = ("date",), item: str =
 
 def full_report(results: DataFrame, indexed: DataFrame) -> DataFrame:
     """The full-load report row."""
-    rows = results.select("status").unionByName(indexed.select(F.lit("indexed").alias("status")))
+    rows = union_rows([results.select("status"), indexed.select(F.lit("indexed").alias("status"))])
     return rows.agg(
         F.lit("Full Ingestion").alias("report"),
         F.count_if(F.col("status") != "indexed").alias("total_companies"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,17 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def union_rows(frames: Sequence[DataFrame]) -> DataFrame:
+    """UNION ALL by column name.
+
+    Turns off ``spark.sql.unionOutputPartitioning`` for the session: in Spark 4.1 a union of inputs
+    that were repartitioned by the same key claims that partitioning, but may be executed as a plain
+    union, and an aggregate by the key then yields a key several times.
+    """
+    frames[0].sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+    return reduce(DataFrame.unionByName, frames)
+
+
 def fits_broadcast(df: DataFrame, row_bytes: int) -> bool:
     """Whether ``df`` has no more rows than 64 MB hold at ``row_bytes`` each (counted up to that bound)."""
     bound = BROADCAST_BYTES // row_bytes

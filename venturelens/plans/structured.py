@@ -7,13 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from venturelens.operators import dashboard, pages, records, selection, signals
+from venturelens.operators.skew import union_rows
 
 
 def contexts_from_html(raw: DataFrame, seed_rows: DataFrame | None = None, min_text: int = 500, words: dict | None = None) -> DataFrame:
     """Raw pages to one capped context per company: extract, gate, select, pack (one shuffle)."""
     texts = pages.text_gate(pages.parse_text(raw), min_text).select("company_id", "page_type", "source_url", "text")
     if seed_rows is not None:
-        texts = texts.unionByName(selection.seed_pages(seed_rows))
+        texts = union_rows([texts, selection.seed_pages(seed_rows)])
     return selection.context_pack(selection.select_pages(texts, words))
 
 

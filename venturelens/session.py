@@ -15,6 +15,7 @@ DEFAULTS = {
     # Text rows are wide: smaller splits and advisory sizes keep a task's rows in memory.
     "spark.sql.files.maxPartitionBytes": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    "spark.sql.unionOutputPartitioning": "false",  # see operators.skew.union_rows
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from venturelens import schemas as S
 from venturelens import vocabulary as V
 from venturelens.functions.text import strip
-from venturelens.operators.skew import keyed_join
+from venturelens.operators.skew import keyed_join, union_rows
 
 
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
@@ -138,7 +138,7 @@ def read_crawl_metadata(spark: SparkSession, path: str) -> DataFrame:
         F.col("_p.status").alias("status"),
         F.col("_p.text_length").alias("text_length"),
     )
-    return by_url.unionByName(by_page)
+    return union_rows([by_url, by_page])
 
 
 def with_source(pages: DataFrame, metadata: DataFrame, now: str, tie: str = "source_url") -> DataFrame:
