@@ -36,26 +36,29 @@ def hiring_snapshots(
     """Headcount, openings, focus, locations and remote policy; rows without any number are dropped."""
     texts = page_texts(pages, V.SNAPSHOT_PAGE_TYPES, key, tie)
     people = F.concat_ws(" ", "about", "homepage", "team")
-    rows = (
-        texts.withColumn("_h", sg.headcount(people, **(headcount or {})))
-        .withColumn("_j", sg.job_openings(F.col("careers"), **(jobs or {})))
-        .filter(
-            (F.coalesce(F.col("_h.total"), F.lit(0)) > 0)
-            | F.col("_h.estimate").isNotNull()
-            | (F.coalesce(F.col("_j.count"), F.lit(0)) > 0)
-        )
+    found = F.struct(
+        sg.headcount(people, **(headcount or {})).alias("h"),
+        sg.job_openings(F.col("careers"), **(jobs or {})).alias("j"),
+    )
+    # A generated row or none, so that the patterns run once and not again in a filter.
+    any_number = F.filter(
+        F.array(found),
+        lambda x: (F.coalesce(x["h"]["total"], F.lit(0)) > 0)
+        | x["h"]["estimate"].isNotNull()
+        | (F.coalesce(x["j"]["count"], F.lit(0)) > 0),
     )
+    rows = texts.select("*", F.explode(any_number).alias("_f"))
     return rows.select(
         key,
-        F.col("_h.total").alias("headcount_total"),
-        F.col("_h.estimate").alias("headcount_estimate"),
-        F.col("_j.count").alias("job_openings_count"),
+        F.col("_f.h.total").alias("headcount_total"),
+        F.col("_f.h.estimate").alias("headcount_estimate"),
+        F.col("_f.j.count").alias("job_openings_count"),
         sg.hiring_focus(F.col("careers"), departments or V.DEPARTMENTS).alias("hiring_focus"),
         sg.office_locations(F.concat_ws(" ", people, F.col("careers")), cities or V.CITIES).alias(
             "office_locations"
         ),
         sg.remote_policy(F.col("careers"), policies or V.REMOTE_POLICIES).alias("remote_policy"),
-        F.greatest("_h.confidence", "_j.confidence").alias("confidence"),
+        F.greatest("_f.h.confidence", "_f.j.confidence").alias("confidence"),
         F.lit(V.SCHEMA_VERSION).alias("schema_version"),
     )
 
