@@ -40,7 +40,8 @@ def refresh_store(spark: SparkSession, pages: DataFrame, path: str, batch: str,
     chunks = rt.chunk_rows(fresh, keep=("text_hash",))
     out = bucketed(chunks).withColumn("batch", F.lit(batch))
     (
-        out.write.mode("overwrite")
+        out.hint("rebalance", "bucket")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch", "bucket")
         .parquet(path)

@@ -11,9 +11,9 @@ from venturelens.functions.urls import folder_slug
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Pages by run date; rows of a date are spread over files by company."""
+    """Pages by run date. The rebalance gives each date files of even size and splits a large date."""
     (
-        pages.repartition("run_date", F.pmod(F.xxhash64("company_id", "page_type"), F.lit(64)))
+        pages.hint("rebalance", "run_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_date")
@@ -53,7 +53,7 @@ def append_chunks(chunks: DataFrame, path: str) -> None:
 
     Partitioned by a bucket of the company, which keeps folders bounded and still prunes by company.
     """
-    bucketed(chunks).write.mode("append").partitionBy("bucket").parquet(path)
+    bucketed(chunks).hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(path)
 
 
 BUCKETS = 256
