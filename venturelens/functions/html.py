@@ -6,6 +6,7 @@ Every pattern is valid in Java and in RE2. The forms are exact on well-formed pa
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from html.entities import name2codepoint
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from venturelens import vocabulary as V
-from venturelens.functions.text import SPACE, any_of, string_array, strip
+from venturelens.functions.text import SPACE, any_of, let, string_array, strip
 
 HIDDEN_TAGS = ["script", "style"]
 CHROME_TAGS = ["script", "style", "nav", "footer", "header", "iframe", "noscript"]
@@ -40,26 +41,30 @@ def inner_pattern(tag: str) -> str:
 
 def decode_entities(text: Column, names: Mapping[str, int] = name2codepoint) -> Column:
     """``&name;``, ``&#n;`` and ``&#xh;`` as characters, in one pass (``&amp;lt;`` gives ``&lt;``)."""
-    table = F.create_map(*[F.lit(x) for name, code in names.items() for x in (name, chr(code))])
-    pieces = F.split(text, "&", -1)
+    # One literal, folded to a constant map by the optimizer.
+    table = F.from_json(F.lit(json.dumps({n: chr(code) for n, code in names.items()})), "map<string,string>")
 
     def decoded(piece: Column) -> Column:
-        name = F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]{1,31});", 1)
         dec = F.regexp_extract(piece, r"^#([0-9]{1,5});", 1)
-        hexa = F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]{1,4});", 1)
-        code = F.when(dec != "", F.hex(dec.cast("int"))).when(hexa != "", hexa)
-        known = F.try_element_at(table, name)
-        char = F.when(name != "", known).when(
-            code.isNotNull() & (F.length(code) <= 4),
-            F.decode(F.unhex(F.lpad(code, 4, "0")), "UTF-16BE"),
+        code = F.when(dec != "", F.hex(dec.cast("int"))).otherwise(
+            F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]{1,4});", 1)
         )
+        numeric = let(
+            code,
+            lambda c: F.when(
+                F.length(c).between(1, 4), F.decode(F.unhex(F.lpad(c, 4, "0")), "UTF-16BE")
+            ),
+        )
+        named = F.try_element_at(table, F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]{1,31});", 1))
         rest = F.substring(piece, F.instr(piece, ";") + 1, F.length(piece))
-        return F.when(char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece))
+        char = F.when(F.startswith(piece, F.lit("#")), numeric).otherwise(named)
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
 
-    whole = F.array_join(
-        F.concat(F.slice(pieces, 1, 1), F.transform(F.slice(pieces, 2, 2147483646), decoded)), ""
-    )
-    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
+    def whole(pieces: Column) -> Column:
+        tail = F.transform(F.slice(pieces, 2, 2147483646), decoded)
+        return F.array_join(F.concat(F.slice(pieces, 1, 1), tail), "")
+
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&")), let(F.split(t, "&", -1), whole)).otherwise(t))
 
 
 def drop_blocks(html: Column, tags: Sequence[str], gap: str) -> Column:
@@ -134,7 +139,7 @@ def first_pattern(text: Column, patterns: Sequence[str], group: int = 1) -> Colu
 def founded_year(text: Column, patterns: Sequence[str] = V.FOUNDED_PATTERNS, low: int = 1900, high: int = 2025) -> Column:
     def one(p: str) -> Column:
         year = F.try_to_number(F.regexp_extract(text, p, 1), F.lit("9999")).cast("int")
-        return F.when(year.between(low, high), year)
+        return let(year, lambda y: F.when(y.between(low, high), y))
 
     return F.coalesce(*[one(p) for p in patterns])
 
@@ -143,4 +148,4 @@ def categories(text: Column, words: Sequence[str] = V.CATEGORY_WORDS, limit: int
     """Category words in the text, title-cased, sorted, at most ``limit``."""
     low = F.lower(text)
     found = F.filter(string_array(words), lambda w: F.contains(low, w))
-    return F.slice(F.array_sort(F.array_distinct(F.transform(found, F.initcap))), 1, limit)
+    return F.slice(F.sort_array(F.array_distinct(F.transform(found, F.initcap))), 1, limit)

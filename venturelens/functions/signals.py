@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from venturelens import vocabulary as V
-from venturelens.functions.text import any_of, string_array, strip
+from venturelens.functions.text import any_of, let, string_array, strip
 
 HUGE = 10**18
 
@@ -31,7 +31,7 @@ def _all(text: Column, pattern: str, group: int) -> Column:
 def largest_in_range(low: Column, patterns: Sequence[str], lo: int, hi: int) -> Column:
     """Per pattern the largest number; the first pattern whose number is in range decides."""
     tops = [F.array_max(F.transform(_all(low, p, 1), _number)) for p in patterns]
-    return F.coalesce(*[F.when(t.between(lo, hi), t) for t in tops])
+    return F.coalesce(*[let(t, lambda n: F.when(n.between(lo, hi), n)) for t in tops])
 
 
 def _first_range(low: Column, patterns: Sequence[str], lo: int, hi: int) -> Column:
@@ -56,33 +56,35 @@ def headcount(
 
     ``range_first`` looks for ranges before exact counts ("50-100 employees" also fits the exact form).
     """
-    low = F.lower(F.coalesce(text, F.lit("")))
-    exact = largest_in_range(low, patterns, V.HEADCOUNT_MIN, V.HEADCOUNT_MAX)
-    span = _first_range(low, ranges, V.HEADCOUNT_MIN, V.HEADCOUNT_MAX)
-    plus = F.when(F.contains(low, F.lit("+")), F.lit("+")).otherwise(F.lit(""))
-    by_count = F.when(
-        exact.isNotNull(),
-        F.struct(
-            exact.alias("total"),
-            F.concat(exact.cast("string"), plus).alias("estimate"),
-            F.lit(0.8).alias("confidence"),
-        ),
-    )
-    by_range = F.when(
-        span.isNotNull(),
-        F.struct(
-            F.floor((span["lo"] + span["hi"]) / 2).alias("total"),
-            F.concat_ws("-", span["lo"].cast("string"), span["hi"].cast("string")).alias("estimate"),
-            F.lit(0.6).alias("confidence"),
-        ),
-    )
-    nothing = F.struct(
-        F.lit(None).cast("bigint").alias("total"),
-        F.lit(None).cast("string").alias("estimate"),
-        F.lit(0.0).alias("confidence"),
-    )
-    order = [by_range, by_count] if range_first else [by_count, by_range]
-    return F.coalesce(*order, nothing)
+
+    def result(total: Column, estimate: Column, confidence: float) -> Column:
+        return F.struct(
+            total.cast("bigint").alias("total"),
+            estimate.cast("string").alias("estimate"),
+            F.lit(confidence).alias("confidence"),
+        )
+
+    def find(low: Column) -> Column:
+        plus = F.when(F.contains(low, F.lit("+")), F.lit("+")).otherwise(F.lit(""))
+        by_count = let(
+            largest_in_range(low, patterns, V.HEADCOUNT_MIN, V.HEADCOUNT_MAX),
+            lambda n: F.when(n.isNotNull(), result(n, F.concat(n.cast("string"), plus), 0.8)),
+        )
+        by_range = let(
+            _first_range(low, ranges, V.HEADCOUNT_MIN, V.HEADCOUNT_MAX),
+            lambda r: F.when(
+                r.isNotNull(),
+                result(
+                    F.floor((r["lo"] + r["hi"]) / 2),
+                    F.concat_ws("-", r["lo"].cast("string"), r["hi"].cast("string")),
+                    0.6,
+                ),
+            ),
+        )
+        order = [by_range, by_count] if range_first else [by_count, by_range]
+        return F.coalesce(*order, result(F.lit(None), F.lit(None), 0.0))
+
+    return let(F.lower(F.coalesce(text, F.lit(""))), find)
 
 
 def occurrences(low: Column, words: Sequence[str]) -> Column:
@@ -101,29 +103,32 @@ def job_openings(
     indicators: Sequence[str] = V.JOB_INDICATORS,
 ) -> Column:
     """struct(count, confidence): stated count, else distinct titles, list items, or indicator words."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    stated = largest_in_range(low, patterns, V.JOBS_MIN, V.JOBS_MAX)
-    n_titles = F.size(F.array_distinct(F.concat(*[_all(low, p, 0) for p in titles]))).cast("bigint")
-    n_items = F.regexp_count(low, F.lit(list_item)).cast("bigint")
-    n_signs = F.floor(occurrences(low, indicators) / 2).cast("bigint")
     cap = F.lit(V.JOBS_CAP).cast("bigint")
 
     def result(count: Column, confidence: float) -> Column:
-        return F.struct(count.alias("count"), F.lit(confidence).alias("confidence"))
+        return F.struct(count.cast("bigint").alias("count"), F.lit(confidence).alias("confidence"))
+
+    def counted(count: Column, confidence: float) -> Column:
+        return let(count, lambda n: F.when(n > 0, result(F.least(n.cast("bigint"), cap), confidence)))
+
+    def find(low: Column) -> Column:
+        stated = largest_in_range(low, patterns, V.JOBS_MIN, V.JOBS_MAX)
+        return F.coalesce(
+            let(stated, lambda n: F.when(n.isNotNull(), result(n, 0.7))),
+            counted(F.size(F.array_distinct(F.concat(*[_all(low, p, 0) for p in titles]))), 0.6),
+            counted(F.regexp_count(low, F.lit(list_item)), 0.5),
+            counted(F.floor(occurrences(low, indicators) / 2), 0.4),
+            result(F.lit(None), 0.0),
+        )
 
-    return (
-        F.when(stated.isNotNull(), result(stated, 0.7))
-        .when(n_titles > 0, result(F.least(n_titles, cap), 0.6))
-        .when(n_items > 0, result(F.least(n_items, cap), 0.5))
-        .when(n_signs > 0, result(F.least(n_signs, cap), 0.4))
-        .otherwise(result(F.lit(None).cast("bigint"), 0.0))
-    )
+    return let(F.lower(F.coalesce(text, F.lit(""))), find)
 
 
 def hiring_focus(text: Column, departments: Mapping[str, Sequence[str]] = V.DEPARTMENTS) -> Column:
-    low = F.lower(F.coalesce(text, F.lit("")))
-    hits = [F.when(any_of(low, words), F.lit(name)) for name, words in departments.items()]
-    return F.filter(F.array(*hits), lambda x: x.isNotNull())
+    def hits(low: Column) -> Column:
+        return F.array(*[F.when(any_of(low, words), F.lit(name)) for name, words in departments.items()])
+
+    return F.filter(let(F.lower(F.coalesce(text, F.lit(""))), hits), lambda x: x.isNotNull())
 
 
 def office_locations(
@@ -134,9 +139,11 @@ def office_locations(
     known = F.transform(F.filter(string_array(cities), lambda c: F.contains(low, c)), F.initcap)
     named = F.concat(*[_all(text, p, 1) for p in patterns])
     named = F.filter(F.transform(named, strip), lambda x: F.length(x) > 2)
-    return F.array_sort(F.array_distinct(F.concat(known, named)))
+    return F.sort_array(F.array_distinct(F.concat(known, named)))
 
 
 def remote_policy(text: Column, groups: Mapping[str, Sequence[str]] = V.REMOTE_POLICIES) -> Column:
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return F.coalesce(*[F.when(any_of(low, words), F.lit(name)) for name, words in groups.items()])
+    return let(
+        F.lower(F.coalesce(text, F.lit(""))),
+        lambda low: F.coalesce(*[F.when(any_of(low, words), F.lit(name)) for name, words in groups.items()]),
+    )

@@ -161,6 +161,7 @@ def token_estimate(chars: Column) -> Column:
 
 
 def redact_contacts(text: Column, email: str | None = None, phone: str | None = None) -> Column:
+    """E-mail addresses and phone numbers replaced by a note."""
     cleaned = F.regexp_replace(text, email or EMAIL, "[email removed]")
     return F.regexp_replace(cleaned, phone or PHONE, "[phone removed]")
 

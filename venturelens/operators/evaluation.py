@@ -48,12 +48,18 @@ def _last_is_final(body: Column, sections: Sequence[str]) -> Column:
 
 
 def redact(df: DataFrame, text: str = "text", email: str = tx.EMAIL, phone: str = tx.PHONE) -> DataFrame:
-    """E-mail addresses and phone numbers replaced, with the number of each."""
-    no_mail = F.regexp_replace(text, email, "[email removed]")
+    """E-mail addresses and phone numbers replaced, with the number of each.
+
+    The mail pattern runs only on texts with an ``@`` in them.
+    """
+    body = F.col(text)
+    may_have = F.contains(body, F.lit("@"))
+    no_mail = F.when(may_have, F.regexp_replace(body, email, "[email removed]")).otherwise(body)
     return (
-        df.withColumn("n_emails", F.regexp_count(text, F.lit(email)).cast("bigint"))
-        .withColumn("n_phones", F.regexp_count(no_mail, F.lit(phone)).cast("bigint"))
-        .withColumn(text, tx.redact_contacts(F.col(text), email, phone))
+        df.withColumn("n_emails", F.when(may_have, F.regexp_count(body, F.lit(email))).otherwise(0).cast("bigint"))
+        .withColumn(text, no_mail)
+        .withColumn("n_phones", F.regexp_count(body, F.lit(phone)).cast("bigint"))
+        .withColumn(text, F.regexp_replace(body, phone, "[phone removed]"))
     )
 
 

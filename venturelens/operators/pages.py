@@ -199,7 +199,7 @@ def candidate_urls(companies: DataFrame, links: DataFrame, paths: Mapping[str, S
     Links per company and type are distinct by now; only URL text is collected, per company page set.
     """
     per_type = links.groupBy(key, "link_type").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "url"))), lambda x: x["url"]).alias("_found")
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "url"))), lambda x: x["url"]).alias("_found")
     )
     wanted = F.array(
         *[

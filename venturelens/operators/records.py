@@ -225,7 +225,7 @@ def assemble_payloads(
     parts = with_part(long, key, ["_spread"], max_children)
     lists = parts.groupBy(key, "part_no").agg(
         *[
-            F.transform(F.array_sort(F.collect_list(n)), lambda x: x["v"]).alias(n)
+            F.transform(F.sort_array(F.collect_list(n)), lambda x: x["v"]).alias(n)
             for n in names
         ]
     )

@@ -247,7 +247,7 @@ def context_texts(
     """
     block = F.concat(F.lit("Source: "), "source", F.lit("\n"), "content")
     packed = hits.groupBy(company).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), block.alias("b")))).alias("_l"),
+        F.sort_array(F.collect_list(F.struct(F.col(position).alias("p"), block.alias("b")))).alias("_l"),
         F.count(F.lit(1)).alias("retrieved_chunks"),
     )
     joined = companies.select(company).join(packed, company, "left")
