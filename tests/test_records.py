@@ -83,10 +83,11 @@ def test_hot_company_is_split_and_stays_whole(spark):
     assert p.filter("company_id = 'b'").count() == 1
 
 
-def test_with_part_uses_a_join_when_hot_keys_do_not_fit(spark, monkeypatch):
+def test_parts_use_a_join_when_hot_keys_do_not_fit(spark, monkeypatch):
     monkeypatch.setattr(skew, "fits_broadcast", lambda df, width: False)
     df = spark.range(1000).select((F.col("id") % 2).alias("k"), "id")
-    rows = skew.with_part(df, "k", ["id"], 100).groupBy("k").agg(F.countDistinct("part_no").alias("n"), F.count(F.lit(1)).alias("c")).collect()
+    hot = skew.hot_parts(df, "k", 100)
+    rows = skew.number_parts(df, "k", ["id"], hot).groupBy("k").agg(F.countDistinct("part_no").alias("n"), F.count(F.lit(1)).alias("c")).collect()
     assert all(r.n == 5 and r.c == 500 for r in rows)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from venturelens import vocabulary as V
-from venturelens.functions.text import SPACE, any_of, let, string_array, strip
+from venturelens.functions.text import any_of, let, string_array, strip
 
 HIDDEN_TAGS = ["script", "style"]
 CHROME_TAGS = ["script", "style", "nav", "footer", "header", "iframe", "noscript"]
@@ -75,12 +75,10 @@ def drop_blocks(html: Column, tags: Sequence[str], gap: str) -> Column:
 
 
 def visible_text(html: Column, entities: Mapping[str, int] = name2codepoint) -> Column:
-    """Text without script and style; runs holding a line break or two blanks become one line end."""
+    """Text without script and style, cut at line breaks and double blanks into stripped lines."""
     raw = F.regexp_replace(drop_blocks(html, HIDDEN_TAGS, ""), TAG, "")
-    lines = F.regexp_replace(
-        decode_entities(raw, entities), f"{SPACE}*(?:{LINE_BREAK}|  ){SPACE}*", "\n"
-    )
-    return strip(lines)
+    lines = F.transform(F.split(decode_entities(raw, entities), f"{LINE_BREAK}|  ", -1), strip)
+    return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
 def main_text(html: Column, entities: Mapping[str, int] = name2codepoint) -> Column:

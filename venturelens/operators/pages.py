@@ -7,14 +7,14 @@ from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from venturelens import vocabulary as V
 from venturelens.functions import html as hx
 from venturelens.functions import urls
 from venturelens.functions.text import any_of, strip
-from venturelens.operators.skew import top_per_group, union_rows
+from venturelens.operators.skew import union_rows
 
 
 # --- parser form of the text operators -------------------------------------------
@@ -387,9 +387,11 @@ def first_method(methods: Sequence[DataFrame], key: str, first: int = 50) -> Dat
     rows = union_rows(
         [m.select(key, "pos", "name", "url", F.lit(i).alias("method_no")) for i, m in enumerate(methods, 1)]
     )
-    winner = rows.groupBy(key).agg(F.min("method_no").alias("method_no"))
-    kept = rows.join(winner, [key, "method_no"])
-    return top_per_group(kept, [key], [F.col("pos"), F.col("name")], first, ["name"], rank="n", salts=1)
+    # A group is what one page holds; both windows share one shuffle by page.
+    page = Window.partitionBy(key)
+    kept = rows.withColumn("_first", F.min("method_no").over(page)).filter(F.col("method_no") == F.col("_first"))
+    number = F.row_number().over(page.orderBy("pos", "name"))
+    return kept.drop("_first").withColumn("n", number).filter(F.col("n") <= first)
 
 
 def ld_json_details(pages: DataFrame, key: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from venturelens import schemas as S
 from venturelens import vocabulary as V
 from venturelens.functions import urls
-from venturelens.operators.skew import fits_broadcast, union_rows, with_part
+from venturelens.operators.skew import fits_broadcast, hot_parts, number_parts, repeat_parts, union_rows
 
 URL = r"(?i)^https?://[^\s/?#]+\.?[^\s]*$"
 
@@ -222,18 +222,18 @@ def assemble_payloads(
             )
         )
     long = union_rows(rows)
-    parts = with_part(long, key, ["_spread"], max_children)
-    lists = parts.groupBy(key, "part_no").agg(
-        *[
-            F.transform(F.sort_array(F.collect_list(n)), lambda x: x["v"]).alias(n)
-            for n in names
-        ]
+    hot = hot_parts(long, key, max_children)
+    lists = (
+        number_parts(long, key, ["_spread"], hot)
+        .groupBy(key, "part_no")
+        .agg(*[F.transform(F.sort_array(F.collect_list(n)), lambda x: x["v"]).alias(n) for n in names])
     )
     record = company.select(key, F.struct(*company.columns).alias("company_record"))
-    joined = record.join(lists, key, "left")
+    # Joined on the grouping columns, so the lists stay where they were built.
+    joined = repeat_parts(record, key, hot).join(lists, [key, "part_no"], "left")
     return joined.select(
         key,
-        F.coalesce("part_no", F.lit(0)).alias("part_no"),
+        "part_no",
         "company_record",
         *[_or_empty(joined, n) for n in names],
         F.lit(notes).alias("notes"),

@@ -129,12 +129,11 @@ def _best_of_batches(
     The query vectors (few, counted before) travel with the function; chunk vectors are scored as
     one matrix product per batch and company, and only the best ``k`` (with ties) leave the task.
     """
-    tables: dict = {}
-    for row in queries.select(company, F.col(query).cast("bigint"), "embedding").collect():
-        numbers, rows = tables.setdefault(row[0], ([], []))
-        numbers.append(row[1])
-        rows.append(row[2])
-    tables = {c: (np.array(n), np.array(v, dtype="float64")) for c, (n, v) in tables.items()}
+    few = queries.select(company, F.col(query).cast("bigint"), "embedding").toArrow().combine_chunks()
+    wanted = few.column(2).combine_chunks().flatten().to_numpy().astype("float64").reshape(len(few), -1)
+    owners = np.array(few.column(0).to_pylist(), dtype=object)
+    numbers = few.column(1).to_numpy()
+    tables = {c: (numbers[owners == c], wanted[owners == c]) for c in set(owners)} if len(few) else {}
     kind = {c: chunks.schema[c].dataType.simpleString() for c in (company, id_)}
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,9 +146,9 @@ def _best_of_batches(
             for code, name in enumerate(groups.dictionary.to_pylist()):
                 if name not in tables:
                     continue
-                numbers, wanted = tables[name]
+                own_numbers, own_vectors = tables[name]
                 rows = np.flatnonzero(codes == code)
-                scores = np.round(matrix[rows].astype("float64") @ wanted.T, SCORE_DIGITS)
+                scores = np.round(matrix[rows].astype("float64") @ own_vectors.T, SCORE_DIGITS)
                 if len(rows) > k:
                     bar = np.partition(scores, len(rows) - k, axis=0)[len(rows) - k]
                     at, of = np.nonzero(scores >= bar)
@@ -157,7 +156,7 @@ def _best_of_batches(
                     at, of = np.divmod(np.arange(scores.size), scores.shape[1])
                 picked = pa.array(rows[at])
                 yield pa.RecordBatch.from_arrays(
-                    [names.take(picked), keys.take(picked), pa.array(numbers[of]), pa.array(scores[at, of])],
+                    [names.take(picked), keys.take(picked), pa.array(own_numbers[of]), pa.array(scores[at, of])],
                     names=[company, id_, query, "score"],
                 )
 

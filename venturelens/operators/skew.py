@@ -91,13 +91,10 @@ def top_per_group(
     return cut.withColumn(rank, F.row_number().over(last)).filter(F.col(rank) <= n)
 
 
-def with_part(
-    df: DataFrame, key: str, spread: Sequence[str], max_rows: int, part: str = "part_no"
-) -> DataFrame:
-    """Number the parts of every key so that no (key, part) holds much more than ``max_rows`` rows.
+def hot_parts(df: DataFrame, key: str, max_rows: int) -> DataFrame | None:
+    """(key, _parts) of the keys with more than ``max_rows`` rows, or None if there is no such key.
 
-    Keys within the bound have the one part 0. Keys beyond it, counted first on the key column
-    alone, are split by hash. There are at most rows / ``max_rows`` such keys.
+    Counted on the key column alone with map-side combine; at most rows / ``max_rows`` keys result.
     """
     hot = (
         df.groupBy(key)
@@ -105,11 +102,27 @@ def with_part(
         .filter(F.col("count") > max_rows)
         .select(key, F.ceil(F.col("count") / max_rows).cast("int").alias("_parts"))
     )
-    # The check also answers the usual case (no hot key at all) without any join.
-    if not hot.take(1):
+    return hot if hot.take(1) else None
+
+
+def _with_parts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    return df.join(F.broadcast(hot) if fits_broadcast(hot, 128) else hot, key, "left")
+
+
+def number_parts(
+    df: DataFrame, key: str, spread: Sequence[str], hot: DataFrame | None, part: str = "part_no"
+) -> DataFrame:
+    """Part 0 for all rows, but hot keys are split by hash so that a (key, part) stays near the bound."""
+    if hot is None:
+        return df.withColumn(part, F.lit(0))
+    parts = F.coalesce("_parts", F.lit(1))
+    number = F.pmod(F.xxhash64(*spread), parts).cast("int")
+    return _with_parts(df, key, hot).withColumn(part, number).drop("_parts")
+
+
+def repeat_parts(df: DataFrame, key: str, hot: DataFrame | None, part: str = "part_no") -> DataFrame:
+    """One row per part of its key: the other side of a join on (key, part)."""
+    if hot is None:
         return df.withColumn(part, F.lit(0))
-    joined = df.join(F.broadcast(hot) if fits_broadcast(hot, 128) else hot, key, "left")
-    number = F.when(
-        F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*spread), F.col("_parts")).cast("int")
-    ).otherwise(F.lit(0))
-    return joined.withColumn(part, number).drop("_parts")
+    numbers = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    return _with_parts(df, key, hot).withColumn(part, F.explode(numbers)).drop("_parts")
