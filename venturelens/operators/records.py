@@ -223,14 +223,14 @@ def assemble_payloads(
         )
     long = union_rows(rows)
     hot = hot_parts(long, key, max_children)
-    lists = (
-        number_parts(long, key, ["_spread"], hot)
-        .groupBy(key, "part_no")
-        .agg(*[F.transform(F.sort_array(F.collect_list(n)), lambda x: x["v"]).alias(n) for n in names])
-    )
+    nested = [F.transform(F.sort_array(F.collect_list(n)), lambda x: x["v"]).alias(n) for n in names]
     record = company.select(key, F.struct(*company.columns).alias("company_record"))
-    # Joined on the grouping columns, so the lists stay where they were built.
-    joined = repeat_parts(record, key, hot).join(lists, [key, "part_no"], "left")
+    # Either way the join is on the grouping columns, so the lists stay in the partitions they were built in.
+    if hot is None:
+        joined = record.join(long.groupBy(key).agg(*nested), key, "left").withColumn("part_no", F.lit(0))
+    else:
+        lists = number_parts(long, key, ["_spread"], hot).groupBy(key, "part_no").agg(*nested)
+        joined = repeat_parts(record, key, hot).join(lists, [key, "part_no"], "left")
     return joined.select(
         key,
         "part_no",

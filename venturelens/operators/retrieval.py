@@ -121,6 +121,16 @@ def embed(df: DataFrame, model: Callable[[], Callable[[list[str]], list[list[flo
 SCORE_DIGITS = 9
 
 
+def _rows_by_value(names: pa.Array) -> Iterator[tuple[object, np.ndarray]]:
+    """(value, row numbers) of each distinct value, by one sort."""
+    groups = names.dictionary_encode()
+    codes = groups.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(codes, kind="stable")
+    cuts = np.flatnonzero(np.diff(codes[order])) + 1
+    for rows in np.split(order, cuts) if len(order) else []:
+        yield groups.dictionary[int(codes[rows[0]])].as_py(), rows
+
+
 def _best_of_batches(
     chunks: DataFrame, queries: DataFrame, k: int, company: str, query: str, id_: str
 ) -> DataFrame:
@@ -131,32 +141,34 @@ def _best_of_batches(
     """
     few = queries.select(company, F.col(query).cast("bigint"), "embedding").toArrow().combine_chunks()
     wanted = few.column(2).combine_chunks().flatten().to_numpy().astype("float64").reshape(len(few), -1)
-    owners = np.array(few.column(0).to_pylist(), dtype=object)
     numbers = few.column(1).to_numpy()
-    tables = {c: (numbers[owners == c], wanted[owners == c]) for c in set(owners)} if len(few) else {}
+    tables = {name: (numbers[rows], wanted[rows]) for name, rows in _rows_by_value(few.column(0).combine_chunks())}
     kind = {c: chunks.schema[c].dataType.simpleString() for c in (company, id_)}
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, keys = batch.column(0), batch.column(1)
-            vectors = batch.column(2)
-            matrix = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
-            groups = names.dictionary_encode()
-            codes = groups.indices.to_numpy(zero_copy_only=False)
-            for code, name in enumerate(groups.dictionary.to_pylist()):
+            flat = batch.column(2).flatten().to_numpy(zero_copy_only=False)
+            matrix = flat.reshape(batch.num_rows, -1)
+            rows_, numbers_, scores_ = [], [], []
+            for name, rows in _rows_by_value(batch.column(0)):
                 if name not in tables:
                     continue
                 own_numbers, own_vectors = tables[name]
-                rows = np.flatnonzero(codes == code)
                 scores = np.round(matrix[rows].astype("float64") @ own_vectors.T, SCORE_DIGITS)
-                if len(rows) > k:
-                    bar = np.partition(scores, len(rows) - k, axis=0)[len(rows) - k]
-                    at, of = np.nonzero(scores >= bar)
-                else:
-                    at, of = np.divmod(np.arange(scores.size), scores.shape[1])
-                picked = pa.array(rows[at])
+                bar = np.partition(scores, -k, axis=0)[-k] if len(rows) > k else -np.inf
+                at, of = np.nonzero(scores >= bar)
+                rows_.append(rows[at])
+                numbers_.append(own_numbers[of])
+                scores_.append(scores[at, of])
+            if rows_:
+                picked = pa.array(np.concatenate(rows_))
                 yield pa.RecordBatch.from_arrays(
-                    [names.take(picked), keys.take(picked), pa.array(own_numbers[of]), pa.array(scores[at, of])],
+                    [
+                        batch.column(0).take(picked),
+                        batch.column(1).take(picked),
+                        pa.array(np.concatenate(numbers_)),
+                        pa.array(np.concatenate(scores_)),
+                    ],
                     names=[company, id_, query, "score"],
                 )
 

@@ -23,7 +23,7 @@ def union_rows(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame, row_bytes: int) -> bool:
-    """Whether ``df`` has no more rows than 64 MB hold at ``row_bytes`` each (counted up to that bound)."""
+    """Whether a side may be broadcast: whether ``df`` has no more rows than 64 MB hold at ``row_bytes`` each (counted up to that bound)."""
     bound = BROADCAST_BYTES // row_bytes
     return df.select(F.lit(1)).limit(bound + 1).count() <= bound
 
@@ -110,19 +110,15 @@ def _with_parts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
 
 
 def number_parts(
-    df: DataFrame, key: str, spread: Sequence[str], hot: DataFrame | None, part: str = "part_no"
+    df: DataFrame, key: str, spread: Sequence[str], hot: DataFrame, part: str = "part_no"
 ) -> DataFrame:
     """Part 0 for all rows, but hot keys are split by hash so that a (key, part) stays near the bound."""
-    if hot is None:
-        return df.withColumn(part, F.lit(0))
     parts = F.coalesce("_parts", F.lit(1))
     number = F.pmod(F.xxhash64(*spread), parts).cast("int")
     return _with_parts(df, key, hot).withColumn(part, number).drop("_parts")
 
 
-def repeat_parts(df: DataFrame, key: str, hot: DataFrame | None, part: str = "part_no") -> DataFrame:
+def repeat_parts(df: DataFrame, key: str, hot: DataFrame, part: str = "part_no") -> DataFrame:
     """One row per part of its key: the other side of a join on (key, part)."""
-    if hot is None:
-        return df.withColumn(part, F.lit(0))
     numbers = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
     return _with_parts(df, key, hot).withColumn(part, F.explode(numbers)).drop("_parts")

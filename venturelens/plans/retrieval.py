@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from venturelens.functions.urls import stable_id
 from venturelens.operators import retrieval as rt
+from venturelens.operators.skew import fits_broadcast
 
 
 def build_index(files: DataFrame, model: Callable) -> DataFrame:
@@ -24,12 +25,14 @@ def retrieve(
     """Top ``k`` per query, equal contents once, at most ``top_k`` per company.
 
     Ranking moves ids and scores only. The content is joined back to the winners, of which there
-    are at most k per query, by chunk key.
+    are at most ``k`` per query: where the counted queries bound them to a broadcast, the store's
+    text is scanned once and never shuffled.
     """
     vectors = store.select("company", "chunk_key", "embedding")
     winners = rt.search_company(vectors, queries, k, size=size)
-    body = store.drop("embedding")
-    hits = winners.join(body, ["company", "chunk_key"])
+    if fits_broadcast(queries, 128 * k):
+        winners = F.broadcast(winners)
+    hits = store.drop("embedding").join(winners, ["company", "chunk_key"])
     return rt.cap_hits(rt.dedupe_ordered(hits), top_k)
 
 
