@@ -73,3 +73,22 @@ def test_main_repo_ties_go_to_lowest_url(spark):
         "company_id string, repo_url string, stars int, forks int, contributors int, language string, topics array<string>, pushed_at string",
     )
     assert ops.visibility_rows(df).first().github_url == "a"
+
+
+def test_visibility_from_pages(spark):
+    from venturelens.plans.structured import visibility_from_pages
+
+    pages = spark.createDataFrame(
+        [("a", "See https://github.com/acme and https://www.github.com/acme/side"), ("b", "https://github.com/none/x"), ("c", "no link")],
+        "company_id string, text string",
+    )
+    repos = spark.createDataFrame(
+        [("acme", "platform", 200, None, '{"stargazers_count": 9, "topics": ["ml"]}'), ("acme", "core", 200, None, '{"stargazers_count": 99}'),
+         ("acme", "side", 200, None, '{"stargazers_count": 3}'), ("none", "x", 404, None, "{}")],
+        "owner string, repo string, status int, link_header string, body string",
+    )
+    people = spark.createDataFrame([("acme", "platform", 200, None, "[1, 2]")], "owner string, repo string, status int, link_header string, body string")
+    rows = visibility_from_pages(pages, repos, people).collect()
+    assert [(r.company_id, r.github_url, r.github_stars, r.github_contributors, r.github_topics) for r in rows] == [
+        ("a", "https://github.com/acme/platform", 9, 2, ["ml"])
+    ]

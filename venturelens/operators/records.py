@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from venturelens import schemas as S
 from venturelens import vocabulary as V
 from venturelens.functions import urls
-from venturelens.operators.skew import fits_broadcast, hot_parts, number_parts, repeat_parts, union_rows
+from venturelens.operators.skew import hot_parts, keyed_join, number_parts, repeat_parts, union_rows
 
 URL = r"(?i)^https?://[^\s/?#]+\.?[^\s]*$"
 
@@ -91,9 +91,9 @@ def split_valid(checked: DataFrame, key: str = "company_id") -> tuple[DataFrame,
     """(accepted, rejected) rows: one bad item rejects every item of its company."""
     bad = F.size("errors") > 0
     keys = checked.filter(bad).select(key).distinct()
-    if fits_broadcast(keys, 128):
-        keys = F.broadcast(keys)
-    return checked.join(keys, key, "left_anti").drop("errors"), checked.filter(bad)
+    spread = [c for c in checked.columns if c != key]
+    good = keyed_join(checked, keys, [key], 128, spread, "left_anti")
+    return good.drop("errors"), checked.filter(bad)
 
 
 def domain_violations(df: DataFrame, column: str, domain: Sequence[str] = V.EVENT_TYPES) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venturelens.operators.skew import fits_broadcast, union_rows
+from venturelens.operators.skew import keyed_join, union_rows
 
 
 def run_counts(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -67,7 +67,7 @@ def batch_summary(stats: DataFrame, ok: str = "success") -> DataFrame:
 def successful_only(rows: DataFrame, results: DataFrame, key: str) -> DataFrame:
     """Rows of companies with at least one successful result."""
     ok = results.filter(F.col("status") == "success").select(key).distinct()
-    return rows.join(F.broadcast(ok) if fits_broadcast(ok, 128) else ok, key, "left_semi")
+    return keyed_join(rows, ok, [key], 128, rows.columns, "left_semi")
 
 
 def with_hash(pages: DataFrame, text: str = "text") -> DataFrame:
@@ -77,8 +77,8 @@ def with_hash(pages: DataFrame, text: str = "text") -> DataFrame:
 def changed_pages(pages: DataFrame, indexed: DataFrame, keys: Sequence[str] = ("company_id", "page_type")) -> DataFrame:
     """Pages whose (key, text hash) is not in the index yet.
 
-    Only keys and hashes of the index are read; both sides shuffle on them, or the smaller one is
-    broadcast by its statistics.
+    Only keys and hashes of the index are read. Both sides shuffle on them, and many copies of one
+    page are split by the adaptive skew join (an anti-join splits its left side).
     """
     seen = indexed.select(*keys, "text_hash")
     return with_hash(pages).join(seen, [*keys, "text_hash"], "left_anti")

@@ -153,6 +153,14 @@ def contributors(link_header: Column, body: Column) -> Column:
     return F.when(last != "", last.cast("bigint")).otherwise(F.json_array_length(body).cast("bigint"))
 
 
+def with_contributors(metrics: DataFrame, answers: DataFrame) -> DataFrame:
+    """Repository metrics with ``contributors`` from the answers of the contributor call (null if it failed)."""
+    counts = answers.filter(F.col("status") == 200).select(
+        "owner", "repo", contributors(F.col("link_header"), F.col("body")).alias("contributors")
+    )
+    return metrics.join(counts, ["owner", "repo"], "left")
+
+
 def first_found_repo(candidates: DataFrame, metrics: DataFrame, key: str = "company_id") -> DataFrame:
     """Per mentioned URL the first candidate the API knows, with its metrics."""
     joined = keyed_join(candidates, metrics, ["owner", "repo"], 512, [key, "repo_url"])

@@ -35,3 +35,10 @@ def dashboards_from_tables(
 def snapshots_from_pages(texts: DataFrame) -> DataFrame:
     """Hiring snapshots with their provenance."""
     return signals.snapshot_provenance(signals.hiring_snapshots(texts), texts)
+
+
+def visibility_from_pages(texts: DataFrame, repo_answers: DataFrame, contributor_answers: DataFrame) -> DataFrame:
+    """Repository URLs in page text, looked up in the API answer tables: one visibility row per company."""
+    metrics = signals.with_contributors(signals.repo_metrics(repo_answers), contributor_answers)
+    candidates = signals.repo_candidates(signals.repo_urls(texts))
+    return signals.visibility_rows(signals.first_found_repo(candidates, metrics))

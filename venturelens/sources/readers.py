@@ -111,13 +111,19 @@ def read_pages(spark: SparkSession, path: str, run_date: str | None = None, comp
     return pages
 
 
-def read_crawl_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """(company_id, page_type, source_url, crawled_at, status, text_length) of both metadata layouts."""
+def read_crawl_metadata(
+    spark: SparkSession, path: str, files: str = "metadata.json", multi_line: bool = True
+) -> DataFrame:
+    """(company_id, page_type, source_url, crawled_at, status, text_length) of both metadata layouts.
+
+    By default one JSON document per company folder; ``files="*.json", multi_line=False`` reads
+    many companies per file, one per line.
+    """
     raw = (
         spark.read.schema(S.CRAWL_METADATA)
-        .option("multiLine", "true")
+        .option("multiLine", multi_line)
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "metadata.json")
+        .option("pathGlobFilter", files)
         .json(path)
         .withColumn("_folder", _path_parts(2))
     )
@@ -154,15 +160,16 @@ def with_source(pages: DataFrame, metadata: DataFrame, now: str, tie: str = "sou
     )
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Structured records, one JSON file per company; ``company_id`` is the file stem."""
-    return (
+def read_records(spark: SparkSession, path: str, file_per_company: bool = True) -> DataFrame:
+    """Structured records. ``company_id`` is the file stem, or the record's own where files hold many lines."""
+    raw = (
         spark.read.schema(S.STRUCTURED_RECORD)
-        .option("multiLine", "true")
+        .option("multiLine", file_per_company)
         .option("pathGlobFilter", "*.json")
         .json(path)
-        .withColumn("company_id", F.regexp_replace(_path_parts(1), r"\.json$", ""))
     )
+    stem = F.regexp_replace(_path_parts(1), r"\.json$", "")
+    return raw.withColumn("company_id", stem if file_per_company else F.col("company.company_id"))
 
 
 def read_record_items(spark: SparkSession, path: str) -> DataFrame:

@@ -102,6 +102,50 @@ def a06(spark, sf):
     return readers.read_pages(spark, path, "2025-01-02", "c5").select("company_id", "page_type", "text")
 
 
+@query(
+    "a07_read_crawl_metadata",
+    """select cast(doc_id as varchar) as company_id, lang as page_type, 'https://m.test/' || doc_id as source_url, '2025-01-01' as crawled_at, 'success' as status, '-' as text_length from documents where doc_id % 2 = 0
+    union all select cast(doc_id as varchar), lang, 'https://p.test/' || doc_id, '2025-01-02', 'success', cast(length(text) as varchar) from documents where doc_id % 2 = 1
+    union all select cast(doc_id as varchar), 'team', null, '2025-01-02', 'failed', '-' from documents where doc_id % 2 = 1""",
+)
+def a07(spark, sf):
+    """Both metadata layouts, written as JSON lines and read back."""
+    path = scratch_path(spark, "metadata")
+    d = table(spark, sf, "documents")
+    k = F.col("doc_id").cast("string")
+    by_url = d.filter(F.col("doc_id") % 2 == 0).select(
+        k.alias("company_id"),
+        F.lit("2025-01-01").alias("timestamp"),
+        F.create_map("lang", F.concat(F.lit("https://m.test/"), k)).alias("success"),
+    )
+    page = "struct<url:string,status:string,text_length:int>"
+    done = F.struct(F.concat(F.lit("https://p.test/"), k).alias("url"), F.lit("success").alias("status"), F.length("text").alias("text_length")).cast(page)
+    missing = F.struct(F.lit(None).alias("url"), F.lit("failed").alias("status"), F.lit(None).alias("text_length")).cast(page)
+    by_page = d.filter(F.col("doc_id") % 2 == 1).select(
+        k.alias("company_id"), F.lit("2025-01-02").alias("crawled_at"), F.create_map("lang", done, F.lit("team"), missing).alias("pages")
+    )
+    by_url.write.json(path)
+    by_page.write.mode("append").json(path)
+    rows = readers.read_crawl_metadata(spark, path, files="*.json", multi_line=False)
+    return rows.withColumn("text_length", F.coalesce(F.col("text_length").cast("string"), F.lit("-")))
+
+
+@query(
+    "a09_read_records",
+    f"with {PAY} select company_id, legal_name, cast(n_events as bigint) as n_events, cast(n_products as bigint) as n_products from pay_",
+)
+def a09(spark, sf):
+    path = scratch_path(spark, "structured")
+    rows = payloads(spark, sf).select(F.col("company_record").alias("company"), "events", "products", "snapshots", "visibility")
+    writers.write_records(rows, path)
+    return readers.read_records(spark, path, file_per_company=False).select(
+        "company_id",
+        F.col("company.legal_name").alias("legal_name"),
+        F.size("events").cast("bigint").alias("n_events"),
+        F.size("products").cast("bigint").alias("n_products"),
+    )
+
+
 @query(
     "a08_with_source",
     f"""with {PAGES_CTE} select doc_id, case when doc_id % 3 = 0 then 'https://m.test/' || lpad(cast(doc_id as varchar), 9, '0') else '' end as source_url,
