@@ -119,12 +119,20 @@ def test_top_k_matches_brute_force_on_both_ways(spark, monkeypatch):
     take = lambda df: {(r.company, r.query_no, r.chunk_key, r["rank"]) for r in df.collect()}
     vectors = st_.select("company", "chunk_key", "embedding")
     assert take(rt.search_company(vectors, queries, 4, size=8)) == want
-    monkeypatch.setattr(rt, "fits_broadcast", lambda df, width: False)
+    monkeypatch.setattr(rt, "few_vectors", lambda *args, **more: None)
     shuffled = rt.search_company(vectors, queries, 4, size=8)
     assert take(shuffled) == want
     assert "CartesianProduct" not in plan_of(shuffled) and "NestedLoop" not in plan_of(shuffled)
 
 
+def test_no_queries_and_odd_vectors(spark):
+    st_ = store(spark).select("company", "chunk_key", "embedding")
+    queries = queries_of(spark, st_.withColumn("content", F.lit("")).collect())
+    assert rt.search_company(st_, queries.limit(0), 3, size=8).count() == 0
+    odd = spark.createDataFrame([("hot", -1, [9.0]), ("hot", -2, None), (None, -3, [1.0] * 8)], st_.schema)
+    assert rt.search_company(st_.union(odd), queries, 3, size=8).filter("chunk_key < 0").count() == 0
+
+
 def test_search_all_is_a_top_k(spark):
     st_ = store(spark)
     q = st_.filter("chunk_key = 3").first().embedding

@@ -199,7 +199,7 @@ def assemble_payloads(
     children: Mapping[str, DataFrame],
     key: str = "company_id",
     sort_keys: Mapping[str, Sequence[str]] = SORT_KEYS,
-    max_children: int = 100_000,
+    max_children: int = 20_000,
     notes: str = "",
     policy: str = V.PROVENANCE_POLICY,
 ) -> DataFrame:

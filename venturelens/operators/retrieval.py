@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from venturelens import vocabulary as V
 from venturelens.functions import text as tx
 from venturelens.functions import vectors as vx
-from venturelens.operators.skew import fits_broadcast, salt_of, top_per_group
+from venturelens.operators.skew import BROADCAST_BYTES, salt_of, top_per_group
 
 # --- chunks --------------------------------------------------------------------------
 
@@ -131,24 +131,39 @@ def _rows_by_value(names: pa.Array) -> Iterator[tuple[object, np.ndarray]]:
         yield groups.dictionary[int(codes[rows[0]])].as_py(), rows
 
 
+def few_vectors(
+    queries: DataFrame, company: str = "company", query: str = "query_no", row_bytes: int = 64 + 8 * 1024
+) -> pa.Table | None:
+    """The query vectors, if they number no more than 64 MB hold at ``row_bytes`` each; else None.
+
+    One bounded read serves as the size check and as the collection.
+    """
+    bound = BROADCAST_BYTES // row_bytes
+    rows = queries.select(company, F.col(query).cast("bigint"), "embedding").limit(bound + 1).toArrow()
+    return rows.combine_chunks() if rows.num_rows <= bound else None
+
+
 def _best_of_batches(
-    chunks: DataFrame, queries: DataFrame, k: int, company: str, query: str, id_: str
+    chunks: DataFrame, few: pa.Table, k: int, company: str, query: str, id_: str
 ) -> DataFrame:
     """Per Arrow batch, company and query the chunks that may be among the top ``k``.
 
-    The query vectors (few, counted before) travel with the function; chunk vectors are scored as
-    one matrix product per batch and company, and only the best ``k`` (with ties) leave the task.
+    The query vectors travel with the function; chunk vectors are scored as one matrix product per
+    batch and company, and only the best ``k`` (with ties) leave the task.
     """
-    few = queries.select(company, F.col(query).cast("bigint"), "embedding").toArrow().combine_chunks()
-    wanted = few.column(2).combine_chunks().flatten().to_numpy().astype("float64").reshape(len(few), -1)
-    numbers = few.column(1).to_numpy()
-    tables = {name: (numbers[rows], wanted[rows]) for name, rows in _rows_by_value(few.column(0).combine_chunks())}
+    width, tables = 0, {}
+    if few.num_rows:
+        wanted = few.column(2).combine_chunks().flatten().to_numpy().astype("float64").reshape(few.num_rows, -1)
+        numbers, width = few.column(1).to_numpy(), wanted.shape[1]
+        owners = _rows_by_value(few.column(0).combine_chunks())
+        tables = {name: (numbers[rows], wanted[rows]) for name, rows in owners}
     kind = {c: chunks.schema[c].dataType.simpleString() for c in (company, id_)}
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column(2).flatten().to_numpy(zero_copy_only=False)
-            matrix = flat.reshape(batch.num_rows, -1)
+            if not batch.num_rows:
+                continue
+            matrix = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
             rows_, numbers_, scores_ = [], [], []
             for name, rows in _rows_by_value(batch.column(0)):
                 if name not in tables:
@@ -172,7 +187,9 @@ def _best_of_batches(
                     names=[company, id_, query, "score"],
                 )
 
-    full = chunks.select(company, id_, "embedding").filter(F.col(company).isNotNull() & (F.size("embedding") > 0))
+    full = chunks.select(company, id_, "embedding").filter(
+        F.col(company).isNotNull() & (F.size("embedding") == width)
+    )
     return full.mapInArrow(
         best, f"`{company}` {kind[company]}, `{id_}` {kind[id_]}, `{query}` bigint, score double"
     )
@@ -197,15 +214,17 @@ def search_company(
     id_: str = "chunk_key",
     size: int = 1024,
     salts: int = 32,
+    few: pa.Table | None = None,
 ) -> DataFrame:
     """Top ``k`` chunks of each query among the chunks of the query's own company (ties: lowest id).
 
     Companies are matched before anything is ranked, and only ids and scores are ranked; content is
-    joined to the winners afterwards. Up to 64 MB of query vectors (``size`` numbers each) are sent
-    to the tasks; more go through a shuffle join.
+    joined to the winners afterwards. Up to 64 MB of query vectors (``size`` numbers each, or the
+    ones given as ``few``) are sent to the tasks; more go through a shuffle join.
     """
-    if fits_broadcast(queries, 64 + 8 * size):
-        scored, salts = _best_of_batches(chunks, queries, k, company, query, id_), 1
+    few = few if few is not None else few_vectors(queries, company, query, 64 + 8 * size)
+    if few is not None:
+        scored, salts = _best_of_batches(chunks, few, k, company, query, id_), 1
     else:
         scored = _all_pairs(chunks, queries, company, query, id_, salts)
     return top_per_group(scored, [company, query], [F.col("score").desc(), F.col(id_)], k, [id_], salts=salts)

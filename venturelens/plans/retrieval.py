@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from venturelens.functions.urls import stable_id
 from venturelens.operators import retrieval as rt
-from venturelens.operators.skew import fits_broadcast
 
 
 def build_index(files: DataFrame, model: Callable) -> DataFrame:
@@ -29,8 +28,9 @@ def retrieve(
     text is scanned once and never shuffled.
     """
     vectors = store.select("company", "chunk_key", "embedding")
-    winners = rt.search_company(vectors, queries, k, size=size)
-    if fits_broadcast(queries, 128 * k):
+    few = rt.few_vectors(queries, row_bytes=max(64 + 8 * size, 128 * k))
+    winners = rt.search_company(vectors, queries, k, size=size, few=few)
+    if few is not None:
         winners = F.broadcast(winners)
     hits = store.drop("embedding").join(winners, ["company", "chunk_key"])
     return rt.cap_hits(rt.dedupe_ordered(hits), top_k)
