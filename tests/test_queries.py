@@ -2,6 +2,7 @@
 
 import glob
 import os
+import re
 
 import duckdb
 import pytest
@@ -26,7 +27,10 @@ def table(columns, rows):
     return sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+OWN = [name for name in entry.queries() if not re.match(r"op\d+_|pipeline$", name)]  # those have tests of their own
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_sql(spark, sf, con, name):
     df = entry.queries()[name](spark, sf)
     rows = [tuple(r) for r in df.collect()]

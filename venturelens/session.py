@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +47,29 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder path for a written table."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, for clusters where it isn't installed.
+
+    The archive is made on the driver and handed out by Spark itself; workers import it from their own copy.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(here)))
+    path = os.path.join(tempfile.mkdtemp(prefix="venturelens-code-"), "venturelens_code.zip")
+    with open(path, "wb") as f:
+        f.write(packed.getvalue())
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
