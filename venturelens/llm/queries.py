@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venturelens.llm import bpe, decontaminate, quality, token_counts
-from venturelens.llm.common import table
+from venturelens.llm import bpe, decontaminate, quality, token_counts, toxicity
+from venturelens.llm.common import crc32_mod, table
 from venturelens.session import scratch_path
 
 LLM_REGISTRY: dict = {}
@@ -27,6 +27,19 @@ def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.host_quality(docs, store=scratch_path(spark, "op1"))
 
 
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score_documents(docs, toxicity.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        (crc32_mod("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
 @query("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
