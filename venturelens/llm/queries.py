@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venturelens.llm import bpe, decontaminate, quality, token_counts, toxicity
+from venturelens.llm import bpe, decontaminate, langid, orc_tokens, quality, token_counts, toxicity
 from venturelens.llm.common import crc32_mod, table
 from venturelens.session import scratch_path
 
@@ -27,6 +27,20 @@ def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.host_quality(docs, store=scratch_path(spark, "op1"))
 
 
+@query("op4_orc_tokens")
+def op4_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "op4")
+    orc_tokens.write_orc(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path, end=2)
+    return orc_tokens.document_index(spark, path)
+
+
+@query("op5_language")
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.train(docs))
+    return found.select("doc_id", (crc32_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 @query("op8_toxicity")
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
