@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venturelens.llm import bpe, decontaminate, langid, orc_tokens, quality, token_counts, toxicity
+from venturelens.llm import bpe, decontaminate, langid, orc_tokens, quality, token_counts, toxicity, warc
 from venturelens.llm.common import crc32_mod, table
 from venturelens.session import scratch_path
 
@@ -60,6 +60,32 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query(
+    "op2_warc_revisits",
+    """
+with p as (select page_id, encode(coalesce(html, '')) as b from pages),
+h as (select page_id, octet_length(b) as n, sha256(b) as d from p),
+o as (select n, d, min(page_id) as first from h where n >= 100 group by n, d)
+select h.page_id, cast(h.n as bigint) as payload_bytes, h.d as payload_digest,
+       case when o.first < h.page_id then 'revisit' else 'response' end as record_type,
+       case when o.first < h.page_id then o.first end as refers_to
+from h left join o on h.n = o.n and h.d = o.d""",
+)
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, deduplicated = scratch_path(spark, "op2-raw"), scratch_path(spark, "op2-dedup")
+    warc.write_pages(table(spark, sf_dir, "pages"), raw, date="2024-01-01T00:00:00Z")
+    warc.deduplicate(spark, raw, deduplicated, date="2024-01-02T00:00:00Z")
+    read = warc.read(spark, deduplicated, payload=False)
+    response = F.col("record_type") == "response"  # its digest is that of the payload read back; a revisit has the header's
+    return read.select(
+        "page_id",
+        "payload_bytes",
+        F.when(response, F.col("digest_read")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 @query("op3_byte_bpe")
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
