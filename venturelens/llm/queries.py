@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venturelens.llm import bpe, decontaminate, langid, orc_tokens, quality, token_counts, toxicity, warc
+from venturelens.llm import bpe, decontaminate, langid, orc_tokens, quality, sparse_suffix, token_counts, toxicity, warc
 from venturelens.llm.common import crc32_mod, table
 from venturelens.session import scratch_path
 
@@ -41,6 +41,19 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc32_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+@query("op7_sparse_suffix")
+def op7_sparse_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sparse_suffix.repeated_passages(table(spark, sf_dir, "documents"))
+    repeats = F.filter("spans", lambda s: ~s["original"])
+    return found.select(
+        "doc_id",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.size(repeats).cast("long").alias("n_repeats"),
+        F.aggregate(repeats, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("repeated_words"),
+        "spans",
+    )
+
+
 @query("op8_toxicity")
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
