@@ -33,6 +33,7 @@ from venturelens.llm.common import as_bytes, crc32_mod, pieces, ranges
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
 MEMO = 1 << 17
+CHAIN = 256  # words; in training, longer texts are several chains, so that they can be walked side by side
 SPAN = "struct<start:int,end:int,probability:double>"
 
 
@@ -169,11 +170,13 @@ def fit(texts: list[str], labels: list[int], rounds: int = 40, rate: float = 0.5
     chosen = toxic_features(docs, labels)
     number: dict[str, int] = {}
     ids = [np.array([number.setdefault(w, len(number)) for w in d], np.int64) for d in docs]
+    owner = np.array([i for i, x in enumerate(ids) for _ in range(-(-len(x) // CHAIN))], np.int64)
+    ids = [x[k : k + CHAIN] for x in ids for k in range(0, len(x), CHAIN)]
     kinds = [features(w) for w in number]
     marked = np.array([any(f in chosen for f in fs) for fs in kinds], bool)
     flat = np.concatenate([x for x in ids if len(x)] or [np.zeros(0, np.int64)])
     sizes = np.array([len(x) for x in ids], np.int64)
-    doc = np.repeat(np.arange(len(ids)), sizes)
+    doc = np.repeat(owner, sizes)
     truth = marked[flat] & (np.array(labels)[doc] == 1)
     names = sorted({f for fs in kinds for f in fs})
     index = {f: bucket(f) for f in names}
@@ -208,7 +211,7 @@ def fit(texts: list[str], labels: list[int], rounds: int = 40, rate: float = 0.5
     weights[used] = w
     model = Model(weights, bias, start, move, fitted=True)
     p, _ = forward_backward(bias + np.bincount(row, weights=w[column], minlength=len(kinds))[flat], sizes, start, move)
-    model.slope, model.offset = _calibrated(evidence_of(p, doc, len(ids)), np.array(labels, float))
+    model.slope, model.offset = _calibrated(evidence_of(p, doc, len(docs)), np.array(labels, float))
     return model
 
 
