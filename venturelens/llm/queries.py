@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venturelens.llm import bpe, decontaminate, langid, orc_tokens, quality, sparse_suffix, token_counts, toxicity, warc
+from venturelens.llm import bpe, decontaminate, jaccard, langid, orc_tokens, quality, sparse_suffix, token_counts, toxicity, warc
 from venturelens.llm.common import crc32_mod, table
 from venturelens.session import scratch_path
 
@@ -41,6 +41,12 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc32_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+@query("op6_ngram_jaccard")
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return jaccard.near_duplicates(docs, size=4, numerator=85, denominator=100)
+
+
 @query("op7_sparse_suffix")
 def op7_sparse_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sparse_suffix.repeated_passages(table(spark, sf_dir, "documents"))
