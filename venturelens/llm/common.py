@@ -63,3 +63,15 @@ def ranges(lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     starts = np.cumsum(lengths) - lengths
     return np.arange(total, dtype=np.int64) - np.repeat(starts, lengths)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

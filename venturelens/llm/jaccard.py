@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from venturelens.llm.common import as_bytes, pieces
+from venturelens.llm.common import as_bytes, fresh, pieces
 from venturelens.llm.graph import components
 from venturelens.llm.sparse_suffix import gram_hashes, mixed
 from venturelens.operators.skew import union_rows
@@ -273,13 +273,14 @@ def keep_first(docs: DataFrame, id_: str = "doc_id", text: str = "text", **optio
     found = near_duplicates(docs, id_, text, **options)
     dropped = found.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0) & (F.col("component_id") < F.col("doc_id"))).select("doc_id").distinct()
     dropped = _stored(dropped, "near-copies")
-    kept = docs.join(dropped.withColumnRenamed("doc_id", "_dropped"), F.col(id_).cast("long") == F.col("_dropped"), "left_anti")
+    other, row, nth = fresh(docs, "_dropped", "_row", "_nth")
+    kept = docs.join(dropped.withColumnRenamed("doc_id", other), F.col(id_).cast("long") == F.col(other), "left_anti")
     several = found.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy("doc_id").count().filter("count > 1")
     if several.take(1):  # ids that aren't unique: one row of each stays
-        numbered = kept.withColumn("_row", F.monotonically_increasing_id())
-        again = Window.partitionBy(id_).orderBy(F.xxhash64(text), "_row")
+        numbered = kept.withColumn(row, F.monotonically_increasing_id())
+        again = Window.partitionBy(id_).orderBy(F.xxhash64(text), row)
         without = F.col(id_).isNull() | (F.length(F.trim(F.translate(F.coalesce(F.col(text), F.lit("")), "\t\n\x0b\x0c\r", "     "))) == 0)
-        kept = numbered.withColumn("_again", F.row_number().over(again)).filter(without | (F.col("_again") == 1)).drop("_row", "_again")
+        kept = numbered.withColumn(nth, F.row_number().over(again)).filter(without | (F.col(nth) == 1)).drop(row, nth)
     return kept
 
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from venturelens.llm.common import as_bytes, pieces
+from venturelens.llm.common import as_bytes, fresh, pieces
 from venturelens.operators.skew import union_rows
 from venturelens.session import scratch_path
 
@@ -276,15 +276,19 @@ def cut_repeats(docs: DataFrame, id_: str = "doc_id", text: str = "text", passag
     """
     spans = repeated_passages(docs, id_, text, passage, seed_words)
     repeats = F.filter("spans", lambda s: ~s["original"])
-    cut = spans.select(F.col("doc_id").alias("_id"), "h1", "h2", F.transform(repeats, lambda s: F.struct(s["start"], s["end"])).alias("_cut")).filter(F.size("_cut") > 0)
     names = docs.columns
-    own = docs.withColumns({"_id": F.col(id_).cast("long"), "_h1": F.xxhash64(text), "_h2": F.xxhash64(F.lit(7), F.col(text))})
-    joined = own.join(cut.withColumnsRenamed({"_id": "_id2", "h1": "_h1b", "h2": "_h2b"}), F.expr("_id = _id2 and _h1 = _h1b and _h2 = _h2b"), "left")
+    key, h1, h2, cut = fresh(docs, "_key", "_h1", "_h2", "_cut")
+    theirs = fresh(docs.withColumns({n: F.lit(0) for n in (key, h1, h2, cut)}), "_key2", "_h12", "_h22")
+    own = docs.withColumns({key: F.col(id_).cast("long"), h1: F.xxhash64(text), h2: F.xxhash64(F.lit(7), F.col(text))})
+    cuts = spans.select(
+        *[F.col(c).alias(n) for c, n in zip(("doc_id", "h1", "h2"), theirs, strict=True)], F.transform(repeats, lambda s: F.struct(s["start"], s["end"])).alias(cut)
+    ).filter(F.size(cut) > 0)
+    joined = own.join(cuts, [F.col(x) == F.col(y) for x, y in zip((key, h1, h2), theirs, strict=True)], "left")
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cuts = b.column("_cut").to_pylist()
+            cuts = b.column(len(names)).to_pylist()
             touched = [i for i, c in enumerate(cuts) if c]
             columns = [b.column(i) for i in range(len(names))]
             if touched:
@@ -298,7 +302,7 @@ def cut_repeats(docs: DataFrame, id_: str = "doc_id", text: str = "text", passag
             else:
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return joined.select(*names, "_cut").mapInArrow(run, docs.schema)
+    return joined.select(*[F.col(f"`{n}`") for n in names], cut).mapInArrow(run, docs.schema)
 
 
 def brute_force(texts: dict[int, str | None], passage: int) -> dict[int, tuple[set[int], set[int]]]:

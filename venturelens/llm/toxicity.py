@@ -1,6 +1,6 @@
 """Toxic spans and document scores from a linear-chain conditional random field.
 
-Training (on the driver, on at most about ``sample`` labelled documents of each class; the bound is an argument):
+Training (on the driver, on about ``sample`` toxic and twice as many clean documents at most; the bound is an argument):
 
 1. Token labels from document labels: features of words (the word and its beginnings) are chosen greedily,
    always the one that explains most toxic documents not explained yet and is rare in clean ones. A token
@@ -233,16 +233,17 @@ def _calibrated(x: np.ndarray, y: np.ndarray, rounds: int = 50, penalty: float =
 def training_rows(
     docs: DataFrame, labels: DataFrame, sample: int, folds: int = 4, held_out: int = 2, id_: str = "doc_id", text: str = "text", label: str = "toxic"
 ) -> list[tuple[str, int]]:
-    """About ``sample`` texts of each class from outside the held-out fold, chosen by a hash of the id."""
+    """About ``sample`` toxic and twice as many clean texts from outside the held-out fold, chosen by a hash of the id."""
     own = labels.select(F.col(id_).alias("_id"), F.col(label).cast("int").alias("_y"))
     own = own.filter(F.col("_id").isNotNull() & F.col("_y").isin(0, 1) & (crc32_mod("_id", folds) != held_out)).distinct()
     counts = {r["_y"]: r["count"] for r in own.groupBy("_y").count().collect()}
     span = 1_000_000
     cut = F.lit(0)
     for y, n in counts.items():
-        cut = F.when(F.col("_y") == y, F.lit(span if n <= sample else int(span * sample / n))).otherwise(cut)
+        most = sample if y else 2 * sample
+        cut = F.when(F.col("_y") == y, F.lit(span if n <= most else int(span * most / n))).otherwise(cut)
     chosen = own.filter(F.pmod(F.xxhash64("_id", F.lit(8)), F.lit(span)) < cut)
-    # The chosen ids are at most about twice ``sample`` rows, whatever the size of the tables.
+    # The chosen ids are about three times ``sample`` rows at most, whatever the size of the tables.
     rows = docs.select(F.col(id_).alias("_id"), F.col(text).alias("_t")).filter(F.col("_t").isNotNull()).join(F.broadcast(chosen), "_id")
     return sorted({(r["_t"], r["_y"]) for r in rows.select("_t", "_y").collect()})
 
