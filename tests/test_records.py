@@ -70,36 +70,36 @@ def test_payload_round_trip(spark):
     p = records.assemble_payloads(company, children)
     rows = {r.company_id: r for r in p.collect()}
     assert [e.event_id for e in rows["a"].events] == sorted(e.event_id for e in rows["a"].events)
-    assert rows["b"].events == [] and rows["b"].products == [] and rows["b"].part_no == 0
+    assert rows["b"].events == [] and rows["b"].products == []
     back = {tuple(r) for r in records.flatten_payloads(p, "events").select("event_id", "title").collect()}
     assert back == {tuple(r) for r in children["events"].select("event_id", "title").collect()}
 
 
-def test_hot_company_is_split_and_stays_whole(spark):
-    company, children = sample(spark, 500)
-    p = records.assemble_payloads(company, children, max_children=50)
-    parts = p.filter("company_id = 'a'").select("part_no", F.size("events").alias("n")).collect()
-    assert len(parts) > 5 and sum(r.n for r in parts) == 500 and max(r.n for r in parts) < 120
-    assert p.filter("company_id = 'b'").count() == 1
+def test_a_company_with_far_more_children_is_one_row_and_one_dashboard(spark):
+    from venturelens.operators import dashboard
+
+    company, children = sample(spark, 5000)
+    snapshots = spark.createDataFrame([("a", "2024-01-01", 7), ("a", "2024-06-01", 77)], "company_id string, as_of string, headcount_total int")
+    children["snapshots"] = records.conform(snapshots, S.columns_of("snapshots"))
+    p = records.assemble_payloads(company, children)
+    assert {r.company_id: r.n for r in p.select("company_id", F.size("events").alias("n")).collect()} == {"a": 5000, "b": 0}
+    text = {r.company_id: r.dashboard for r in dashboard.structured_dashboards(p, "now").collect()}
+    assert len(text) == 2 and "77" in text["a"] and "No funding events" not in text["a"]
 
 
-def test_parts_use_a_join_when_hot_keys_do_not_fit(spark, monkeypatch):
-    monkeypatch.setattr(skew, "fits_broadcast", lambda df, width: False)
-    df = spark.range(1000).select((F.col("id") % 2).alias("k"), "id")
-    hot = skew.hot_parts(df, "k", 100)
-    rows = skew.number_parts(df, "k", ["id"], hot).groupBy("k").agg(F.countDistinct("part_no").alias("n"), F.count(F.lit(1)).alias("c")).collect()
-    assert all(r.n == 5 and r.c == 500 for r in rows)
+def test_no_job_runs_while_a_payload_plan_is_built(spark):
+    company, children = sample(spark)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    records.assemble_payloads(company, children)
+    assert len(tracker.getJobIdsForGroup()) == before
 
 
-def test_keyed_join_salted_equals_broadcast(spark, monkeypatch):
+def test_keyed_join_kinds(spark):
     big = spark.range(600).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id") % 7).alias("k"), "id")
     small = spark.createDataFrame([(i, f"v{i}") for i in range(5)], "k int, v string")
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        want = {tuple(r) for r in skew.keyed_join(big, small, ["k"], 64, ["id"], how).collect()}
-        with monkeypatch.context() as m:
-            m.setattr(skew, "fits_broadcast", lambda df, width: False)
-            got = skew.keyed_join(big, small, ["k"], 64, ["id"], how)
-            assert {tuple(r) for r in got.collect()} == want
+    counts = {how: skew.keyed_join(big, small, ["k"], how).count() for how in ("inner", "left", "left_semi", "left_anti")}
+    assert counts["left"] == 600 and counts["inner"] == counts["left_semi"] == 600 - counts["left_anti"]
 
 
 def test_top_per_group_equals_plain_ranking(spark):
@@ -145,8 +145,8 @@ def test_newest_snapshot_option(spark):
     snaps = spark.createDataFrame([("a", "2024-01-01", 5), ("a", "2024-09-01", 9)], "company_id string, as_of string, headcount_total int")
     children["snapshots"] = records.conform(snaps, S.columns_of("snapshots"))
     p = records.assemble_payloads(company, children).filter("company_id = 'a'")
-    assert "**Headcount**: 5" in dashboard.structured_dashboards(p, "t").first().dashboard
-    assert "**Headcount**: 9" in dashboard.structured_dashboards(p, "t", newest=True).first().dashboard
+    assert "**Headcount**: 9" in dashboard.structured_dashboards(p, "t").first().dashboard
+    assert "**Headcount**: 5" in dashboard.structured_dashboards(p, "t", newest=False).first().dashboard
 
 
 def test_assembly_has_one_shuffle_of_children(spark, sf):

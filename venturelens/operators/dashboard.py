@@ -11,11 +11,11 @@ from venturelens.operators.skew import union_rows
 
 
 def structured_dashboards(
-    payloads: DataFrame, generated_at: Column | str, key: str = "company_id", newest: bool = False
+    payloads: DataFrame, generated_at: Column | str, key: str = "company_id", newest: bool = True
 ) -> DataFrame:
-    """(company_id, part_no, dashboard): the eight sections of every payload row.
+    """(company_id, dashboard): the eight sections of every payload row.
 
-    The growth section reads the first snapshot, or with ``newest`` the latest by date; visibility
+    The growth section reads the latest snapshot by date, or the first of the list without ``newest``; visibility
     is the company's own over the latest entry of the payload list.
     """
     stamp = F.lit(generated_at) if isinstance(generated_at, str) else generated_at
@@ -34,11 +34,10 @@ def structured_dashboards(
         md.gaps(c, F.col("_seen"), md.named_customers(products)),
     ]
     title = F.coalesce(c["legal_name"], F.lit("Company"))
-    extra = ["part_no"] if "part_no" in payloads.columns else []
     return (
         payloads.withColumn("_snapshot", snapshot)
         .withColumn("_seen", seen)
-        .select(key, *extra, md.compose(title, stamp, "Structured", bodies).alias("dashboard"))
+        .select(key, md.compose(title, stamp, "Structured", bodies).alias("dashboard"))
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from venturelens import schemas as S
 from venturelens import vocabulary as V
 from venturelens.functions import urls
-from venturelens.operators.skew import hot_parts, keyed_join, number_parts, repeat_parts, union_rows
+from venturelens.operators.skew import keyed_join, union_rows
 
 URL = r"(?i)^https?://[^\s/?#]+\.?[^\s]*$"
 
@@ -91,8 +91,7 @@ def split_valid(checked: DataFrame, key: str = "company_id") -> tuple[DataFrame,
     """(accepted, rejected) rows: one bad item rejects every item of its company."""
     bad = F.size("errors") > 0
     keys = checked.filter(bad).select(key).distinct()
-    spread = [c for c in checked.columns if c != key]
-    good = keyed_join(checked, keys, [key], 128, spread, "left_anti")
+    good = keyed_join(checked, keys, [key], "left_anti")
     return good.drop("errors"), checked.filter(bad)
 
 
@@ -199,15 +198,14 @@ def assemble_payloads(
     children: Mapping[str, DataFrame],
     key: str = "company_id",
     sort_keys: Mapping[str, Sequence[str]] = SORT_KEYS,
-    max_children: int = 20_000,
     notes: str = "",
     policy: str = V.PROVENANCE_POLICY,
 ) -> DataFrame:
     """One payload row per company: the record and one sorted list per child entity.
 
-    All child rows go through one shuffle by (company, part). A company with more than
-    ``max_children`` children is delivered in several parts, so no task ever holds an unbounded
-    list and no child is dropped; all other companies have part 0 only.
+    All child rows go through one shuffle by company, and the lists stay in the partitions they were built in. A payload
+    is one document by its format, so its size is that of the company's own children; what needs no lists (counts, the
+    latest snapshot, one entity) is better taken from the child tables.
     """
     names = list(children)
     types = {n: _packed_type(children[n], sort_keys[n]) for n in names}
@@ -217,23 +215,15 @@ def assemble_payloads(
         rows.append(
             items.select(
                 key,
-                F.xxhash64(n).alias("_spread"),
                 *[F.col(m) if m == n else F.lit(None).cast(types[m]).alias(m) for m in names],
             )
         )
     long = union_rows(rows)
-    hot = hot_parts(long, key, max_children)
     nested = [F.transform(F.sort_array(F.collect_list(n)), lambda x: x["v"]).alias(n) for n in names]
     record = company.select(key, F.struct(*company.columns).alias("company_record"))
-    # Either way the join is on the grouping columns, so the lists stay in the partitions they were built in.
-    if hot is None:
-        joined = record.join(long.groupBy(key).agg(*nested), key, "left").withColumn("part_no", F.lit(0))
-    else:
-        lists = number_parts(long, key, ["_spread"], hot).groupBy(key, "part_no").agg(*nested)
-        joined = repeat_parts(record, key, hot).join(lists, [key, "part_no"], "left")
+    joined = record.join(long.groupBy(key).agg(*nested), key, "left")
     return joined.select(
         key,
-        "part_no",
         "company_record",
         *[_or_empty(joined, n) for n in names],
         F.lit(notes).alias("notes"),

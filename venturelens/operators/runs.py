@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venturelens.operators.skew import keyed_join, union_rows
+from venturelens.operators.skew import keyed_join, top_per_group, union_rows
 
 
 def run_counts(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -67,7 +67,7 @@ def batch_summary(stats: DataFrame, ok: str = "success") -> DataFrame:
 def successful_only(rows: DataFrame, results: DataFrame, key: str) -> DataFrame:
     """Rows of companies with at least one successful result."""
     ok = results.filter(F.col("status") == "success").select(key).distinct()
-    return keyed_join(rows, ok, [key], 128, rows.columns, "left_semi")
+    return keyed_join(rows, ok, [key], "left_semi")
 
 
 def with_hash(pages: DataFrame, text: str = "text") -> DataFrame:
@@ -84,6 +84,11 @@ def changed_pages(pages: DataFrame, indexed: DataFrame, keys: Sequence[str] = ("
     return with_hash(pages).join(seen, [*keys, "text_hash"], "left_anti")
 
 
+def first_of_copies(rows: DataFrame, keys: Sequence[str], order: str, salts: int = 16) -> DataFrame:
+    """One row per key, the first in ``order``. Two rounds, so that a page with many copies is thinned out before it meets in one task."""
+    return top_per_group(rows, keys, [F.col(order).asc_nulls_first()], 1, [order], "_first", salts).drop("_first")
+
+
 def latest_per_key(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The newest row per key as an aggregate with map-side combine."""
     rest = [c for c in rows.columns if c != key]

@@ -20,7 +20,7 @@ def candidates(seed: DataFrame, key: str, urls_: Column) -> DataFrame:
 
 def first_reachable(cands: DataFrame, status: DataFrame, key: str, ok: Column) -> DataFrame:
     """First candidate whose status passes ``ok``; companies without one are absent."""
-    hits = keyed_join(cands, status.filter(ok).select("url", F.col("status")), ["url"], 256, [key])
+    hits = keyed_join(cands, status.filter(ok).select("url", F.col("status")), ["url"])
     return hits.groupBy(key).agg(F.min_by("url", "pos").alias("url"))
 
 
@@ -55,7 +55,7 @@ def with_known_domain(
     squeezed = urls.squeezed_name(F.col(name))
     if isinstance(known_domains, DataFrame):
         table = known_domains.select(F.col("name").alias("_n"), F.col("domain").alias("_d"))
-        joined = keyed_join(seed.withColumn("_n", squeezed), table, ["_n"], 128, [name], "left")
+        joined = keyed_join(seed.withColumn("_n", squeezed), table, ["_n"], "left")
         return joined.withColumn("known_url", F.concat(F.lit("https://"), "_d")).drop("_n", "_d")
     if not known_domains:
         return seed.withColumn("known_url", F.lit(None).cast("string"))

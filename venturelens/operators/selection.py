@@ -88,7 +88,7 @@ def context_pack(
 ) -> DataFrame:
     """One context text per company: a headed block per page type, cut at ``cap`` characters.
 
-    One shuffle. Each type is a ``min_by`` aggregate (lowest ``tie`` wins), so map tasks send at
+    One shuffle. Each type is a ``min_by`` aggregate (lowest ``tie`` wins, a missing one counts as empty), so map tasks send at
     most one block per company and type however many pages a company has.
     """
     columns, names = [], []
@@ -97,7 +97,8 @@ def context_pack(
         block = F.concat(F.lit(head + "\n\n"), F.col("selected"), F.lit("\n\n"))
         name = f"_{kind}"
         names.append(name)
-        columns.append(F.min_by(F.when(is_kind, block), F.when(is_kind, F.col(tie))).alias(name))
+        order = F.struct(F.coalesce(F.col(tie), F.lit("")), F.xxhash64("selected"))
+        columns.append(F.min_by(F.when(is_kind, block), F.when(is_kind, order)).alias(name))
     wanted = selected.filter(F.col("page_type").isin(list(context_blocks(source_label))))
     joined = F.concat_ws("\n", *names)
     return wanted.groupBy(key).agg(*columns).select(

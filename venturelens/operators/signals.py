@@ -13,9 +13,10 @@ from venturelens.operators.skew import keyed_join
 
 def page_texts(pages: DataFrame, types: list[str], key: str = "company_id", tie: str = "source_url") -> DataFrame:
     """One row per company with the text of each page type as a column (empty if missing)."""
+    order = F.struct(F.coalesce(F.col(tie), F.lit("")), F.xxhash64("text"))  # a page without URL is still a page
     picks = [
         F.coalesce(
-            F.min_by(F.when(F.col("page_type") == t, F.col("text")), F.when(F.col("page_type") == t, F.col(tie))),
+            F.min_by(F.when(F.col("page_type") == t, F.col("text")), F.when(F.col("page_type") == t, order)),
             F.lit(""),
         ).alias(t)
         for t in types
@@ -163,7 +164,7 @@ def with_contributors(metrics: DataFrame, answers: DataFrame) -> DataFrame:
 
 def first_found_repo(candidates: DataFrame, metrics: DataFrame, key: str = "company_id") -> DataFrame:
     """Per mentioned URL the first candidate the API knows, with its metrics."""
-    joined = keyed_join(candidates, metrics, ["owner", "repo"], 512, [key, "repo_url"])
+    joined = keyed_join(candidates, metrics, ["owner", "repo"])
     fields = [c for c in metrics.columns if c not in ("owner", "repo")]
     best = joined.groupBy(key, "repo_url").agg(
         F.min_by(F.struct("owner", "repo", *fields), F.col("pos")).alias("_hit")

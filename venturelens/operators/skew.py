@@ -1,4 +1,4 @@
-"""Building blocks that keep hot keys from landing in one task, and broadcasts bounded."""
+"""Building blocks that keep hot keys from landing in one task."""
 
 from __future__ import annotations
 
@@ -22,12 +22,6 @@ def union_rows(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def fits_broadcast(df: DataFrame, row_bytes: int) -> bool:
-    """Whether a side may be broadcast: whether ``df`` has no more rows than 64 MB hold at ``row_bytes`` each (counted up to that bound)."""
-    bound = BROADCAST_BYTES // row_bytes
-    return df.select(F.lit(1)).limit(bound + 1).count() <= bound
-
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartitions a source with fewer splits than cores, ahead of costly per-row work.
 
@@ -42,25 +36,12 @@ def salt_of(parts: Sequence[str], salts: int) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(salts)).cast("int")
 
 
-def keyed_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: Sequence[str],
-    row_bytes: int,
-    spread: Sequence[str],
-    how: str = "inner",
-    salts: int = 32,
-) -> DataFrame:
-    """Equi-join: broadcast ``small`` where its counted size allows, else a salted shuffle join.
+def keyed_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join left to the engine: statistics decide on a broadcast, and the adaptive skew join splits a hot key of ``big``.
 
-    The salt spreads a hot key of ``big`` by the ``spread`` columns over ``salts`` tasks;
-    ``small`` is repeated once per salt. ``how`` is inner, left, left_semi or left_anti.
+    ``how`` is inner, left, left_semi or left_anti: for all of them the left side can be split. No job runs while the plan is built.
     """
-    if fits_broadcast(small, row_bytes):
-        return big.join(F.broadcast(small), list(keys), how)
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = big.withColumn("_salt", salt_of(spread, salts))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return big.join(small, list(keys), how)
 
 
 def top_per_group(
@@ -89,36 +70,3 @@ def top_per_group(
         )
     last = Window.partitionBy(*keys).orderBy(*order)
     return cut.withColumn(rank, F.row_number().over(last)).filter(F.col(rank) <= n)
-
-
-def hot_parts(df: DataFrame, key: str, max_rows: int) -> DataFrame | None:
-    """(key, _parts) of the keys with more than ``max_rows`` rows, or None if there is no such key.
-
-    Counted on the key column alone with map-side combine; at most rows / ``max_rows`` keys result.
-    """
-    hot = (
-        df.groupBy(key)
-        .count()
-        .filter(F.col("count") > max_rows)
-        .select(key, F.ceil(F.col("count") / max_rows).cast("int").alias("_parts"))
-    )
-    return hot if hot.take(1) else None
-
-
-def _with_parts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(hot) if fits_broadcast(hot, 128) else hot, key, "left")
-
-
-def number_parts(
-    df: DataFrame, key: str, spread: Sequence[str], hot: DataFrame, part: str = "part_no"
-) -> DataFrame:
-    """Part 0 for all rows, but hot keys are split by hash so that a (key, part) stays near the bound."""
-    parts = F.coalesce("_parts", F.lit(1))
-    number = F.pmod(F.xxhash64(*spread), parts).cast("int")
-    return _with_parts(df, key, hot).withColumn(part, number).drop("_parts")
-
-
-def repeat_parts(df: DataFrame, key: str, hot: DataFrame, part: str = "part_no") -> DataFrame:
-    """One row per part of its key: the other side of a join on (key, part)."""
-    numbers = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
-    return _with_parts(df, key, hot).withColumn(part, F.explode(numbers)).drop("_parts")

@@ -10,8 +10,6 @@ from venturelens.operators import retrieval as rt
 from venturelens.operators import runs
 from venturelens.sources.writers import bucketed
 
-KEY_PAGES = ("about", "careers", "blog")
-
 
 def store_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The table at ``path``, or no rows before the first run."""
@@ -30,13 +28,13 @@ STORE = (
 def refresh_store(spark: SparkSession, pages: DataFrame, path: str, batch: str, key_pages: tuple[str, ...] | None = None) -> DataFrame:
     """Adds the chunks of changed pages under ``batch=<id>``; a rerun of the batch writes the same rows.
 
-    ``pages`` has company, source (page type), file_path and text. The rows of the batch itself
+    ``pages`` has company, source (page type), file_path and text; of equal pages in a batch the first by path is stored. The rows of the batch itself
     are left out of the comparison, so a repeated batch overwrites its own folder with itself.
     """
     old = store_or_empty(spark, path, STORE).filter(F.col("batch") != batch)
-    seen = old.select("company", "source", "text_hash").distinct()
+    seen = old.select("company", "source", "text_hash")
     wanted = pages.filter(F.col("source").isin(list(key_pages))) if key_pages else pages
-    fresh = runs.changed_pages(wanted, seen, keys=("company", "source"))
+    fresh = runs.first_of_copies(runs.changed_pages(wanted, seen, keys=("company", "source")), ("company", "source", "text_hash"), "file_path")
     chunks = rt.chunk_rows(fresh, keep=("text_hash",))
     out = bucketed(chunks).withColumn("batch", F.lit(batch))
     (

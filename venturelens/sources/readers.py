@@ -98,7 +98,7 @@ def subset_by(df: DataFrame, lists: DataFrame, key: str = "company_id", column:
     """As ``subset`` for id lists held in a table (any number of ids)."""
     ids = lists.select(F.explode(F.split(column, ",")).alias(key)).select(F.trim(key).alias(key))
     wanted = ids.filter(F.col(key) != "").distinct()
-    return keyed_join(df, wanted, [key], 128, df.columns, "left_semi")
+    return keyed_join(df, wanted, [key], "left_semi")
 
 
 def read_pages(spark: SparkSession, path: str, run_date: str | None = None, company_id: str | None = None) -> DataFrame:

@@ -242,7 +242,7 @@ DASHBOARD = (
 )
 
 
-@query("j12_dashboard", f"with {PAY} select company_id, cast(0 as int) as part_no, {DASHBOARD} as dashboard from pay_")
+@query("j12_dashboard", f"with {PAY} select company_id, {DASHBOARD} as dashboard from pay_")
 def j12(spark, sf):
     return dashboard.structured_dashboards(payloads(spark, sf), STAMP)
 
