@@ -33,15 +33,36 @@ def test_unclosed_script_runs_to_the_end(spark):
 def test_entities(spark):
     got = values(spark, hx.decode_entities, "&amp;lt; &#65;&#x42; &nosuch; & &copy;", "plain")
     assert got == ["&lt; AB &nosuch; & ©", "plain"]
+    import html
+
+    odd = ["&#128512;&#x1F600;&hellip;", "&#0000065;", "&#xD800;|&#99999999999;|&#x110000;", "caf&eacute; &NotEqualTilde;"]
+    assert values(spark, hx.decode_entities, *odd) == [html.unescape(x) for x in odd]
+
+
+def test_footer_element_before_class_and_unclosed_items(spark):
+    page = '<div class="pre-footer"><a href="/no">No</a></div><footer><ul><li><a href="/in">caf&eacute;</a><li>x</ul></footer><a href="/out">Out</a>'
+    assert [(r.href, r.label) for r in pg.parse_footer_links(frame(spark, page), "id").collect()] == [("/in", "café")]
+
+
+def test_nested_list_items(spark):
+    page = '<div class="company-list"><div class="company"><h3>1. Acme</h3><a href="/a">x</a></div><div class="company"><span>Beta Labs</span></div></div>'
+    rows = pg.list_from_selectors(frame(spark, page), "id").orderBy("pos").collect()
+    assert [(r.name, r.url) for r in rows] == [("Acme", "/a"), ("Beta Labs", "")]
+
+
+def test_headings_inside_a_div_and_links_around(spark):
+    page = '<div><p>Our list</p><h2>1. Acme Corp</h2><a href="/b"><h3>2. Beta Labs</h3></a><h2>0000000150. Late</h2><h2>0007. Early</h2></div><script>1. no</script>'
+    rows = pg.list_from_headings(frame(spark, page), "id").orderBy("pos").collect()
+    assert [(r.name, r.url) for r in rows] == [("Acme Corp", ""), ("Beta Labs", "/b"), ("Early", "")]
 
 
 def test_footer_by_class_and_link_types(spark):
     rows = pg.parse_footer_links(frame(spark), "id").orderBy("pos").collect()
     assert [(r.href, r.label, r.aria) for r in rows] == [
-        ("/careers?x=1&y=2", "Work with us", ""), ("#top", "Top", ""),
+        ("/careers?x=1&y=2", "Work with us", ""),
         ("https://www.linkedin.com/company/ex/?t=1", "", "Network"),
     ]
-    links = pg.block_links(frame(spark), "id", pg.footer_html(hx.F.col("html"))).withColumn(
+    links = pg.parse_footer_links(frame(spark), "id").withColumn(
         "url", urls.resolve(hx.F.lit("https://ex.test"), hx.F.col("href"))
     )
     kinds = {(r.link_type, r.url) for r in pg.classify_links(links, "id").collect()}

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,22 +39,27 @@ def inner_pattern(tag: str) -> str:
     return rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"
 
 
-def decode_entities(text: Column, names: Mapping[str, int] = name2codepoint) -> Column:
+# All names of HTML 5 that end in a semicolon; some stand for two characters.
+NAMED = {name[:-1]: chars for name, chars in html5.items() if name.endswith(";")}
+
+
+def decode_entities(text: Column, names: Mapping[str, str] = NAMED) -> Column:
     """``&name;``, ``&#n;`` and ``&#xh;`` as characters, in one pass (``&amp;lt;`` gives ``&lt;``)."""
     # One literal, folded to a constant map by the optimizer.
-    table = F.from_json(F.lit(json.dumps({n: chr(code) for n, code in names.items()})), "map<string,string>")
+    table = F.from_json(F.lit(json.dumps(dict(names))), "map<string,string>")
 
     def decoded(piece: Column) -> Column:
-        dec = F.regexp_extract(piece, r"^#([0-9]{1,5});", 1)
-        code = F.when(dec != "", F.hex(dec.cast("int"))).otherwise(
-            F.regexp_extract(piece, r"^#[xX]([0-9a-fA-F]{1,4});", 1)
-        )
-        numeric = let(
-            code,
-            lambda c: F.when(
-                F.length(c).between(1, 4), F.decode(F.unhex(F.lpad(c, 4, "0")), "UTF-16BE")
-            ),
-        )
+        # Leading zeros don't count; what is no character gives the replacement character.
+        dec = F.regexp_extract(piece, r"^#0*([0-9]+);", 1)
+        short = F.when(F.length(dec).between(1, 9), F.hex(dec.cast("int"))).when(F.length(dec) > 9, F.lit("FFFFFFF"))
+        code = F.coalesce(short, F.upper(F.regexp_extract(piece, r"^#[xX]0*([0-9a-fA-F]+);", 1)))
+
+        def character(c: Column) -> Column:
+            value = F.conv(c, 16, 10).cast("bigint")
+            bad = (F.length(c) > 6) | (value > 0x10FFFF) | value.between(0xD800, 0xDFFF) | (value == 0)
+            return F.when(F.length(c) > 0, F.when(bad, F.lit("\ufffd")).otherwise(F.decode(F.unhex(F.lpad(c, 8, "0")), "UTF-32")))
+
+        numeric = let(code, character)
         named = F.try_element_at(table, F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]{1,31});", 1))
         rest = F.substring(piece, F.instr(piece, ";") + 1, F.length(piece))
         char = F.when(F.startswith(piece, F.lit("#")), numeric).otherwise(named)
@@ -74,21 +79,21 @@ def drop_blocks(html: Column, tags: Sequence[str], gap: str) -> Column:
     return out
 
 
-def visible_text(html: Column, entities: Mapping[str, int] = name2codepoint) -> Column:
+def visible_text(html: Column, entities: Mapping[str, str] = NAMED) -> Column:
     """Text without script and style, cut at line breaks and double blanks into stripped lines."""
     raw = F.regexp_replace(drop_blocks(html, HIDDEN_TAGS, ""), TAG, "")
     lines = F.transform(F.split(decode_entities(raw, entities), f"{LINE_BREAK}|  ", -1), strip)
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
-def main_text(html: Column, entities: Mapping[str, int] = name2codepoint) -> Column:
+def main_text(html: Column, entities: Mapping[str, str] = NAMED) -> Column:
     """Text without page chrome, one text node per line, lines of more than three characters."""
     raw = F.regexp_replace(drop_blocks(html, CHROME_TAGS, "\n"), TAG, "\n")
     lines = F.transform(F.split(decode_entities(raw, entities), LINE_BREAK, -1), strip)
     return F.array_join(F.filter(lines, lambda x: F.length(x) > 3), "\n")
 
 
-def inline_text(html: Column, entities: Mapping[str, int] = name2codepoint) -> Column:
+def inline_text(html: Column, entities: Mapping[str, str] = NAMED) -> Column:
     return strip(decode_entities(F.regexp_replace(html, TAG, ""), entities))
 
 
@@ -107,17 +112,13 @@ def anchors(html: Column) -> Column:
     return F.transform(
         F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(0)),
         lambda a: F.struct(
-            strip(decode_entities(_first_group(a, HREF, 3), _URL_ENTITIES)).alias("href"),
-            inline_text(a, _URL_ENTITIES).alias("label"),
+            strip(decode_entities(_first_group(a, HREF, 3))).alias("href"),
+            inline_text(a).alias("label"),
             _first_group(a, ARIA, 2).alias("aria"),
         ),
     )
 
 
-# Links use few entities; a short table keeps the expression small.
-_URL_ENTITIES = {"amp": 38, "quot": 34, "lt": 60, "gt": 62, "nbsp": 160}
-
-
 def link_types(context: Column, rules: Mapping[str, Sequence[str]] = V.LINK_RULES) -> Column:
     """Every type whose keyword is in ``context``, in rule order (one link may have several)."""
     hits = [F.when(any_of(context, words), F.lit(kind)) for kind, words in rules.items()]

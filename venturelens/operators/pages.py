@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from venturelens import vocabulary as V
 from venturelens.functions import html as hx
 from venturelens.functions import urls
+from venturelens.functions.markup import Elements
 from venturelens.functions.text import any_of, strip
 from venturelens.operators.skew import union_rows
 
@@ -98,66 +99,34 @@ def failed_page_types(
 
 # --- links -------------------------------------------------------------------------
 
-FOOTER_CLASS = r"""(?is)<(\w+)\b[^>]*?\bclass\s*=\s*["'][^"']*footer[^"']*["'][^>]*>(.*)"""
-
-
-def footer_html(html: Column) -> Column:
-    """First footer element; else what follows the first element whose class holds ``footer``."""
-    return F.when(F.regexp_like(html, F.lit(hx.inner_pattern("footer"))), hx.element(html, "footer")).otherwise(
-        F.regexp_extract(html, FOOTER_CLASS, 2)
-    )
-
-
-class _FooterLinks(HTMLParser):
-    """Links inside the first element of class ~ footer, nesting respected."""
-
-    VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+def _page_rows(pages: DataFrame, key: str, schema: str, found: Callable[[Elements], Iterator[tuple]]) -> DataFrame:
+    """(key, pos, ...) of what ``found`` yields for each page."""
+    kind = pages.schema[key].dataType.simpleString()
+    names = [part.split()[0] for part in schema.split(", ")]
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.depth, self.done, self.links, self.open = 0, False, [], False
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [(ident, i, *row) for ident, page in zip(batch[key], batch["html"]) for i, row in enumerate(found(Elements(page)))]
+            yield pd.DataFrame(out, columns=[key, "pos", *names])
 
-    def handle_starttag(self, tag, attrs):
-        if self.done or tag in self.VOID:
-            return
-        found = dict(attrs)
-        if not self.depth:
-            if tag != "footer" and "footer" not in (found.get("class") or "").lower():
-                return
-            self.depth = 1
-            return
-        self.depth += 1
-        if tag == "a" and found.get("href") is not None:
-            self.links.append([found["href"].strip(), "", found.get("aria-label") or ""])
-            self.open = True
+    return pages.select(key, "html").mapInPandas(rows, f"{key} {kind}, pos int, {schema}")
 
-    def handle_endtag(self, tag):
-        if self.depth and not self.done and tag not in self.VOID:
-            self.open = self.open and tag != "a"
-            self.depth -= 1
-            self.done = self.depth == 0
 
-    def handle_data(self, data):
-        if self.open:
-            self.links[-1][1] += data.strip()
+def _footer_links(page: Elements) -> Iterator[tuple[str, str, str]]:
+    """href, label and aria-label of the links in the page's footer: the first footer element, else the first of class ~ footer."""
+    at = page.first(lambda i: page.tags[i] == "footer")
+    if at is None:
+        at = page.first(lambda i: "footer" in page.get(i, "class").lower())
+    if at is not None:
+        for i in page.inside(at, lambda k: page.tags[k] == "a" and page.attributes[k].get("href") is not None):
+            href = page.get(i, "href").strip()
+            if href and not href.startswith("#"):
+                yield href, page.text(i), page.get(i, "aria-label")
 
 
 def parse_footer_links(pages: DataFrame, key: str) -> DataFrame:
-    """(key, pos, href, label, aria) of footer links through a parser, for class-marked footers."""
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for ident, page in zip(batch[key], batch["html"]):
-                parser = _FooterLinks()
-                parser.feed(page or "")
-                out += [(ident, i, *link) for i, link in enumerate(parser.links)]
-            yield pd.DataFrame(out, columns=[key, "pos", "href", "label", "aria"])
-
-    kind = pages.schema[key].dataType.simpleString()
-    return pages.select(key, "html").mapInPandas(
-        rows, f"{key} {kind}, pos int, href string, label string, aria string"
-    )
+    """(key, pos, href, label, aria) of footer links through a parser; empty and in-page links dropped."""
+    return _page_rows(pages, key, "href string, label string, aria string", _footer_links)
 
 
 def block_links(pages: DataFrame, key: str, block: Column) -> DataFrame:
@@ -258,96 +227,69 @@ def list_from_ld_json(pages: DataFrame, key: str) -> DataFrame:
     )
 
 
-SELECTOR_CLASSES = ["fbs-list__item", "listitem", "ranked-list-item", "list-item", "company"]
+def _class_rule(tag: str | None, part: str) -> Callable[[Elements, int], bool]:
+    """Elements with the class ``part``; of the tag ``tag``, with ``part`` anywhere in the class attribute."""
+    if tag is None:
+        return lambda page, i: part in page.get(i, "class").split()
+    return lambda page, i: page.tags[i] == tag and part in page.get(i, "class")
 
 
-class _ListItems(HTMLParser):
-    """Name and link of the elements marked as list items by class or data-type."""
+# What marks a list item, in the order in which the rules are tried.
+LIST_ITEMS: Sequence[Callable[[Elements, int], bool]] = (
+    lambda page, i: page.attributes[i].get("data-type") == "list-item",
+    _class_rule(None, "fbs-list__item"),
+    _class_rule(None, "listitem"),
+    _class_rule(None, "ranked-list-item"),
+    _class_rule("div", "list-item"),
+    _class_rule("div", "company"),
+    _class_rule("article", "company"),
+)
+NAME_TAGS = frozenset(["h2", "h3", "h4", "a", "span"])
+HEADING_TAGS = frozenset(["h2", "h3", "h4", "div", "span"])
 
-    NAMES = frozenset(["h2", "h3", "h4", "a", "span"])
 
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.stack, self.items, self.current, self.capture = [], [], None, 0
-
-    @staticmethod
-    def _marked(tag: str, attrs: dict) -> bool:
-        classes = attrs.get("class") or ""
-        exact = set(classes.split()) & {"fbs-list__item", "listitem", "ranked-list-item"}
-        part = (tag == "div" and ("list-item" in classes or "company" in classes)) or (
-            tag == "article" and "company" in classes
-        )
-        return attrs.get("data-type") == "list-item" or bool(exact) or part
+def _listed(page: Elements) -> Iterator[tuple[str, str]]:
+    """Name and link of each marked item, rule by rule, nested items too."""
+    for rule in LIST_ITEMS:
+        for i in range(len(page.tags)):
+            if rule(page, i):
+                name = next(page.inside(i, lambda k: page.tags[k] in NAME_TAGS), None)
+                link = next(page.inside(i, lambda k: page.tags[k] == "a"), None)
+                if name is not None:
+                    yield page.text(name), "" if link is None else page.get(link, "href")
 
-    def handle_starttag(self, tag, attrs):
-        found = dict(attrs)
-        marked = self.current is None and self._marked(tag, found)
-        if marked:
-            self.current = {"name": "", "url": "", "named": False, "depth": len(self.stack)}
-        elif self.current is not None:
-            if tag in self.NAMES and not self.current["named"] and not self.capture:
-                self.capture = len(self.stack) + 1
-            if tag == "a" and not self.current["url"]:
-                self.current["url"] = found.get("href") or ""
-        if tag not in _FooterLinks.VOID:
-            self.stack.append(tag)
 
-    def handle_endtag(self, tag):
-        if tag not in self.stack:
-            return
-        while self.stack and self.stack.pop() != tag:
-            pass
-        if self.capture and len(self.stack) < self.capture:
-            self.capture = 0
-            self.current["named"] = True
-        if self.current is not None and len(self.stack) <= self.current["depth"]:
-            self.items.append((self.current["name"], self.current["url"]))
-            self.current = None
-
-    def handle_data(self, data):
-        if self.capture and self.current is not None:
-            self.current["name"] += data.strip()
+def _headed(page: Elements) -> Iterator[tuple[str, str]]:
+    """Text and link (inside, else around it) of each element of a heading's tag whose text begins with a digit."""
+    for i, tag in enumerate(page.tags):
+        if tag in HEADING_TAGS and page.starts_with_digit(i):
+            link = next(page.inside(i, lambda k: page.tags[k] == "a"), None)
+            link = page.ancestor(i, "a") if link is None else link
+            yield page.text(i), "" if link is None else page.get(link, "href")
 
 
 def list_from_selectors(pages: DataFrame, key: str) -> DataFrame:
     """Names in elements marked as list items, leading rank removed (parser form)."""
-    kind = pages.schema[key].dataType.simpleString()
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for ident, page in zip(batch[key], batch["html"]):
-                parser = _ListItems()
-                parser.feed(page or "")
-                out += [(ident, i, *item) for i, item in enumerate(parser.items)]
-            yield pd.DataFrame(out, columns=[key, "pos", "name", "url"])
-
-    raw = pages.select(key, "html").mapInPandas(rows, f"{key} {kind}, pos int, name string, url string")
+    raw = _page_rows(pages, key, "name string, url string", _listed)
     return _clean(raw.withColumn("name", F.regexp_replace("name", r"^\d+\.?\s*", "")), key, [])
 
 
-HEADING = r"(?is)<(?:h2|h3|h4|div|span)\b[^>]*>.*?</(?:h2|h3|h4|div|span)\s*>"
-
-
 def list_from_headings(
     pages: DataFrame,
     key: str,
-    heading: str = HEADING,
     numbered: str = r"^(\d+)[.\s]+(.+)$",
     stop_words: Sequence[str] = V.HEADING_STOP_WORDS,
     top: int = 50,
 ) -> DataFrame:
-    """``N. Name`` headings with rank 1 to ``top``, stop words and bare numbers left out."""
-    heads = F.transform(
-        F.regexp_extract_all("html", F.lit(heading), F.lit(0)),
-        lambda h: F.struct(hx.inline_text(h).alias("label"), F.regexp_extract(h, hx.HREF_WITHIN, 1).alias("href")),
-    )
-    rows = pages.select(key, F.posexplode(heads).alias("pos", "_h")).select(
+    """``N. Name`` headings with rank 1 to ``top``, stop words and bare numbers left out (parser form)."""
+    heads = _page_rows(pages, key, "label string, url string", _headed)
+    rank = F.regexp_replace(F.regexp_extract("label", numbered, 1), "^0+(?=.)", "")
+    rows = heads.select(
         key,
         "pos",
-        F.expr("try_cast(substring(regexp_extract(_h.label, '" + numbered.replace("\\", "\\\\") + "', 1), 1, 9) as int)").alias("rank"),
-        strip(F.regexp_extract("_h.label", numbered, 2)).alias("name"),
-        F.col("_h.href").alias("url"),
+        F.when(F.length(rank).between(1, 9), rank.try_cast("int")).alias("rank"),
+        strip(F.regexp_extract("label", numbered, 2)).alias("name"),
+        "url",
     )
     ranked = rows.filter(F.col("rank").between(1, top) & ~F.regexp_like("name", F.lit(r"^\d+$")))
     return _clean(ranked.drop("rank"), key, stop_words)
