@@ -111,26 +111,30 @@ def queries_of(spark, chunks):
     return spark.createDataFrame(rows + [("nobody", 0, rows[0][2])], "company string, query_no int, embedding array<float>")
 
 
-def test_top_k_matches_brute_force_on_both_ways(spark, monkeypatch):
+def test_top_k_matches_brute_force_whatever_the_blocks(spark):
     st_ = store(spark)
     chunks = st_.collect()
     queries = queries_of(spark, chunks)
     want = by_hand(chunks, queries.collect(), 4)
     take = lambda df: {(r.company, r.query_no, r.chunk_key, r["rank"]) for r in df.collect()}
     vectors = st_.select("company", "chunk_key", "embedding")
-    assert take(rt.search_company(vectors, queries, 4, size=8)) == want
-    monkeypatch.setattr(rt, "few_vectors", lambda *args, **more: None)
-    shuffled = rt.search_company(vectors, queries, 4, size=8)
-    assert take(shuffled) == want
-    assert "CartesianProduct" not in plan_of(shuffled) and "NestedLoop" not in plan_of(shuffled)
+    whole = rt.search_company(vectors, queries, 4)
+    assert take(whole) == want
+    assert take(rt.search_company(vectors, queries, 4, block_bytes=1)) == want
+    assert "CartesianProduct" not in plan_of(whole) and "NestedLoop" not in plan_of(whole)
 
 
 def test_no_queries_and_odd_vectors(spark):
     st_ = store(spark).select("company", "chunk_key", "embedding")
     queries = queries_of(spark, st_.withColumn("content", F.lit("")).collect())
-    assert rt.search_company(st_, queries.limit(0), 3, size=8).count() == 0
-    odd = spark.createDataFrame([("hot", -1, [9.0]), ("hot", -2, None), (None, -3, [1.0] * 8)], st_.schema)
-    assert rt.search_company(st_.union(odd), queries, 3, size=8).filter("chunk_key < 0").count() == 0
+    assert rt.search_company(st_, queries.limit(0), 3).count() == 0
+    odd = spark.createDataFrame([("hot", -1, [9.0]), ("hot", -2, None), (None, -3, [1.0] * 8), ("hot", -4, [None] + [1.0] * 7)], st_.schema)
+    odd_queries = spark.createDataFrame(
+        [("hot", 70, [2.0]), ("hot", 71, None), ("hot", 72, [1.0, None]), ("hot", 73, [1.0] * 3), (None, 74, [1.0] * 8)], queries.schema
+    )
+    for size in (1, 1 << 26):
+        rows = rt.search_company(st_.union(odd), queries.union(odd_queries), 3, block_bytes=size).collect()
+        assert {(r.query_no, r.chunk_key, r.score) for r in rows if r.chunk_key < 0 or r.query_no >= 70} == {(70, -1, 18.0)}
 
 
 def test_search_all_is_a_top_k(spark):
@@ -143,7 +147,7 @@ def test_search_all_is_a_top_k(spark):
 
 
 def test_window_group_limit_before_the_shuffle(spark):
-    plan_text = plan_of(rt.search_company(store(spark), queries_of(spark, store(spark).collect()), 3, size=8))
+    plan_text = plan_of(rt.search_company(store(spark), queries_of(spark, store(spark).collect()), 3))
     assert plan_text.count("WindowGroupLimit") == 2
 
 
@@ -182,5 +186,5 @@ def test_index_build_and_retrieve(spark):
     norms = index.select(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x).alias("n")).collect()
     assert all(abs(r.n - 1) < 1e-5 for r in norms)
     queries = spark.createDataFrame([("c0", 0, [1.0, 0.0, 0.0, 0.0]), ("c1", 0, [0.0, 1.0, 0.0, 0.0])], "company string, query_no int, embedding array<float>")
-    hits = plan.retrieve(index, queries, k=2, size=4).collect()
+    hits = plan.retrieve(index, queries, k=2).collect()
     assert len(hits) == 4 and {h.company for h in hits} == {"c0", "c1"}

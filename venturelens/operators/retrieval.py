@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from venturelens import vocabulary as V
 from venturelens.functions import text as tx
 from venturelens.functions import vectors as vx
-from venturelens.operators.skew import BROADCAST_BYTES, salt_of, top_per_group
+from venturelens.operators.skew import BROADCAST_BYTES, top_per_group, union_rows
 
 # --- chunks --------------------------------------------------------------------------
 
@@ -131,50 +131,66 @@ def _rows_by_value(names: pa.Array) -> Iterator[tuple[object, np.ndarray]]:
         yield groups.dictionary[int(codes[rows[0]])].as_py(), rows
 
 
-def few_vectors(
-    queries: DataFrame, company: str = "company", query: str = "query_no", row_bytes: int = 64 + 8 * 1024
-) -> pa.Table | None:
-    """The query vectors, if they number no more than 64 MB hold at ``row_bytes`` each; else None.
+def query_blocks(
+    queries: DataFrame, company: str = "company", query: str = "query_no", block_bytes: int = BROADCAST_BYTES
+) -> Iterator[dict[tuple[object, int], tuple[np.ndarray, np.ndarray]]]:
+    """The query vectors in blocks of at most ``block_bytes`` as they are measured: (company, width) -> numbers, matrix.
 
-    One bounded read serves as the size check and as the collection.
+    Rows without company, vector or one of its numbers can't have a score and are left out.
     """
-    bound = BROADCAST_BYTES // row_bytes
-    rows = queries.select(company, F.col(query).cast("bigint"), "embedding").limit(bound + 1).toArrow()
-    return rows.combine_chunks() if rows.num_rows <= bound else None
+    held, size = {}, 0
+
+    def block():
+        return {key: (np.array([n for n, _ in rows]), np.stack([v for _, v in rows])) for key, rows in held.items()}
+
+    rows = queries.select(F.col(company).alias("c"), F.col(query).cast("bigint").alias("n"), F.col("embedding").alias("v"))
+    for row in rows.filter("c is not null and n is not null and v is not null").toLocalIterator():
+        vector = np.array(row.v, dtype="float64")
+        if np.isnan(vector).any() or not len(vector):
+            continue
+        if held and size + vector.nbytes > block_bytes:
+            yield block()
+            held, size = {}, 0
+        held.setdefault((row.c, len(vector)), []).append((row.n, vector))
+        size += vector.nbytes
+    if held:
+        yield block()
 
 
 def _best_of_batches(
-    chunks: DataFrame, few: pa.Table, k: int, company: str, query: str, id_: str
+    chunks: DataFrame, tables: Mapping[tuple[object, int], tuple[np.ndarray, np.ndarray]], k: int, company: str, query: str, id_: str
 ) -> DataFrame:
     """Per Arrow batch, company and query the chunks that may be among the top ``k``.
 
-    The query vectors travel with the function; chunk vectors are scored as one matrix product per
-    batch and company, and only the best ``k`` (with ties) leave the task.
+    A block of query vectors is sent to the tasks; chunk vectors are scored as one matrix product per batch, company
+    and width, and only the best ``k`` (with ties) leave the task. A chunk scores for queries of its own width only.
     """
-    width, tables = 0, {}
-    if few.num_rows:
-        wanted = few.column(2).combine_chunks().flatten().to_numpy().astype("float64").reshape(few.num_rows, -1)
-        numbers, width = few.column(1).to_numpy(), wanted.shape[1]
-        owners = _rows_by_value(few.column(0).combine_chunks())
-        tables = {name: (numbers[rows], wanted[rows]) for name, rows in owners}
+    shared = chunks.sparkSession.sparkContext.broadcast(dict(tables))
     kind = {c: chunks.schema[c].dataType.simpleString() for c in (company, id_)}
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            matrix = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            lists = batch.column(2)
+            widths = lists.value_lengths().to_numpy(zero_copy_only=False)
             rows_, numbers_, scores_ = [], [], []
             for name, rows in _rows_by_value(batch.column(0)):
-                if name not in tables:
-                    continue
-                own_numbers, own_vectors = tables[name]
-                scores = np.round(matrix[rows].astype("float64") @ own_vectors.T, SCORE_DIGITS)
-                bar = np.partition(scores, -k, axis=0)[-k] if len(rows) > k else -np.inf
-                at, of = np.nonzero(scores >= bar)
-                rows_.append(rows[at])
-                numbers_.append(own_numbers[of])
-                scores_.append(scores[at, of])
+                for width in {w for n, w in own if n == name}:
+                    mine = rows[widths[rows] == width]
+                    if not len(mine):
+                        continue
+                    matrix = lists.take(pa.array(mine)).flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, width)
+                    whole = ~np.isnan(matrix).any(axis=1)
+                    mine, matrix = mine[whole], matrix[whole]
+                    numbers, vectors = own[name, width]
+                    scores = np.round(matrix @ vectors.T, SCORE_DIGITS)
+                    bar = np.partition(scores, -k, axis=0)[-k] if len(mine) > k else -np.inf
+                    at, of = np.nonzero(scores >= bar)
+                    rows_.append(mine[at])
+                    numbers_.append(numbers[of])
+                    scores_.append(scores[at, of])
             if rows_:
                 picked = pa.array(np.concatenate(rows_))
                 yield pa.RecordBatch.from_arrays(
@@ -187,24 +203,12 @@ def _best_of_batches(
                     names=[company, id_, query, "score"],
                 )
 
-    full = chunks.select(company, id_, "embedding").filter(
-        F.col(company).isNotNull() & (F.size("embedding") == width)
-    )
+    full = chunks.select(company, id_, "embedding").filter(F.col(company).isNotNull() & F.col("embedding").isNotNull())
     return full.mapInArrow(
         best, f"`{company}` {kind[company]}, `{id_}` {kind[id_]}, `{query}` bigint, score double"
     )
 
 
-def _all_pairs(chunks: DataFrame, queries: DataFrame, company: str, query: str, id_: str, salts: int) -> DataFrame:
-    """Scores by a salted equi-join: a hot company's chunks are spread, its queries repeated per salt."""
-    repeated = queries.select(company, query, F.col("embedding").alias("_q")).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    joined = chunks.withColumn("_salt", salt_of([id_], salts)).join(repeated, [company, "_salt"])
-    score = F.round(vx.dot(F.col("embedding"), F.col("_q")), SCORE_DIGITS)
-    return joined.select(company, id_, F.col(query).cast("bigint").alias(query), score.alias("score"))
-
-
 def search_company(
     chunks: DataFrame,
     queries: DataFrame,
@@ -212,22 +216,19 @@ def search_company(
     company: str = "company",
     query: str = "query_no",
     id_: str = "chunk_key",
-    size: int = 1024,
-    salts: int = 32,
-    few: pa.Table | None = None,
+    block_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Top ``k`` chunks of each query among the chunks of the query's own company (ties: lowest id).
 
     Companies are matched before anything is ranked, and only ids and scores are ranked; content is
-    joined to the winners afterwards. Up to 64 MB of query vectors (``size`` numbers each, or the
-    ones given as ``few``) are sent to the tasks; more go through a shuffle join.
+    joined to the winners afterwards. Queries go to the tasks in blocks of bounded size, each by the same
+    matrix product, so their number changes the count of scans and nothing else.
     """
-    few = few if few is not None else few_vectors(queries, company, query, 64 + 8 * size)
-    if few is not None:
-        scored, salts = _best_of_batches(chunks, few, k, company, query, id_), 1
-    else:
-        scored = _all_pairs(chunks, queries, company, query, id_, salts)
-    return top_per_group(scored, [company, query], [F.col("score").desc(), F.col(id_)], k, [id_], salts=salts)
+    scored = [_best_of_batches(chunks, block, k, company, query, id_) for block in query_blocks(queries, company, query, block_bytes)]
+    if not scored:
+        scored = [_best_of_batches(chunks, {}, k, company, query, id_)]
+    rows = union_rows(scored)
+    return top_per_group(rows, [company, query], [F.col("score").desc(), F.col(id_)], k, [id_], salts=1)
 
 
 def search_all(

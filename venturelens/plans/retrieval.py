@@ -18,23 +18,16 @@ def build_index(files: DataFrame, model: Callable) -> DataFrame:
     return rt.embed(keyed, model)
 
 
-def retrieve(
-    store: DataFrame, queries: DataFrame, k: int = 3, top_k: int = 15, size: int = 1024
-) -> DataFrame:
+def retrieve(store: DataFrame, queries: DataFrame, k: int = 3, top_k: int = 15) -> DataFrame:
     """Top ``k`` per query, equal contents once, at most ``top_k`` per company.
 
     Ranking moves ids and scores only. The content is joined back to the winners, of which there
-    are at most ``k`` per query: where the counted queries bound them to a broadcast, the store's
-    text is scanned once and never shuffled.
+    are at most ``k`` per query; the engine decides how.
     """
-    vectors = store.select("company", "chunk_key", "embedding")
-    few = rt.few_vectors(queries, row_bytes=max(64 + 8 * size, 128 * k))
-    winners = rt.search_company(vectors, queries, k, size=size, few=few)
-    if few is not None:
-        winners = F.broadcast(winners)
+    winners = rt.search_company(store.select("company", "chunk_key", "embedding"), queries, k)
     hits = store.drop("embedding").join(winners, ["company", "chunk_key"])
     return rt.cap_hits(rt.dedupe_ordered(hits), top_k)
 
 
-def contexts(companies: DataFrame, store: DataFrame, queries: DataFrame, k: int = 3, top_k: int = 15, size: int = 1024) -> DataFrame:
-    return rt.context_texts(companies, retrieve(store, queries, k, top_k, size))
+def contexts(companies: DataFrame, store: DataFrame, queries: DataFrame, k: int = 3, top_k: int = 15) -> DataFrame:
+    return rt.context_texts(companies, retrieve(store, queries, k, top_k))

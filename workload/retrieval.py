@@ -152,7 +152,7 @@ def i03_embed(spark, sf):
     f"with {STORE_CTE} select company, cast(query_no as bigint) as query_no, chunk_key, cast(rank as bigint) as rank, round(score, 6) as score from hits_",
 )
 def i04(spark, sf):
-    hits = rt.search_company(vectors(spark, sf), query_vectors(spark, sf), 3, size=DIM)
+    hits = rt.search_company(vectors(spark, sf), query_vectors(spark, sf), 3)
     return hits.select(
         "company",
         F.col("query_no").cast("bigint").alias("query_no"),
@@ -182,7 +182,7 @@ def i05(spark, sf):
 )
 def i06(spark, sf):
     st = store(spark, sf)
-    hits = rt.search_company(st.select("company", "chunk_key", "embedding"), query_vectors(spark, sf), 3, size=DIM)
+    hits = rt.search_company(st.select("company", "chunk_key", "embedding"), query_vectors(spark, sf), 3)
     full = hits.join(st.drop("embedding"), ["company", "chunk_key"]).select(
         "company", "source", F.col("chunk_key").alias("chunk_id"), F.lit(None).cast("string").alias("file_path"), "content"
     )
@@ -209,7 +209,7 @@ def i07(spark, sf):
     cast(rank as bigint) as rank, chunk_key, source, content, round(score, 6) as score from capped_""",
 )
 def i08(spark, sf):
-    hits = plan.retrieve(store(spark, sf), query_vectors(spark, sf), size=DIM)
+    hits = plan.retrieve(store(spark, sf), query_vectors(spark, sf))
     return hits.select(
         "company",
         F.col("position").cast("bigint").alias("position"),
@@ -228,7 +228,7 @@ def i08(spark, sf):
     where position <= 4 group by company""",
 )
 def i09(spark, sf):
-    hits = plan.retrieve(store(spark, sf), query_vectors(spark, sf), top_k=4, size=DIM)
+    hits = plan.retrieve(store(spark, sf), query_vectors(spark, sf), top_k=4)
     return hits.groupBy("company").agg(
         F.count(F.lit(1)).alias("n"), F.max("position").cast("bigint").alias("last")
     )
@@ -252,7 +252,7 @@ def companies(spark, sf):
 
 @query("i10_context_texts", f"with {CONTEXT_CTE} select * from context_")
 def i10(spark, sf):
-    return plan.contexts(companies(spark, sf), store(spark, sf), query_vectors(spark, sf), size=DIM)
+    return plan.contexts(companies(spark, sf), store(spark, sf), query_vectors(spark, sf))
 
 
 _TEMPLATE = rt.DEFAULT_TEMPLATE.replace("'", "''").replace("\n", "' || chr(10) || '")
@@ -265,7 +265,7 @@ _TEMPLATE = rt.DEFAULT_TEMPLATE.replace("'", "''").replace("\n", "' || chr(10) |
     || 'Use only the context above. Where something is missing, write "Not disclosed."' || chr(10) as prompt from context_""",
 )
 def i11(spark, sf):
-    return rt.prompts(plan.contexts(companies(spark, sf), store(spark, sf), query_vectors(spark, sf), size=DIM))
+    return rt.prompts(plan.contexts(companies(spark, sf), store(spark, sf), query_vectors(spark, sf)))
 
 
 @query("i12_store_size", "select cast(count(*) as bigint) as total_documents from embeddings")
