@@ -8,8 +8,10 @@ picked. A pair is verified if it shares the smaller l of its two documents, whic
 1. Exact copies of a set are one class; the class with the smallest id goes on.
 2. In each prefix list the smallest id is a hub. A document is verified against the hubs with which it shares most; that links
    groups of near copies by stars instead of pairs.
-3. Lists whose documents aren't all in one component by then are joined with themselves, pairs within a component left out; what shares
-   enough is verified. That finds every link between components, so components are exact.
+3. Documents that long lists (over ``hot`` documents) connect form clusters: large groups of alike texts, as frequent shingles come last in the order.
+   A cluster's sets are compared block by block inside the tasks, by counting over an inverted index; a block returns a spanning forest of its links.
+4. Short lists whose documents aren't all in one component by then are joined with themselves, pairs within a component or a cluster left out; what
+   shares enough is verified. Steps 3 and 4 together see every pair that shares enough, so components are exact.
 
 The sketch only orders: it has a fixed size, and any order gives the same result. Sets of candidates are made again from
 the texts for verification, never gathered. Shingles are compared by 64-bit hashes.
@@ -30,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from venturelens.llm.common import as_bytes, fresh, pieces
+from venturelens.llm.common import as_bytes, fresh, pieces, ranges
 from venturelens.llm.graph import components
 from venturelens.llm.sparse_suffix import gram_hashes, mixed
 from venturelens.operators.skew import union_rows
@@ -42,6 +44,8 @@ BLOCK = 1 << 14
 MEMO = 1 << 18
 VERIFY = 20.0  # cost of a verification in prefix rows
 LONGEST = 16  # largest number of matches asked for
+HOT = 64  # documents of a list from which on it makes a cluster
+BLOCK_TOKENS = 1 << 20  # shingles in a block of a cluster
 
 _WORDS: dict[bytes, int] = {}
 
@@ -204,6 +208,78 @@ def _sizes_fit(a: Column, b: Column, numerator: int, denominator: int) -> Column
     return F.lit(denominator) * F.least(a, b) >= F.lit(numerator) * F.greatest(a, b)
 
 
+def block_links(tokens: list[np.ndarray], ids: np.ndarray, blocks: np.ndarray, numerator: int, denominator: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between two blocks (0 and 1), or within one if all are of block 0."""
+    sizes = np.array([len(t) for t in tokens], np.int64)
+    flat, owner = np.concatenate(tokens), np.repeat(np.arange(len(tokens)), sizes)
+    order = np.argsort(flat, kind="stable")
+    owner, first = owner[order], np.ones(len(flat), bool)
+    first[1:] = flat[order[1:]] != flat[order[:-1]]
+    begin = np.flatnonzero(first)
+    length = np.diff(np.append(begin, len(flat)))
+    number = np.empty(len(flat), np.int64)  # list of each token of each set
+    number[order] = np.cumsum(first) - 1
+    top = list(range(len(tokens)))
+
+    def find(x: int) -> int:
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    one = not (blocks == 1).any()
+    at, found = 0, []
+    for a in range(len(tokens)):
+        lists = number[at : at + sizes[a]]
+        at += sizes[a]
+        if blocks[a] != 0:
+            continue
+        lists = lists[length[lists] > 1]
+        if not len(lists):
+            continue
+        count = length[lists]
+        others = owner[np.repeat(begin[lists], count) + ranges(count)]
+        common = np.bincount(others, minlength=len(tokens))
+        good = (common > 0) & (denominator * common >= numerator * (sizes + sizes[a] - common))
+        good &= np.arange(len(tokens)) > a if one else blocks == 1
+        for b in np.flatnonzero(good).tolist():
+            x, y = find(a), find(b)
+            if x != y:
+                top[y] = x
+                found.append((int(ids[a]), int(ids[b])))
+    return found
+
+
+def cluster_links(clusters: DataFrame, texts: DataFrame, size: int, numerator: int, denominator: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """Links ``a, b`` (a spanning forest per pair of blocks) within clusters ``id, component, n_shingles``."""
+    whole = clusters.groupBy("component").agg(F.ceil(F.sum("n_shingles") / block_tokens).cast("int").alias("blocks"))
+    placed = clusters.join(whole, "component").select("id", "component", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+    placed = _stored(placed, "clusters")
+    own = texts.join(placed.withColumnRenamed("id", "_id"), "_id")
+    sets = own.select("_id", "_text", "component", "blocks", "block")
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, "_text"):
+            found = [s.tobytes() for s in shingle_sets(as_bytes(b.column("_text")), size)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("_id"), b.column("component"), b.column("blocks"), b.column("block"), pa.array(found, pa.binary())], ["id", "component", "blocks", "block", "tokens"]
+            )
+
+    sets = sets.mapInArrow(make, "id long, component long, blocks int, block int, tokens binary")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    paired = sets.withColumn("other", other).select(
+        "id", "tokens", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side")
+    )
+
+    def link(table: pa.Table) -> pa.Table:
+        tokens = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
+        ids, side = table.column("id").to_numpy(), table.column("side").to_numpy()
+        found = block_links(tokens, ids, side, numerator, denominator)
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return paired.groupBy("component", "i", "j").applyInArrow(link, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_: str = "doc_id",
@@ -213,6 +289,8 @@ def near_duplicates(
     denominator: int = 100,
     hubs: int = 2,
     width: int = SKETCH,
+    hot: int = HOT,
+    block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of each row: documents link at a similarity of ``numerator / denominator`` or more."""
     texts = docs.select(F.col(id_).cast("long").alias("_id"), F.col(text).alias("_text"))
@@ -235,27 +313,45 @@ def near_duplicates(
     )
     best = Window.partitionBy("doc_id").orderBy(F.desc("shared"), "hub")
     first_pairs = _stored(star.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= hubs).select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct(), "star-pairs")
-    links = _stored(verified(first_pairs, texts, size, numerator, denominator), "star-links")
-    stars = components(links)
-    # Lists with documents of several components, and the pairs across.
+    links = verified(first_pairs, texts, size, numerator, denominator)
+    # Long lists: clusters, compared in blocks.
+    lengths = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("n_docs"))
+    long_ = prefix.join(lengths.filter(F.col("n_docs") > hot).select("token"), "token", "left_semi").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    clusters = components(long_).join(about.select(F.col("doc_id").alias("id"), F.col("hub_max").alias("n_shingles")), "id")
+    clusters = _stored(clusters, "cluster-members")
+    dense = cluster_links(clusters, texts, size, numerator, denominator, block_tokens)
+    stars = _stored(components(union_rows([links, dense])), "first-components")
+    # Short lists with documents of several components, and the pairs across.
+    length_of = F.col("n_shingles") - F.ceil(F.col("n_shingles") * numerator / denominator) + F.col("matches")
     marked = prefix.drop("hub").join(stars.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    marked = _stored(marked, "marked-lists")
-    open_ = marked.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token")
+    marked = marked.join(clusters.select(F.col("id").alias("doc_id"), F.col("component").alias("cluster")), "doc_id", "left")
+    marked = _stored(marked.withColumn("rest", F.col("n_shingles") - length_of), "marked-lists")
+    open_ = (
+        marked.groupBy("token")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n_docs"))
+        .filter((F.col("lo") != F.col("hi")) & (F.col("n_docs") <= hot))
+        .select("token")
+    )
     left = marked.join(open_, "token", "left_semi")
-    a = left.select("token", *[F.col(c).alias(f"{c}_a") for c in ("doc_id", "n_shingles", "matches", "place", "component")])
-    b = left.select("token", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "n_shingles", "matches", "place", "component")])
+    carried = ("doc_id", "n_shingles", "matches", "place", "component", "cluster", "rest")
+    a = left.select("token", *[F.col(c).alias(f"{c}_a") for c in carried])
+    b = left.select("token", *[F.col(c).alias(f"{c}_b") for c in carried])
     n_a, n_b, p_a, p_b = (F.col(c) for c in ("n_shingles_a", "n_shingles_b", "place_a", "place_b"))
     # What can still be shared: the places before on both sides, this one, and the places after.
     most = F.least(p_a, p_b) + F.least(n_a - p_a, n_b - p_b)
     across = a.join(b, "token").filter(
         (F.col("component_a") < F.col("component_b"))
+        & ~F.coalesce(F.col("cluster_a") == F.col("cluster_b"), F.lit(False))
         & _sizes_fit(n_a, n_b, numerator, denominator)
         & (F.lit(numerator + denominator) * most >= F.lit(numerator) * (n_a + n_b))
     )
     pairs = across.groupBy("doc_id_a", "doc_id_b", "n_shingles_a", "n_shingles_b").agg(
-        F.count(F.lit(1)).alias("shared"), F.min(F.least("matches_a", "matches_b")).alias("least")
+        F.count(F.lit(1)).alias("shared"), F.min(F.least("matches_a", "matches_b")).alias("least"), F.max(F.greatest("rest_a", "rest_b")).alias("rest")
     )
-    pairs = pairs.filter("shared >= least").select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
+    # Beyond the prefixes at most ``rest`` more can be shared.
+    enough = F.lit(numerator + denominator) * (F.col("shared") + F.col("rest")) >= F.lit(numerator) * (n_a + n_b)
+    pairs = pairs.filter((F.col("shared") >= F.col("least")) & enough)
+    pairs = pairs.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
     pairs = _stored(pairs.join(first_pairs, ["a", "b"], "left_anti"), "cross-pairs")
     more = verified(pairs, texts, size, numerator, denominator)
     # Ids with several sets link their classes: the id itself is the node.
