@@ -23,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from venturelens.llm.common import as_bytes, pieces
+from venturelens.llm.common import as_bytes, pieces, ranges
 
-MEMO = 1 << 17
+MEMO = 1 << 18  # units remembered; as many again of the memory before
+LINE_UNITS = 256
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
@@ -36,6 +37,27 @@ ORC_OPTIONS = {
 }
 
 
+class Memory:
+    """Ids of units in one flat array; a unit's number tells where they stand."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.start, self.length, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+
+    def add(self, units: list[bytes], length: np.ndarray, flat: np.ndarray) -> None:
+        known = len(self.numbers)
+        self.numbers.update(zip(units, range(known, known + len(units)), strict=True))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def take(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each unit, and all their ids."""
+        at = np.fromiter(map(self.numbers.__getitem__, units), np.int64, len(units))
+        length = self.length[at]
+        return length, self.flat[np.repeat(self.start[at], length) + ranges(length)]
+
+
 class Encoder:
     """The library's tokenizer with a memory of units."""
 
@@ -44,40 +66,43 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[bytes, np.ndarray] = {}
-        self.older: dict[bytes, np.ndarray] = {}
+        self.memory, self.older = Memory(), Memory()
+
+    def _fresh(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``Memory.take``, by the library: units go in joined by spaces, and an id's offset tells its unit."""
+        texts = [u.decode("utf-8") for u in units]
+        lines = [texts[at : at + LINE_UNITS] for at in range(0, len(texts), LINE_UNITS)]
+        lengths, flat = [], []
+        for line, found in zip(lines, self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+            begins = np.cumsum([0] + [len(x) + 1 for x in line[:-1]])
+            offsets = np.array([a for a, _ in found.offsets], np.int64)
+            lengths.append(np.bincount(np.searchsorted(begins, offsets, side="right") - 1, minlength=len(line)))
+            flat.append(np.array(found.ids, np.int32))
+        return np.concatenate(lengths), np.concatenate(flat)
 
     def _learn(self, units: list[bytes]) -> None:
-        if len(self.memo) > MEMO:
-            self.older, self.memo = self.memo, {}
-        fresh = []
-        for u in dict.fromkeys(units):
-            if u in self.memo:
-                continue
-            if (known := self.older.get(u)) is not None:
-                self.memo[u] = known
-            else:
-                fresh.append(u)
-        for at in range(0, len(fresh), 5000):
-            part = fresh[at : at + 5000]
-            for u, e in zip(part, self.tokenizer.encode_batch([u.decode("utf-8") for u in part], add_special_tokens=False), strict=True):
-                self.memo[u] = np.array(e.ids, np.int32)
+        if len(self.memory.numbers) > MEMO:
+            self.older, self.memory = self.memory, Memory()
+        missing = [u for u in dict.fromkeys(units) if u not in self.memory.numbers]
+        known = [u for u in missing if u in self.older.numbers]
+        if known:
+            self.memory.add(known, *self.older.take(known))
+        unseen = [u for u in missing if u not in self.older.numbers]
+        for at in range(0, len(unseen), 1 << 14):
+            part = unseen[at : at + (1 << 14)]
+            self.memory.add(part, *self._fresh(part))
 
     def encode(self, texts: list[bytes | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id, and where each text's ids begin."""
         split = [(t or b"").split() for t in texts]
-        self._learn([u for units in split for u in units])
-        parts, starts, total = [], [0], 0
-        last = np.array([end], np.int32)
-        memo = self.memo
-        for units in split:
-            own = [memo[u] for u in units]
-            own.append(last)
-            ids = np.concatenate(own)
-            parts.append(ids)
-            total += len(ids)
-            starts.append(total)
-        return np.concatenate(parts), np.array(starts, np.int32)
+        units = [u for own in split for u in own]
+        self._learn(units)
+        length, flat = self.memory.take(units)
+        before = np.concatenate([[0], np.cumsum(length)])
+        cuts = before[np.cumsum([len(own) for own in split], dtype=np.int64)]
+        starts = np.concatenate([[0], cuts + np.arange(1, len(texts) + 1)])
+        ids = np.insert(flat, cuts, end)
+        return ids, starts.astype(np.int32)
 
 
 _ENCODERS: dict[str, Encoder] = {}
