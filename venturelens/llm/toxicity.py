@@ -33,6 +33,7 @@ from venturelens.llm.common import as_bytes, crc32_mod, pieces, ranges
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
 MEMO = 1 << 17
+STEP_WORDS = 1 << 17  # words of the chains that are walked at a time in training
 CHAIN = 256  # words; in training, longer texts are several chains, so that they can be walked side by side
 SPAN = "struct<start:int,end:int,probability:double>"
 
@@ -162,21 +163,38 @@ def forward_backward(emit: np.ndarray, sizes: np.ndarray, start: float, move: np
     return p, pair
 
 
+def marginals(emit: np.ndarray, flat: np.ndarray, sizes: np.ndarray, start: float, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``forward_backward`` of the words ``flat`` with log-potentials ``emit`` by word, some chains at a time to bound its memory."""
+    p, pair = np.zeros(len(flat)), np.zeros((2, 2))
+    ends = np.cumsum(sizes)
+    at = done = 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(ends, done + STEP_WORDS, side="right")))
+        until = int(ends[to - 1])
+        p[done:until], own = forward_backward(emit[flat[done:until]], sizes[at:to], start, move)
+        pair += own
+        at, done = to, until
+    return p, pair
+
+
 def fit(texts: list[str], labels: list[int], rounds: int = 40, rate: float = 0.5, penalty: float = 1e-3) -> Model:
     """A model from labelled documents."""
     if not labels or len(set(labels)) < 2:
         return Model(base=float(sum(labels)) / len(labels) if labels else 0.0)
-    docs = [words_of(t) for t in texts]
+    same: dict[str, str] = {}  # one string per word
+    docs = [[same.setdefault(w, w) for w in words_of(t)] for t in texts]
     chosen = toxic_features(docs, labels)
     number: dict[str, int] = {}
-    ids = [np.array([number.setdefault(w, len(number)) for w in d], np.int64) for d in docs]
+    n_docs = len(docs)
+    ids = [np.array([number.setdefault(w, len(number)) for w in d], np.int32) for d in docs]
+    del docs, same
     owner = np.array([i for i, x in enumerate(ids) for _ in range(-(-len(x) // CHAIN))], np.int64)
     ids = [x[k : k + CHAIN] for x in ids for k in range(0, len(x), CHAIN)]
     kinds = [features(w) for w in number]
     marked = np.array([any(f in chosen for f in fs) for fs in kinds], bool)
-    flat = np.concatenate([x for x in ids if len(x)] or [np.zeros(0, np.int64)])
+    flat = np.concatenate([x for x in ids if len(x)] or [np.zeros(0, np.int32)])
     sizes = np.array([len(x) for x in ids], np.int64)
-    doc = np.repeat(owner, sizes)
+    doc = np.repeat(owner.astype(np.int32), sizes)
     truth = marked[flat] & (np.array(labels)[doc] == 1)
     names = sorted({f for fs in kinds for f in fs})
     index = {f: bucket(f) for f in names}
@@ -199,7 +217,7 @@ def fit(texts: list[str], labels: list[int], rounds: int = 40, rate: float = 0.5
 
     for _ in range(rounds):
         by_word = bias + np.bincount(row, weights=w[column], minlength=len(kinds))
-        p, pair = forward_backward(by_word[flat], sizes, start, move)
+        p, pair = marginals(by_word, flat, sizes, start, move)
         rest = truth - p
         by_word_rest = np.bincount(flat, weights=rest, minlength=len(kinds))
         gradient = np.bincount(column, weights=by_word_rest[row], minlength=len(used)) * scale - penalty * w
@@ -210,8 +228,8 @@ def fit(texts: list[str], labels: list[int], rounds: int = 40, rate: float = 0.5
     weights = np.zeros(BUCKETS, np.float32)
     weights[used] = w
     model = Model(weights, bias, start, move, fitted=True)
-    p, _ = forward_backward(bias + np.bincount(row, weights=w[column], minlength=len(kinds))[flat], sizes, start, move)
-    model.slope, model.offset = _calibrated(evidence_of(p, doc, len(docs)), np.array(labels, float))
+    p, _ = marginals(bias + np.bincount(row, weights=w[column], minlength=len(kinds)), flat, sizes, start, move)
+    model.slope, model.offset = _calibrated(evidence_of(p, doc, n_docs), np.array(labels, float))
     return model
 
 
