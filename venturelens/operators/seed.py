@@ -27,7 +27,7 @@ def first_reachable(cands: DataFrame, status: DataFrame, key: str, ok: Column) -
 def enrich_urls(
     seed: DataFrame,
     status: DataFrame,
-    known_domains: Mapping[str, str] | DataFrame = {},
+    known_domains: Mapping[str, str] | DataFrame = V.KNOWN_DOMAINS,
     key: str = "company_id",
     name: str = "company_name",
 ) -> DataFrame:
@@ -49,7 +49,7 @@ def enrich_urls(
 
 
 def with_known_domain(
-    seed: DataFrame, known_domains: Mapping[str, str] | DataFrame, name: str = "company_name"
+    seed: DataFrame, known_domains: Mapping[str, str] | DataFrame = V.KNOWN_DOMAINS, name: str = "company_name"
 ) -> DataFrame:
     """Adds ``known_url`` by squeezed name. A dict becomes a literal map; a table is joined by size."""
     squeezed = urls.squeezed_name(F.col(name))

@@ -221,3 +221,57 @@ CHUNK_OVERLAP = 200
 CHUNK_SEPARATORS = ["\n\n", "\n", ". ", " ", ""]
 HEADCOUNT_MIN, HEADCOUNT_MAX = 5, 100_000
 JOBS_MIN, JOBS_MAX, JOBS_CAP = 1, 500, 200
+
+# --- fixed values: company name without blanks and dots -> its domain ----------------
+KNOWN_DOMAINS = {
+    "openai": "openai.com",
+    "anthropic": "anthropic.com",
+    "huggingface": "huggingface.co",
+    "cohere": "cohere.com",
+    "midjourney": "midjourney.com",
+    "mistralai": "mistral.ai",
+    "perplexityai": "perplexity.ai",
+    "runwayml": "runwayml.com",
+    "elevenlabs": "elevenlabs.io",
+    "databricks": "databricks.com",
+    "scaleai": "scale.com",
+    "glean": "glean.com",
+    "notion": "notion.so",
+    "deepl": "deepl.com",
+    "abridge": "abridge.com",
+    "anysphere": "cursor.sh",
+    "baseten": "baseten.co",
+    "captions": "captions.ai",
+    "clay": "clay.com",
+    "coactiveai": "coactive.ai",
+    "crusoe": "crusoeenergy.com",
+    "decagon": "decagon.ai",
+    "figureai": "figure.ai",
+    "fireworksai": "fireworks.ai",
+    "harvey": "harvey.ai",
+    "hebbia": "hebbia.ai",
+    "lambda": "lambdalabs.com",
+    "langchain": "langchain.com",
+    "luminance": "luminance.com",
+    "mercor": "mercor.com",
+    "openevidence": "openevidence.com",
+    "photoroom": "photoroom.com",
+    "pika": "pika.art",
+    "sakanaai": "sakana.ai",
+    "sambanova": "sambanova.ai",
+    "sierra": "sierra.ai",
+    "skildai": "skild.ai",
+    "snorkelai": "snorkel.ai",
+    "speak": "speak.com",
+    "stackblitz": "stackblitz.com",
+    "suno": "suno.ai",
+    "synthesia": "synthesia.io",
+    "thinkingmachinelabs": "thinkingmachinelabs.com",
+    "togetherai": "together.ai",
+    "vannevarlabs": "vannevarlabs.com",
+    "vastdata": "vastdata.com",
+    "windsurf": "codeium.com/windsurf",
+    "worldlabs": "worldlabs.ai",
+    "writer": "writer.com",
+    "xai": "x.ai",
+}
