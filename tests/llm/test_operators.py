@@ -205,8 +205,9 @@ def test_jaccard_brute_force(spark):
         texts[d] = " ".join(words)
     texts |= {300: None, 301: " ", 302: "a b", 303: "A  b", 304: "a"}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
-    for size, percent in ((4, 85), (3, 50)):
-        got = by_id(jaccard.near_duplicates(df, size=size, numerator=percent, width=1 << 12), "n_shingles", "component_id")
+    blocks = {"hot": 2, "block_tokens": 300}  # clusters of several blocks
+    for size, percent, more in ((4, 85, blocks), (3, 50, {})):
+        got = by_id(jaccard.near_duplicates(df, size=size, numerator=percent, width=1 << 12, **more), "n_shingles", "component_id")
         assert got == jaccard.brute_force(texts, size, percent, 100)
 
 
