@@ -305,6 +305,14 @@ def test_toxicity_held_out(toxic_model):
     assert np.mean([r.score >= 0.3 for r in got if r.toxic == 0]) < 0.03
 
 
+def test_toxicity_sample_size_leaves_scores(spark, toxic_model):
+    docs, labels, _ = toxic_model
+    held = docs.join(labels.filter("toxic = 0 and crc32(cast(doc_id as string)) % 4 = 2").select("doc_id"), "doc_id", "left_semi")
+    few, all_ = (toxicity.train(docs, labels, sample=n) for n in (450, 100_000))  # classes 1 to 2, and as they are
+    mean = [held.transform(toxicity.score_documents, m).agg(F.avg("score"), F.avg((F.col("score") >= 0.3).cast("int"))).first() for m in (few, all_)]
+    assert abs(mean[0][0] - mean[1][0]) < 0.03 and abs(mean[0][1] - mean[1][1]) < 0.015
+
+
 def test_toxic_spans(spark, toxic_model):
     docs, labels, model = toxic_model
     text = "Erha the you idiot and the on Moron of"

@@ -1,23 +1,27 @@
 """Toxic spans and document scores from a linear-chain conditional random field.
 
-Training (on the driver, on about ``sample`` toxic and twice as many clean documents at most; the bound is an argument):
+Training (in one task, on about ``sample`` toxic and twice as many clean documents at most; the bound is an argument, the model
+is all that comes back to the driver):
 
 1. Token labels from document labels: features of words (the word and its beginnings) are chosen greedily,
    always the one that explains most toxic documents not explained yet and is rare in clean ones. A token
    of a toxic document with a chosen feature is labelled toxic.
 2. A two-state chain is fitted to the labelled tokens: hashed word features, a transition matrix and a start,
    by gradient ascent on the conditional log-likelihood (forward-backward gives the gradient).
-3. The largest marginal of a document (in log-odds) is calibrated to a probability on the same documents.
+3. The largest marginal of a document (in log-odds) is calibrated to a probability on the same documents. The odds of the
+   sample are then replaced by those of all labels outside the held-out fold, so a score doesn't depend on the sample's bound.
 
 Scoring runs over all documents in parallel: forward-backward marginals of each token, aggregated to the
 document's score, and the character spans of tokens whose marginal is over one half.
 
 Defined results: null and empty texts, and texts without words, have the lowest log-odds and get their calibrated
-score; without training rows of both classes every score is the share of label 1 (0 without rows); repeated rows are scored each by itself.
+score; without training rows of both classes every score is the share of label 1 (0 without rows); repeated rows are scored each by
+itself. A document labelled both 0 and 1 is a training row of either class; equal texts with one label are one training row.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -57,19 +61,26 @@ def words_of(text: str | None) -> list[str]:
 
 def toxic_features(docs: list[list[str]], labels: list[int], least: float = 0.004, ratio: float = 20.0) -> set[str]:
     """Greedy cover of the toxic documents by features that are ``ratio`` times as frequent in them as in clean ones."""
-    toxic: dict[str, set[int]] = {}
-    clean: dict[str, int] = {}
     n = [max(1, labels.count(0)), max(1, labels.count(1))]
-    for i, (words, y) in enumerate(zip(docs, labels, strict=True)):
+    counts: dict[str, int] = {}
+    for words, y in zip(docs, labels, strict=True):
         if y:
-            for w in set(words):
-                for f in features(w):
-                    toxic.setdefault(f, set()).add(i)
+            for f in {f for w in set(words) for f in features(w)}:
+                counts[f] = counts.get(f, 0) + 1
+    clean: dict[str, int] = {}
     for words, y in zip(docs, labels, strict=True):
         if not y:
-            for f in {f for w in set(words) for f in features(w) if f in toxic}:
+            for f in {f for w in set(words) for f in features(w) if f in counts}:
                 clean[f] = clean.get(f, 0) + 1
     enough = max(3, least * n[1])
+    # Documents are listed for the few features that may be chosen.
+    toxic: dict[str, set[int]] = {f: set() for f, c in counts.items() if c >= enough and (c / n[1] >= ratio * (clean.get(f, 0) + 0.5) / n[0] or not clean.get(f, 0))}
+    for i, (words, y) in enumerate(zip(docs, labels, strict=True)):
+        if y:
+            for w in set(words):
+                for f in features(w):
+                    if f in toxic:
+                        toxic[f].add(i)
     left = {f: s for f, s in toxic.items() if len(s) >= enough and len(s) / n[1] >= ratio * (clean.get(f, 0) + 0.5) / n[0]}
     chosen, explained = set(), set()
     while left:
@@ -90,7 +101,8 @@ def toxic_features(docs: list[list[str]], labels: list[int], least: float = 0.00
 class Model:
     """Weights of the chain; ``start`` and ``move`` are log-potentials of state 1 and of (from, to)."""
 
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(1, np.float32))
+    used: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))  # buckets with a weight
+    values: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     bias: float = -8.0
     start: float = 0.0
     move: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
@@ -99,8 +111,11 @@ class Model:
     base: float = 0.0
     fitted: bool = False
 
-    def emission(self, word: str) -> float:
-        return self.bias + float(sum(self.weights[bucket(f)] for f in features(word)))
+    def weights(self) -> np.ndarray:
+        """A weight for each bucket."""
+        out = np.zeros(BUCKETS, np.float32)
+        out[self.used] = self.values
+        return out
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         if not self.fitted:
@@ -177,8 +192,8 @@ def marginals(emit: np.ndarray, flat: np.ndarray, sizes: np.ndarray, start: floa
     return p, pair
 
 
-def fit(texts: list[str], labels: list[int], rounds: int = 40, rate: float = 0.5, penalty: float = 1e-3) -> Model:
-    """A model from labelled documents."""
+def fit(texts: list[str], labels: list[int], natural: float | None = None, rounds: int = 40, rate: float = 0.5, penalty: float = 1e-3) -> Model:
+    """A model from labelled documents; ``natural`` are the odds of label 1 among all labels (those of ``labels`` if not given)."""
     if not labels or len(set(labels)) < 2:
         return Model(base=float(sum(labels)) / len(labels) if labels else 0.0)
     same: dict[str, str] = {}  # one string per word
@@ -225,11 +240,11 @@ def fit(texts: list[str], labels: list[int], rounds: int = 40, rate: float = 0.5
         bias = float(stepped("b", np.array([bias]), np.array([rest.sum() * scale]))[0])
         start = float(stepped("s", np.array([start]), np.array([rest[first].sum() * scale]))[0])
         move = stepped("m", move, (goal - pair) * scale - penalty * move)
-    weights = np.zeros(BUCKETS, np.float32)
-    weights[used] = w
-    model = Model(weights, bias, start, move, fitted=True)
+    model = Model(used.astype(np.int32), w.astype(np.float32), bias, start, move, fitted=True)
     p, _ = marginals(bias + np.bincount(row, weights=w[column], minlength=len(kinds)), flat, sizes, start, move)
     model.slope, model.offset = _calibrated(evidence_of(p, doc, n_docs), np.array(labels, float))
+    if natural:
+        model.offset += float(np.log(natural * labels.count(0) / labels.count(1)))
     return model
 
 
@@ -250,8 +265,11 @@ def _calibrated(x: np.ndarray, y: np.ndarray, rounds: int = 50, penalty: float =
 
 def training_rows(
     docs: DataFrame, labels: DataFrame, sample: int, folds: int = 4, held_out: int = 2, id_: str = "doc_id", text: str = "text", label: str = "toxic"
-) -> list[tuple[str, int]]:
-    """About ``sample`` toxic and twice as many clean texts from outside the held-out fold, chosen by a hash of the id."""
+) -> tuple[DataFrame, dict[int, int]]:
+    """About ``sample`` toxic and twice as many clean texts ``_t, _y`` from outside the held-out fold, chosen by a hash of the id.
+
+    The second result is the number of all labels of each class outside that fold.
+    """
     own = labels.select(F.col(id_).alias("_id"), F.col(label).cast("int").alias("_y"))
     own = own.filter(F.col("_id").isNotNull() & F.col("_y").isin(0, 1) & (crc32_mod("_id", folds) != held_out)).distinct()
     counts = {r["_y"]: r["count"] for r in own.groupBy("_y").count().collect()}
@@ -263,21 +281,34 @@ def training_rows(
     chosen = own.filter(F.pmod(F.xxhash64("_id", F.lit(8)), F.lit(span)) < cut)
     # The chosen ids are about three times ``sample`` rows at most, whatever the size of the tables.
     rows = docs.select(F.col(id_).alias("_id"), F.col(text).alias("_t")).filter(F.col("_t").isNotNull()).join(F.broadcast(chosen), "_id")
-    return sorted({(r["_t"], r["_y"]) for r in rows.select("_t", "_y").collect()})
+    return rows.select("_t", "_y"), counts
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 1500, **names) -> Model:
-    rows = training_rows(docs, labels, sample, **names)
-    return fit([t for t, _ in rows], [y for _, y in rows])
+    rows, counts = training_rows(docs, labels, sample, **names)
+    natural = counts[1] / counts[0] if counts.get(0) and counts.get(1) else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sorted({(t, y) for b in batches for t, y in zip(b.column("_t").to_pylist(), b.column("_y").to_pylist(), strict=True)})
+        model = fit([t for t, _ in known], [y for _, y in known], natural)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    # The sample is bounded, so one task holds it.
+    found = rows.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(found["model"]) if found else Model()
 
 
 class Scorer:
     def __init__(self, model: Model) -> None:
         self.model = model
+        self.weights = model.weights()
         self.memo: dict[str, float] = {}
 
+    def emission(self, word: str) -> float:
+        return self.model.bias + float(sum(self.weights[bucket(f)] for f in features(word)))
+
     def emissions(self, words: list[str]) -> np.ndarray:
-        memo, model = self.memo, self.model
+        memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
         got = [memo.get(w) for w in words]
@@ -286,7 +317,7 @@ class Scorer:
                 if v is None:
                     w = words[i]
                     if (v := memo.get(w)) is None:
-                        v = memo[w] = model.emission(w)
+                        v = memo[w] = self.emission(w)
                     got[i] = v
         return np.array(got, np.float64)
 
@@ -334,7 +365,7 @@ def _scorer(shared) -> Scorer:
 class _Shared:
     def __init__(self, context, model: Model) -> None:
         self.broadcast = context.broadcast(model)
-        self.id = hash((context.applicationId, id(self.broadcast), float(model.weights.sum()), model.offset))
+        self.id = hash((context.applicationId, id(self.broadcast), float(model.values.sum()), model.offset))
 
     @property
     def model(self) -> Model:
