@@ -5,8 +5,8 @@ encoded by the format. Each file covers a range of ids, each stripe and row grou
 tells which stripes may hold an id, so lookups read a few row groups and scans read stripes in parallel. A column ``row``
 (file number and place in it) keeps the order of the rows, whatever task reads which stripe.
 
-Encoding is the tokenizers library's. Its tokenizer drops white space and never joins across it, so each distinct
-space-separated unit of a piece is encoded once, and remembered up to a bound.
+Encoding is the tokenizers library's. Its tokenizer drops white space and never joins across it, so the library sees each distinct
+unit of a piece once, and its ids are remembered up to a bound.
 
 Defined results: null and empty texts are written as the end id alone; documents with a null id come first; rows with
 equal ids follow one another in the order of a hash of their text; an empty table gives an empty result.
@@ -23,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from venturelens.llm.common import as_bytes, pieces, ranges
+from venturelens.llm.common import pieces
+from venturelens.llm.unit_memory import UnitMemory
+from venturelens.session import scratch_path
 
-MEMO = 1 << 18  # units remembered; as many again of the memory before
 LINE_UNITS = 256
+WORD_THEN_SIGN, SIGN_THEN_WORD = r"([0-9a-z])([!-&(-/:-@\[-`{-~])", r"([!-&(-/:-@\[-`{-~])([0-9a-z])"
 ORC_OPTIONS = {
     "compression": "zstd",
     "orc.bloom.filter.columns": "doc_id",
@@ -37,72 +39,67 @@ ORC_OPTIONS = {
 }
 
 
-class Memory:
-    """Ids of units in one flat array; a unit's number tells where they stand."""
-
-    def __init__(self) -> None:
-        self.numbers: dict[bytes, int] = {}
-        self.start, self.length, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
-
-    def add(self, units: list[bytes], length: np.ndarray, flat: np.ndarray) -> None:
-        known = len(self.numbers)
-        self.numbers.update(zip(units, range(known, known + len(units)), strict=True))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
-        self.length = np.concatenate([self.length, length])
-        self.flat = np.concatenate([self.flat, flat])
-
-    def take(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Number of ids of each unit, and all their ids."""
-        at = np.fromiter(map(self.numbers.__getitem__, units), np.int64, len(units))
-        length = self.length[at]
-        return length, self.flat[np.repeat(self.start[at], length) + ranges(length)]
-
-
 class Encoder:
-    """The library's tokenizer with a memory of units."""
+    """The library's tokenizer, asked once for each distinct unit of a worker's texts.
+
+    A unit stands between ASCII white space, or between an ASCII letter or digit and an ASCII sign that isn't an apostrophe:
+    the tokenizer always cuts there. It lower-cases and doesn't see case otherwise, so units are lower-cased first.
+    Texts that may hold a special token go to the library whole.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memory, self.older = Memory(), Memory()
+        self.memory = UnitMemory(self._fresh)
+        (self.bar,) = self._ids(["|"])[0]
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _fresh(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """As ``Memory.take``, by the library: units go in joined by spaces, and an id's offset tells its unit."""
+        """Number of ids of each unit and all ids: units go in as lines with a bar between them, whose id parts them again."""
+        length, parts = np.zeros(len(units), np.int64), []
         texts = [u.decode("utf-8") for u in units]
-        lines = [texts[at : at + LINE_UNITS] for at in range(0, len(texts), LINE_UNITS)]
-        lengths, flat = [], []
-        for line, found in zip(lines, self.tokenizer.encode_batch([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
-            begins = np.cumsum([0] + [len(x) + 1 for x in line[:-1]])
-            offsets = np.array([a for a, _ in found.offsets], np.int64)
-            lengths.append(np.bincount(np.searchsorted(begins, offsets, side="right") - 1, minlength=len(line)))
-            flat.append(np.array(found.ids, np.int32))
-        return np.concatenate(lengths), np.concatenate(flat)
-
-    def _learn(self, units: list[bytes]) -> None:
-        if len(self.memory.numbers) > MEMO:
-            self.older, self.memory = self.memory, Memory()
-        missing = [u for u in dict.fromkeys(units) if u not in self.memory.numbers]
-        known = [u for u in missing if u in self.older.numbers]
-        if known:
-            self.memory.add(known, *self.older.take(known))
-        unseen = [u for u in missing if u not in self.older.numbers]
-        for at in range(0, len(unseen), 1 << 14):
-            part = unseen[at : at + (1 << 14)]
-            self.memory.add(part, *self._fresh(part))
-
-    def encode(self, texts: list[bytes | None], end: int) -> tuple[np.ndarray, np.ndarray]:
+        at = 0
+        while at < len(units):
+            if "|" in texts[at]:
+                parts += self._ids([texts[at]])
+                length[at] = len(parts[-1])
+                at += 1
+                continue
+            to = at
+            while to < min(len(units), at + LINE_UNITS) and "|" not in texts[to]:
+                to += 1
+            (ids,) = self._ids([" | ".join(texts[at:to])])
+            bars = ids == self.bar
+            cuts = np.flatnonzero(bars)
+            length[at:to] = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+            parts.append(ids[~bars])
+            at = to
+        return length, np.concatenate(parts)
+
+    def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the end id, and where each text's ids begin."""
-        split = [(t or b"").split() for t in texts]
-        units = [u for own in split for u in own]
-        self._learn(units)
-        length, flat = self.memory.take(units)
+        special = pa.compute.fill_null(pa.compute.match_substring(texts, "<|"), False)
+        plain = pa.compute.ascii_lower(pa.compute.if_else(special, "", pa.compute.fill_null(texts, "")))
+        for pattern in (WORD_THEN_SIGN, SIGN_THEN_WORD):
+            plain = pa.compute.replace_substring_regex(plain, pattern, r"\1 \2")
+        split = pa.compute.ascii_split_whitespace(plain)
+        length, flat = self.memory.take(split.flatten().cast(pa.binary()))
         before = np.concatenate([[0], np.cumsum(length)])
-        cuts = before[np.cumsum([len(own) for own in split], dtype=np.int64)]
+        cuts = before[np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)]
+        whole = np.flatnonzero(special.to_numpy(zero_copy_only=False))
+        if len(whole):
+            found = self._ids(texts.take(pa.array(whole)).to_pylist())
+            sizes = np.array([len(x) for x in found], np.int64)
+            flat = np.insert(flat, np.repeat(cuts[whole], sizes), np.concatenate(found))
+            more = np.zeros(len(texts), np.int64)
+            more[whole] = sizes
+            cuts = cuts + np.cumsum(more)
         starts = np.concatenate([[0], cuts + np.arange(1, len(texts) + 1)])
-        ids = np.insert(flat, cuts, end)
-        return ids, starts.astype(np.int32)
+        return np.insert(flat, cuts, end), starts.astype(np.int32)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -116,8 +113,8 @@ def encoded(docs: DataFrame, tokenizer: str, end: int, id_: str = "doc_id", text
         if tokenizer not in _ENCODERS:
             _ENCODERS[tokenizer] = Encoder(tokenizer)
         encoder = _ENCODERS[tokenizer]
-        for b in pieces(batches, "_text", 2 << 20):
-            ids, starts = encoder.encode(as_bytes(b.column("_text")), end)
+        for b in pieces(batches, "_text"):
+            ids, starts = encoder.encode(b.column("_text"), end)
             lists = pa.ListArray.from_arrays(pa.array(starts), pa.array(ids))
             yield pa.RecordBatch.from_arrays([b.column("_id"), lists], ["doc_id", "ids"])
 
@@ -157,11 +154,13 @@ def document_index(spark: SparkSession, path: str) -> DataFrame:
                 [b.column("doc_id"), b.column("row"), pa.array(np.diff(ends).astype(np.int64)), pa.array(crc, pa.int64())], ["doc_id", "row", "n_tokens", "ids_crc32"]
             )
 
-    rows = stored.select("doc_id", "row", "ids").mapInArrow(run, f"doc_id {kind}, row long, n_tokens long, ids_crc32 long")
-    rows = rows.withColumn("file", F.shiftright("row", 33))
+    narrow = stored.select("doc_id", "row", "ids").mapInArrow(run, f"doc_id {kind}, row long, n_tokens long, ids_crc32 long")
+    place = scratch_path(spark, "token-places")
+    narrow.withColumn("file", F.shiftright("row", 33)).write.parquet(place)  # the wide files are read once
+    rows = spark.read.parquet(place)
     before = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     inside = rows.withColumn("inside", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
-    totals = stored.select(F.shiftright("row", 33).alias("file"), F.size("ids").cast("long").alias("n")).groupBy("file").agg(F.sum("n").alias("n"))
+    totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     over = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("file", F.coalesce(F.sum("n").over(over), F.lit(0)).alias("offset"))
     return inside.join(offsets, "file").select("doc_id", (F.col("offset") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
