@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venturelens.llm.common import as_bytes, pieces
+from venturelens.llm.common import pieces
+from venturelens.llm.unit_memory import UnitMemory
 
-MEMO = 1 << 17  # remembered pre-tokens of a worker in each of two generations
+JOINED = 1 << 17  # remembered unions of two ids
+UNIT = regex.compile(r"\s*\S+|\s+")
+SPACE = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+ODD_TEXT = f"[{SPACE}] [{SPACE}]| $|\x01"  # a space at which a text can't be parted, or one at its end
+WORD_THEN_SIGN, SIGN_THEN_WORD = r"([0-9A-Za-z])([!-&(-/:-@\[-`{-~])", r"([!-&(-/:-@\[-`{-~])([0-9A-Za-z])"
 
 
 class PerfectHash:
@@ -97,13 +103,14 @@ class Codec:
         for word, rank in zip(self.words, self.ranks, strict=True):
             self.spelled[rank] = word
         self.joined: dict[int, int] = {}  # two neighbouring ids -> id of their union, or -1
+        self.first = [self.table.get(bytes([a, b])) for a in range(256) for b in range(256)]  # of two bytes
         self.split = regex.compile(pattern)
-        self.memo: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.spelled_array = pa.array(self.spelled, pa.binary())
+        self.units = UnitMemory(self._encode_units)
 
     def _join(self, key: int) -> int:
         """Id of the union of the two ids in ``key``, or -1; kept in ``joined``."""
-        if len(self.joined) >= MEMO:
+        if len(self.joined) >= JOINED:
             self.joined.clear()
         got = self.joined[key] = self.table.get(self.spelled[key >> 20] + self.spelled[key & 0xFFFFF])
         return got
@@ -115,10 +122,9 @@ class Codec:
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))
         known, join, push, pop = self.joined.get, self._join, heapq.heappush, heapq.heappop
         heap = []  # rank << 40 | place
+        first = self.first
         for i in range(n - 1):
-            key = ids[i] << 20 | ids[i + 1]
-            if (rank := known(key)) is None:
-                rank = join(key)
+            rank = first[word[i] << 8 | word[i + 1]]
             if rank >= 0:
                 heap.append(rank << 40 | i)
         heapq.heapify(heap)
@@ -151,30 +157,65 @@ class Codec:
                     push(heap, before << 40 | h)
         return [x for x in ids if x >= 0]
 
-    def _miss(self, word: str) -> tuple[int, ...]:
-        ids = self.older.get(word)
-        if ids is None:
-            raw = word.encode()
-            rank = self.table.get(raw)
-            ids = (rank,) if rank >= 0 else tuple(self.merge(raw))
-            if len(raw) > 64:
-                return ids
-        if len(self.memo) >= MEMO:
-            self.older, self.memo = self.memo, {}
-        self.memo[word] = ids
-        return ids
-
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
         for word in self.split.findall(text):
-            ids = self.memo.get(word)
-            out += self._miss(word) if ids is None else ids
+            raw = word.encode()
+            rank = self.table.get(raw)
+            if rank >= 0:
+                out.append(rank)
+            else:
+                out += self.merge(raw)
         return out
 
+    def _encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self.encode(u[1:].decode("utf-8") if u[:1] == b"\x01" else " " + u.decode("utf-8")) for u in units]
+        return np.fromiter(map(len, found), np.int64, len(found)), np.fromiter(chain.from_iterable(found), np.int32)
+
+    def encode_all(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of each text (null: none), unit by unit; equal units of a worker's texts are encoded once.
+
+        The pattern always cuts where white space begins, before a space that a sign follows, and between an ASCII letter or
+        digit and an ASCII sign that isn't an apostrophe. So a text may be parted at its spaces, unless white space stands on both
+        sides of one, and at those places. A unit's space isn't stored; a unit without one begins with the sign 1.
+        """
+        texts = pa.compute.fill_null(texts, "")
+        odd = pa.compute.match_substring_regex(texts, ODD_TEXT)
+        plain = pa.compute.if_else(odd, "", texts)
+        for pattern in (WORD_THEN_SIGN, SIGN_THEN_WORD):
+            plain = pa.compute.replace_substring_regex(plain, pattern, "\\1 \x01\\2")
+        parted = pa.compute.split_pattern(pa.compute.binary_join_element_wise("\x01", plain, ""), " ")
+        counts = parted.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        units = parted.flatten()
+        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        if len(whole):
+            lists, at, ends = [], 0, np.cumsum(counts)
+            for i in whole.tolist():  # their single empty unit gives way to those between the pattern's own white space
+                begin = int(ends[i]) - 1
+                own = [u[1:] if u[0] == " " and u[1:2] != "\x01" else "\x01" + u for u in UNIT.findall(texts[i].as_py())]
+                lists += [units.slice(at, begin - at), pa.array(own, pa.string())]
+                counts[i], at = len(own), int(ends[i])
+            units = pa.concat_arrays([*lists, units.slice(at)])
+        length, flat = self.units.take(units.cast(pa.binary()))
+        before = np.concatenate([[0], np.cumsum(length)])
+        starts = before[np.concatenate([[0], np.cumsum(counts)])]
+        return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(flat))
+
     def decode(self, ids: list[int]) -> bytes:
         spelled = self.spelled
         return b"".join([spelled[i] for i in ids])
 
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """The bytes of each list of ids (null: none)."""
+        filled = pa.compute.fill_null(ids.value_lengths(), 0).to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.cumsum(filled)]).astype(np.int32)
+        words = self.spelled_array.take(ids.flatten())
+        if not len(words):
+            return pa.array([b""] * len(ids), pa.binary())
+        # The words lie one after another, so a text is a stretch of their bytes.
+        ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends[starts]), words.buffers()[2]])
+
 
 _CODECS: dict[tuple[str, str], Codec] = {}
 
@@ -192,13 +233,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_: str = "doc_id", text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks, pattern)
         for b in pieces(batches, "_text", 2 << 20):
-            values, ends = [], [0]
-            for t in as_bytes(b.column("_text")):
-                ids = np.array(own.encode((t or b"").decode("utf-8")), np.int32)
-                values.append(ids)
-                ends.append(ends[-1] + len(ids))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values)))
-            yield pa.RecordBatch.from_arrays([b.column("_id"), lists], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("_id"), own.encode_all(b.column("_text"))], ["doc_id", "ids"])
 
     narrow = docs.select(F.col(id_).alias("_id"), F.col(text).alias("_text"))
     return narrow.mapInArrow(run, f"doc_id {kind}, ids array<int>")
@@ -213,10 +248,7 @@ def decode(encoded: DataFrame, ranks: str, pattern: str, id_: str = "doc_id", id
         for whole in batches:
             for at in range(0, whole.num_rows, 200):
                 b = whole.slice(at, 200)
-                texts = [own.decode(x or []) for x in b.column("_ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("_id"), *(b.column(c) for c in keep), pa.array(texts, pa.binary())], ["doc_id", *keep, "decoded"]
-                )
+                yield pa.RecordBatch.from_arrays([b.column("_id"), *(b.column(c) for c in keep), own.decode_all(b.column("_ids"))], ["doc_id", *keep, "decoded"])
 
     narrow = encoded.select(F.col(id_).alias("_id"), F.col(ids).alias("_ids"), *keep)
     return narrow.mapInArrow(run, ", ".join([f"doc_id {fields[id_]}", *(f"`{c}` {fields[c]}" for c in keep), "decoded binary"]))
@@ -228,15 +260,9 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, id_: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks, pattern)
-        for b in pieces(batches, "_text", 1 << 20):
-            values, ends, texts = [], [0], []
-            for t in as_bytes(b.column("_text")):
-                ids = own.encode((t or b"").decode("utf-8"))
-                values.append(np.array(ids, np.int32))
-                texts.append(own.decode(ids))
-                ends.append(ends[-1] + len(ids))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values)))
-            yield pa.RecordBatch.from_arrays([b.column("_id"), lists, pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"])
+        for b in pieces(batches, "_text", 2 << 20):
+            ids = own.encode_all(b.column("_text"))
+            yield pa.RecordBatch.from_arrays([b.column("_id"), ids, own.decode_all(ids)], ["doc_id", "ids", "decoded"])
 
     narrow = docs.select(F.col(id_).alias("_id"), F.col(text).alias("_text"))
     return narrow.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded binary")
