@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venturelens.llm import bpe, decontaminate, jaccard, langid, orc_tokens, quality, sparse_suffix, token_counts, toxicity, warc
+from venturelens.llm import bpe, decontaminate, jaccard, langid, orc_tokens, quality, resampling, sparse_suffix, token_counts, toxicity, warc
 from venturelens.llm.common import crc32_mod, table
 from venturelens.session import scratch_path
 
@@ -130,3 +130,53 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"),
         F.get("matches", F.lit(0)).alias("longest_match"),
     )
+
+
+@query(
+    "op13_importance_resampling",
+    r"""
+with recursive step(i, k, v) as (
+  select i, 0, i from range(256) r(i)
+  union all
+  select i, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from step where k < 8
+),
+crc_table as (select list(v order by i) as l from step where k = 8),
+texts as (
+  select doc_id, text, true as source from documents union all select null, text, false from benchmark
+),
+words as (
+  select doc_id, source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+  from texts
+),
+single as (select distinct unnest(ws) as w from words),
+bytes as (select w, list_transform(range(octet_length(encode(w))), lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::bigint) as b from single),
+bucket as (
+  select w, xor(list_reduce(list_prepend(4294967295::bigint, b), lambda c, x: xor(c >> 8, l[(xor(c, x) & 255) + 1])), 4294967295) % 10000 as k
+  from bytes cross join crc_table
+),
+features as (select doc_id, source, unnest(ws) as w from words),
+counts as (
+  select k, count(*) filter (source) as s, count(*) filter (not source) as t from features join bucket using (w) group by k
+),
+totals as (select coalesce(sum(s), 0) as s, coalesce(sum(t), 0) as t from counts),
+gains as (
+  select k, floor(1000 * ln(((c.t + 1) * (a.s + 10000))::double / ((c.s + 1) * (a.t + 10000))::double))::bigint as g from counts c, totals a
+),
+weights as (
+  select doc_id, count(*) as n, sum(g)::bigint as weight from features join bucket using (w) join gains using (k) where source group by doc_id
+),
+scores as (
+  select d.doc_id, coalesce(n, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+         coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::ubigint + 0.5::double) / 4294967296::double)))::bigint as score
+  from documents d left join weights using (doc_id)
+),
+ranked as (
+  select doc_id, row_number() over (order by score desc, doc_id) as r, count(*) over () as n from scores where n_features >= 20
+)
+select doc_id, n_features, weight, score, case when r <= 10 * n // 100 then r end as rank
+from scores left join ranked using (doc_id)""",
+)
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return resampling.resample(docs, benchmark, seed=2024).select("doc_id", "n_features", "weight", "score", "rank")
