@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venturelens.llm import bpe, decontaminate, jaccard, langid, orc_tokens, quality, resampling, sparse_suffix, token_counts, toxicity, warc
+from venturelens.llm import bpe, decontaminate, jaccard, langid, orc_tokens, periodic_runs, quality, resampling, sparse_suffix, token_counts, toxicity, warc
 from venturelens.llm.common import crc32_mod, table
 from venturelens.session import scratch_path
 
@@ -132,6 +135,36 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_end(doc_id: object, n: int) -> np.ndarray | None:
+    """For one id in ten: the words from some place on repeat a stretch that begins there."""
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10 or doc_id is None:
+        return None
+    g = h // 10
+    a = g % n
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % (1 + (n - a) // (3 + g % 8)))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeated_end)
+    # Runs come by start and period, so the first of the greatest exponent stays.
+    longer = lambda a, r: F.when(r["length"] * a["period"] > a["length"] * r["period"], r).otherwise(a)
+    best = F.when(F.size("runs") > 0, F.aggregate("runs", F.get("runs", F.lit(0)), longer))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query(
     "op13_importance_resampling",
     r"""
