@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venturelens.llm import bpe, decontaminate, jaccard, langid, orc_tokens, periodic_runs, quality, resampling, sparse_suffix, token_counts, toxicity, warc
+from venturelens.llm import bpe, decontaminate, imatch, jaccard, langid, orc_tokens, periodic_runs, quality, resampling, sparse_suffix, token_counts, toxicity, warc
 from venturelens.llm.common import crc32_mod, table
 from venturelens.session import scratch_path
 
@@ -165,6 +165,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_imatch")
+def op12_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op13_importance_resampling",
     r"""
