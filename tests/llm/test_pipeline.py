@@ -21,6 +21,9 @@ COLUMNS = {
     "op8_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op9_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     "op10_decontaminate": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+    "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    "op12_imatch": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+    "op13_importance_resampling": ["doc_id", "n_features", "weight", "score", "rank"],
 }
 
 
@@ -43,7 +46,7 @@ def test_query(spark, sf, name):
 
 
 def test_names_and_registration():
-    assert len(LLM_REGISTRY) == 10 and "pipeline" in entry.queries()
+    assert len(LLM_REGISTRY) == 13 and "pipeline" in entry.queries()
 
 
 def test_pipeline(spark, sf):
