@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +54,33 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str | None = None, limit: in
             at = to
 
 
+_KEPT: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What a worker keeps between tasks for one operator; another operator's goes, as workers are used again."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word (between ASCII white space), one text after another, and the texts' word counts; null texts have none."""
+    split = pa.compute.ascii_split_whitespace(pa.compute.fill_null(texts, ""))
+    coded = split.flatten().dictionary_encode()
+    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+    sizes = split.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    if not len(coded):
+        return np.zeros(0, np.uint64), sizes
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct))
+    at = coded.indices.to_numpy(zero_copy_only=False)
+    filled = np.fromiter(map(len, distinct), np.int64, len(distinct))[at] > 0  # white space at an end gives empty words
+    before = np.concatenate([[0], np.cumsum(filled)])
+    ends = before[np.concatenate([[0], np.cumsum(sizes)])]
+    return hashes[at[filled]], np.diff(ends)
+
+
 def crc32_mod(key: Column | str, n: int) -> Column:
     """crc32 of the key as text, modulo ``n``; null for null keys."""
     column = F.col(key) if isinstance(key, str) else key
