@@ -31,8 +31,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from venturelens.llm.common import as_bytes, fresh, pieces, ranges
+from venturelens.llm.common import fresh, pieces, ranges, word_hashes
 from venturelens.llm.graph import components
 from venturelens.llm.sparse_suffix import gram_hashes, mixed
 from venturelens.operators.skew import union_rows
@@ -41,35 +42,14 @@ from venturelens.session import scratch_path
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))  # fixed value: A-Z to a-z
 SKETCH = 1 << 22  # counters
 BLOCK = 1 << 14
-MEMO = 1 << 18
 VERIFY = 20.0  # cost of a verification in prefix rows
 LONGEST = 16  # largest number of matches asked for
 HOT = 64  # documents of a list from which on it makes a cluster
 BLOCK_TOKENS = 1 << 20  # shingles in a block of a cluster
 
-_WORDS: dict[bytes, int] = {}
-
-
-def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each lower-cased word, one text after another, and the texts' word counts."""
-    if len(_WORDS) > MEMO:
-        _WORDS.clear()
-    known, out, sizes = _WORDS, [], []
-    for t in texts:
-        words = t.translate(LOWER).split() if t else []
-        got = [known.get(w) for w in words]
-        if None in got:
-            for i, x in enumerate(got):
-                if x is None:
-                    got[i] = known[words[i]] = xxhash.xxh64_intdigest(words[i])
-        out.append(np.array(got, np.uint64))
-        sizes.append(len(words))
-    return (np.concatenate(out) if out else np.zeros(0, np.uint64)), np.array(sizes, np.int64)
-
-
-def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
+def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
-    words, sizes = word_hashes(texts)
+    words, sizes = word_hashes(pa.compute.ascii_lower(texts))
     grams = gram_hashes(words, size)
     sets, at = [], 0
     for n in sizes.tolist():
@@ -98,7 +78,7 @@ def count_sketch(texts: DataFrame, size: int, width: int = SKETCH) -> np.ndarray
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(blocks * BLOCK, np.int64)
         for b in pieces(batches, "_text"):
-            sets = shingle_sets(as_bytes(b.column("_text")), size)
+            sets = shingle_sets(b.column("_text"), size)
             if sets:
                 np.add.at(total, _bucket(np.concatenate(sets), width), 1)
         yield from emit({k: t for k, t in enumerate(total.reshape(blocks, BLOCK)) if t.any()})
@@ -150,7 +130,7 @@ def document_sets(texts: DataFrame, size: int, numerator: int, denominator: int,
         names = ["doc_id", "n_shingles", "k1", "k2", "matches", "prefix"]
         for b in pieces(batches, "_text"):
             n, k1, k2, matches, prefix = [], [], [], [], []
-            for tokens in shingle_sets(as_bytes(b.column("_text")), size):
+            for tokens in shingle_sets(b.column("_text"), size):
                 n.append(len(tokens))
                 key = xxhash.xxh3_128_intdigest(tokens.tobytes())
                 k1.append((key >> 65) & 0x7FFFFFFFFFFFFFFF)
@@ -182,7 +162,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, numerator: int, deno
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "_text"):
-            sets = [s.tobytes() for s in shingle_sets(as_bytes(b.column("_text")), size)]
+            sets = [s.tobytes() for s in shingle_sets(b.column("_text"), size)]
             yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(sets, pa.binary())], ["id", "tokens"])
 
     sets = texts.join(wanted, "_id", "left_semi").select("_id", "_text").mapInArrow(make, "id long, tokens binary")
@@ -260,7 +240,7 @@ def cluster_links(clusters: DataFrame, texts: DataFrame, size: int, numerator: i
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "_text"):
-            found = [s.tobytes() for s in shingle_sets(as_bytes(b.column("_text")), size)]
+            found = [s.tobytes() for s in shingle_sets(b.column("_text"), size)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("_id"), b.column("component"), b.column("blocks"), b.column("block"), pa.array(found, pa.binary())], ["id", "component", "blocks", "block", "tokens"]
             )
@@ -364,20 +344,20 @@ def near_duplicates(
 def keep_first(docs: DataFrame, id_: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents without near copies: of each component the row with the smallest id; all columns kept.
 
-    Documents without words and rows without id stay. Of equal rows with the smallest id one stays.
+    Documents without words stay. Where ids aren't unique whole numbers, rows are numbered in the order of id (null ids last), hash of the
+    text and reading, and that number stands for the row: unrelated texts with one id stay, equal rows are copies.
     """
-    found = near_duplicates(docs, id_, text, **options)
-    dropped = found.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0) & (F.col("component_id") < F.col("doc_id"))).select("doc_id").distinct()
+    other, row = fresh(docs, "_dropped", "_row")
+    named = id_
+    odd = F.col(id_).isNull() | (F.col("count") > 1)
+    if not isinstance(docs.schema[id_].dataType, IntegralType) or docs.groupBy(id_).count().filter(odd).take(1):
+        order = [F.asc_nulls_last(id_), F.xxhash64(text)]
+        docs = _stored(docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
+        named = row
+    found = near_duplicates(docs, named, text, **options)
+    dropped = found.filter((F.col("n_shingles") > 0) & (F.col("component_id") < F.col("doc_id"))).select(F.col("doc_id").alias(other)).distinct()
     dropped = _stored(dropped, "near-copies")
-    other, row, nth = fresh(docs, "_dropped", "_row", "_nth")
-    kept = docs.join(dropped.withColumnRenamed("doc_id", other), F.col(id_).cast("long") == F.col(other), "left_anti")
-    several = found.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy("doc_id").count().filter("count > 1")
-    if several.take(1):  # ids that aren't unique: one row of each stays
-        numbered = kept.withColumn(row, F.monotonically_increasing_id())
-        again = Window.partitionBy(id_).orderBy(F.xxhash64(text), row)
-        without = F.col(id_).isNull() | (F.length(F.trim(F.translate(F.coalesce(F.col(text), F.lit("")), "\t\n\x0b\x0c\r", "     "))) == 0)
-        kept = numbered.withColumn(nth, F.row_number().over(again)).filter(without | (F.col(nth) == 1)).drop(row, nth)
-    return kept
+    return docs.join(dropped, F.col(named).cast("long") == F.col(other), "left_anti").drop(row)
 
 
 def brute_force(texts: dict[int, str | None], size: int, numerator: int, denominator: int) -> dict[int, tuple[int, int]]:
