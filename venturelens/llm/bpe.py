@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venturelens.llm.common import pieces
+from venturelens.llm.common import kept, pieces
 from venturelens.llm.unit_memory import UnitMemory
 
 JOINED = 1 << 17  # remembered unions of two ids
@@ -217,13 +217,8 @@ class Codec:
         return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends[starts]), words.buffers()[2]])
 
 
-_CODECS: dict[tuple[str, str], Codec] = {}
-
-
 def codec(path: str, pattern: str) -> Codec:
-    if (path, pattern) not in _CODECS:
-        _CODECS[path, pattern] = Codec(path, pattern)
-    return _CODECS[path, pattern]
+    return kept(("bpe", path, pattern), lambda: Codec(path, pattern))
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, id_: str = "doc_id", text: str = "text") -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from venturelens.llm.common import pieces
+from venturelens.llm.common import kept, pieces
 from venturelens.llm.unit_memory import UnitMemory
 from venturelens.session import scratch_path
 
@@ -102,17 +102,12 @@ class Encoder:
         return np.insert(flat, cuts, end), starts.astype(np.int32)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoded(docs: DataFrame, tokenizer: str, end: int, id_: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, ids`` in the rows' order."""
     kind = docs.schema[id_].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _ENCODERS:
-            _ENCODERS[tokenizer] = Encoder(tokenizer)
-        encoder = _ENCODERS[tokenizer]
+        encoder = kept(("orc", tokenizer), lambda: Encoder(tokenizer))
         for b in pieces(batches, "_text"):
             ids, starts = encoder.encode(b.column("_text"), end)
             lists = pa.ListArray.from_arrays(pa.array(starts), pa.array(ids))

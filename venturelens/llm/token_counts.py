@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venturelens.llm.common import as_bytes, pieces
+from venturelens.llm.common import as_bytes, kept, pieces
 
 MAX_STATES = 1 << 16
 CHUNK = 256  # code points of a tape chunk
@@ -377,13 +377,8 @@ class Counter:
         return out + np.bincount(doc, weights=tokens, minlength=len(texts)).astype(np.int64)
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def counter(path: str) -> Counter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = Counter(path)
-    return _COUNTERS[path]
+    return kept(("counts", path), lambda: Counter(path))
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, id_: str = "doc_id", text: str = "text", limit: int = 2048) -> DataFrame:

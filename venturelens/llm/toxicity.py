@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venturelens.llm.common import as_bytes, crc32_mod, pieces, ranges
+from venturelens.llm.common import as_bytes, crc32_mod, kept, pieces, ranges
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
@@ -351,17 +351,6 @@ class Scorer:
         return self.model.score(evidence), out
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
-def _scorer(shared) -> Scorer:
-    """One scorer per worker and model, so that remembered words outlive a task."""
-    if shared.id not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[shared.id] = Scorer(shared.model)
-    return _SCORERS[shared.id]
-
-
 class _Shared:
     def __init__(self, context, model: Model) -> None:
         self.broadcast = context.broadcast(model)
@@ -379,7 +368,7 @@ def score_documents(docs: DataFrame, model: Model, id_: str = "doc_id", text: st
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(shared)
+        scorer = kept(("toxicity", shared.id), lambda: Scorer(shared.model))  # words remembered outlive a task
         for b in pieces(batches, "_text"):
             score, found = scorer.run(as_bytes(b.column("_text")), spans)
             yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(score), pa.array(found, span)], ["doc_id", "score", "spans"])
@@ -393,7 +382,7 @@ def remove_toxic(docs: DataFrame, model: Model, threshold: float = 0.3, text: st
     shared = _Shared(docs.sparkSession.sparkContext, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(shared)
+        scorer = kept(("toxicity", shared.id), lambda: Scorer(shared.model))  # words remembered outlive a task
         for b in pieces(batches, text):
             score, _ = scorer.run(as_bytes(b.column(b.schema.get_field_index(text))), False)
             yield b.filter(pa.array(score < threshold))
