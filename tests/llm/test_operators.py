@@ -244,6 +244,15 @@ def test_components_of_a_long_chain(spark):
     assert set(got[i] for i in range(301)) == {0} and got[901] == 900 and len(got) == 303
 
 
+def test_near_copies_of_rows_that_share_or_lack_an_id(spark):
+    text = lambda k, n=40: " ".join(f"{k}{i}" for i in range(n))
+    rows = [(1, text("a")), (1, text("b")), (2, text("a") + " z"), (None, text("b")), (None, text("c")), (4, ""), (4, "")]
+    kept = jaccard.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([(1, text("a")), (1, text("b")), (None, text("c")), (4, ""), (4, "")], key=repr)
+    named = spark.createDataFrame([("x", text("a")), ("y", text("a"))], "doc_id string, text string")
+    assert [r.doc_id for r in jaccard.keep_first(named).collect()] == ["x"]
+
+
 # 7: repeated passages
 
 
@@ -278,6 +287,34 @@ def test_exact_copies_are_cut(spark):
     assert by_id(sparse_suffix.cut_repeats(df), "text") == {2: text, 9: "a  b", 11: "short"}
 
 
+def test_passages_of_texts_that_share_or_lack_an_id(spark):
+    rng = random.Random(5)
+    fill = lambda k: " ".join(f"{k}{rng.randrange(10**6)}" for _ in range(20))
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "pq")
+    rows = [(1, f"{fill('a')} {one}"), (1, f"{fill('b')} {two}"), (2, f"{one} {fill('c')}"), (3, f"{two} {fill('d')}"), (None, f"{fill('e')} {two} {fill('f')}"), (None, "x y"), (None, "x y")]
+    for kind in ("long", "string"):
+        df = spark.createDataFrame([(None if d is None else (d if kind == "long" else str(d)), t) for d, t in rows], f"doc_id {kind}, text string").repartition(3)
+        left = sorted(" ".join(r.text.split()) for r in sparse_suffix.cut_repeats(df).collect())
+        cut = [t.replace(one, "") if d == 2 else t.replace(two, "") if d in (3, None) and two in t else t for d, t in rows]
+        assert left == sorted(" ".join(t.split()) for t in cut)
+
+
+def test_hot_passage_is_dealt_out(spark):
+    hot = " ".join(f"h{i}" for i in range(60))
+    texts = {d: f"s{d} " + (hot if d % 3 else " ".join(f"{d}x{i}" for i in range(60))) + f" e{d}" for d in range(600)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    found = sparse_suffix.suffixes(sparse_suffix.with_hashes(df, "doc_id", "text"), 50, 10).filter("seed is not null")
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merged, "false")  # so few rows would go to one task
+    try:
+        sizes = [r["n"] for r in sparse_suffix.matched_suffixes(found, 5).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set(merged, "true")
+    assert len(sizes) == 4 and max(sizes) < 0.5 * sum(sizes)
+    got = {r.doc_id: [(x.start, x.end, x.original) for x in r.spans] for r in sparse_suffix.repeated_passages(df).collect()}
+    assert got == {d: [(1, 61, d == 1)] for d in range(600) if d % 3}
+
+
 def test_passages_odd(odd_docs, no_docs):
     cut = sparse_suffix.cut_repeats(odd_docs)
     assert cut.columns == odd_docs.columns
