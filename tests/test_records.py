@@ -87,11 +87,61 @@ def test_a_company_with_far_more_children_is_one_row_and_one_dashboard(spark):
     assert len(text) == 2 and "77" in text["a"] and "No funding events" not in text["a"]
 
 
+def test_parts_of_a_company_with_most_children(spark):
+    company, children = sample(spark, 5000)
+    few = spark.createDataFrame([("b", "x1", "2024-05-05", "funding", "Seed")], "company_id string, event_id string, occurred_on string, event_type string, title string")
+    children["events"] = children["events"].unionByName(records.conform(few, S.columns_of("events")))
+    parts = records.payload_parts(children, part_rows=100).cache()
+    rows = parts.select("company_id", "entity", "n_items", "n_parts", "part", F.size("events").alias("n")).collect()
+    assert {(r.company_id, r.n_items, r.n_parts) for r in rows} == {("a", 5000, 50), ("b", 1, 1)}
+    assert sum(r.n for r in rows) == 5001 and max(r.n for r in rows) < 200 and len({(r.company_id, r.part) for r in rows}) == len(rows)
+    back = sorted(map(tuple, records.flatten_parts(parts, "events").collect()))
+    assert back == sorted(map(tuple, children["events"].collect()))
+    assert records.flatten_parts(parts, "products").count() == 0
+    whole = records.assemble_payloads(company, children)
+    nested = records.nested_payloads(company, parts)
+    assert nested.schema["events"].dataType == whole.schema["events"].dataType
+    assert sorted(map(str, nested.collect())) == sorted(map(str, whole.collect()))
+    one = records.nested_payloads(company.filter("company_id = 'b'"), parts).collect()
+    assert [(r.company_id, len(r.events)) for r in one] == [("b", 1)]
+    assert {(r.company_id, r.entity, r.n_items) for r in records.payload_counts(children).collect()} == {("a", "events", 5000), ("b", "events", 1)}
+
+
+def test_dashboards_by_sections_equal_those_of_payloads(spark):
+    company, children = sample(spark, 300)
+    snapshots = spark.createDataFrame([("a", "2024-01-01", 7), ("a", "2024-06-01", 77)], "company_id string, as_of string, headcount_total int")
+    children["snapshots"] = records.conform(snapshots, S.columns_of("snapshots"))
+    products = spark.createDataFrame([("a", "p2", ["X", "Y"]), ("a", "p1", ["Z", "X"]), ("a", "p3", None), ("b", "p4", [])], "company_id string, product_id string, reference_customers array<string>")
+    children["products"] = records.conform(products, S.columns_of("products"))
+    seen = spark.createDataFrame([("a", "2024-01-01", 5), ("a", "2024-03-01", 9)], "company_id string, as_of string, github_stars int")
+    children["visibility"] = records.conform(seen, S.columns_of("visibility"))
+    for newest in (True, False):
+        by_sections = dashboard.dashboards(company, children, "now", newest=newest)
+        by_payloads = dashboard.structured_dashboards(records.assemble_payloads(company, children), "now", newest=newest)
+        assert sorted(map(tuple, by_sections.collect())) == sorted(map(tuple, by_payloads.collect()))
+    text = plan_of(by_sections)
+    assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_dashboards_of_the_plain_company_schema(spark):
+    from venturelens.plans import structured
+
+    _, children = sample(spark, 0)
+    company = records.conform(spark.createDataFrame([("a", "Plain")], "company_id string, legal_name string"), S.columns_of("company"))
+    children["snapshots"] = records.conform(
+        spark.createDataFrame([("a", "2024-01-01", 5), ("a", "2024-09-01", 9)], "company_id string, as_of string, headcount_total int"), S.columns_of("snapshots")
+    )
+    text = structured.dashboards_from_tables(company, children, "t").first().dashboard
+    assert "**Headcount**: 9" in text and "**GitHub Stars**: Not disclosed" in text
+
+
 def test_no_job_runs_while_a_payload_plan_is_built(spark):
     company, children = sample(spark)
     tracker = spark.sparkContext.statusTracker()
     before = len(tracker.getJobIdsForGroup())
     records.assemble_payloads(company, children)
+    records.payload_parts(children)
+    dashboard.dashboards(company, children, "now")
     assert len(tracker.getJobIdsForGroup()) == before
 
 

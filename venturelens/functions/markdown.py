@@ -76,10 +76,14 @@ def named_customers(products: Column) -> Column:
 
 
 def business(c: Column, products: Column) -> Column:
+    return business_text(c, named_customers(products))
+
+
+def business_text(c: Column, customer_names: Column) -> Column:
     tiers = listed(c["pricing_tiers_public"])
     pricing = F.concat_ws(" | ", F.coalesce(c["pricing_model"], F.lit(V.NOT_DISCLOSED)), tiers)
     partners = F.concat(F.lit("Partners: "), listed(c["technology_partnerships"]))
-    customers = F.concat(F.lit("Customers: "), listed(named_customers(products)))
+    customers = F.concat(F.lit("Customers: "), listed(customer_names))
     return lines(
         item("Who they sell to", listed(c["target_customer_segments"])),
         item("Pricing Model / Tiers", pricing),
@@ -104,7 +108,12 @@ def of_types(events: Column, types: Sequence[str]) -> Column:
 
 def funding(c: Column, events: Column) -> Column:
     rounds = F.filter(events, lambda e: e["event_type"] == "funding")
-    shown = F.array_join(F.transform(rounds, funding_line), "\n")
+    return funding_text(c, F.transform(rounds, funding_line))
+
+
+def funding_text(c: Column, rounds: Column) -> Column:
+    """The section from the lines of its rounds."""
+    shown = F.array_join(rounds, "\n")
     return lines(
         item("Total Raised", money_if_any(c["total_raised_usd"])),
         item("Latest Round", c["last_round_name"]),
@@ -112,20 +121,22 @@ def funding(c: Column, events: Column) -> Column:
     )
 
 
+def recent_funding_line(e: Column) -> Column:
+    return F.concat(
+        F.lit("- **"), F.coalesce(e["occurred_on"].cast("string"), F.lit("Unknown date")),
+        F.lit("**: "), F.coalesce(e["description"], F.lit("No description")),
+    )
+
+
 def recent_funding(events: Column, n: int = 3) -> Column:
     """The last ``n`` funding events as ``date: description`` lines."""
     rounds = F.filter(events, lambda e: e["event_type"] == "funding")
     last = F.slice(rounds, F.greatest(F.size(rounds) - (n - 1), F.lit(1)), F.lit(n))
-    shown = F.array_join(
-        F.transform(
-            last,
-            lambda e: F.concat(
-                F.lit("- **"), F.coalesce(e["occurred_on"].cast("string"), F.lit("Unknown date")),
-                F.lit("**: "), F.coalesce(e["description"], F.lit("No description")),
-            ),
-        ),
-        "\n",
-    )
+    return recent_funding_text(F.transform(last, recent_funding_line))
+
+
+def recent_funding_text(rounds: Column) -> Column:
+    shown = F.array_join(rounds, "\n")
     return F.when(shown != "", shown).otherwise(F.lit("- No recent funding events disclosed"))
 
 
@@ -133,21 +144,22 @@ def _event_title(e: Column) -> Column:
     return F.coalesce(F.when(e["title"] != "", e["title"]), F.when(e["description"] != "", e["description"]))
 
 
+def is_traction(e: Column, types: Sequence[str] = V.TRACTION_TYPES) -> Column:
+    return e["event_type"].isin(list(types)) & (e["occurred_on"].isNotNull() | _event_title(e).isNotNull())
+
+
+def traction_line(e: Column) -> Column:
+    text = F.concat(F.coalesce(e["occurred_on"].cast("string"), F.lit("")), F.lit(" - "), F.coalesce(_event_title(e), F.lit("")))
+    return F.regexp_replace(text, r"^[ \-]+|[ \-]+$", "")
+
+
 def traction(events: Column, types: Sequence[str] = V.TRACTION_TYPES) -> Column:
     """``date - title`` of the traction events, joined by ``; ``; null if there is none."""
-    picked = F.filter(
-        F.filter(events, lambda e: e["event_type"].isin(list(types))),
-        lambda e: e["occurred_on"].isNotNull() | _event_title(e).isNotNull(),
-    )
+    return traction_text(F.transform(F.filter(events, lambda e: is_traction(e, types)), traction_line))
 
-    def one(e: Column) -> Column:
-        text = F.concat(
-            F.coalesce(e["occurred_on"].cast("string"), F.lit("")), F.lit(" - "),
-            F.coalesce(_event_title(e), F.lit("")),
-        )
-        return F.regexp_replace(text, r"^[ \-]+|[ \-]+$", "")
 
-    shown = F.array_join(F.transform(picked, one), "; ")
+def traction_text(found: Column) -> Column:
+    shown = F.array_join(found, "; ")
     return F.when(shown != "", shown)
 
 
@@ -162,6 +174,10 @@ def latest(items: Column, by: str = "as_of") -> Column:
 
 
 def growth(c: Column, events: Column, snapshot: Column) -> Column:
+    return growth_text(c, traction(events), snapshot)
+
+
+def growth_text(c: Column, recent: Column, snapshot: Column) -> Column:
     focus = F.concat_ws(
         ", ",
         F.concat(F.lit("engineering_openings: "), snapshot["engineering_openings"].cast("string")),
@@ -173,14 +189,14 @@ def growth(c: Column, events: Column, snapshot: Column) -> Column:
         item("Headcount Growth %", snapshot["headcount_growth_pct"].cast("string")),
         item("Hiring Focus", disclosed(focus)),
         item("Geo Presence", geo),
-        item("Recent Events", traction(events)),
+        item("Recent Events", recent),
     )
 
 
-def merged_visibility(c: Column, top: Column) -> Column:
-    """Visibility of the company record, field by field over the payload's own."""
+def merged_visibility(c: Column, top: Column, own: bool = True) -> Column:
+    """Visibility of the company record, field by field over the payload's own; ``own`` tells whether the record has the field."""
     names = ["news_mentions_30d", "avg_sentiment", "github_stars", "glassdoor_rating", "attention_trend"]
-    return F.struct(*[F.coalesce(c["visibility"][n], top[n]).alias(n) for n in names])
+    return F.struct(*[(F.coalesce(c["visibility"][n], top[n]) if own else top[n]).alias(n) for n in names])
 
 
 def visibility(v: Column) -> Column:
@@ -194,13 +210,17 @@ def visibility(v: Column) -> Column:
     return lines(*[item(label, v[name].cast("string")) for label, name in labels.items()])
 
 
+def risk_line(e: Column) -> Column:
+    title = F.coalesce(_event_title(e), F.lower(e["event_type"]))
+    return F.trim(F.concat(F.lit("- "), F.coalesce(e["occurred_on"].cast("string"), F.lit("")), F.lit(" "), title))
+
+
 def risks(events: Column, types: Sequence[str] = V.RISK_TYPES) -> Column:
-    def one(e: Column) -> Column:
-        title = F.coalesce(_event_title(e), F.lower(e["event_type"]))
-        text = F.concat(F.lit("- "), F.coalesce(e["occurred_on"].cast("string"), F.lit("")), F.lit(" "), title)
-        return F.trim(text)
+    return risks_text(F.transform(of_types(events, types), risk_line))
+
 
-    shown = F.array_join(F.transform(of_types(events, types), one), "\n")
+def risks_text(found: Column) -> Column:
+    shown = F.array_join(found, "\n")
     return F.when(shown != "", shown).otherwise(F.lit(V.NOT_DISCLOSED))
 
 

@@ -1,13 +1,18 @@
-"""Dashboards from payload rows, company listings and the comparison of both generation paths."""
+"""Dashboards from child tables or payload rows, company listings and the comparison of both generation paths."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from venturelens import schemas as S
+from venturelens import vocabulary as V
 from venturelens.functions import markdown as md
 from venturelens.functions import urls
-from venturelens.operators.skew import union_rows
+from venturelens.operators.records import SORT_KEYS
+from venturelens.operators.skew import top_per_group, union_rows
 
 
 def structured_dashboards(
@@ -22,7 +27,7 @@ def structured_dashboards(
     c = F.col("company_record")
     events, products = F.col("events"), F.col("products")
     snapshot = md.latest(F.col("snapshots")) if newest else F.get("snapshots", 0)
-    seen = md.merged_visibility(c, md.latest(F.col("visibility")))
+    seen = md.merged_visibility(c, md.latest(F.col("visibility")), "visibility" in payloads.schema["company_record"].dataType.names)
     bodies = [
         md.overview(c),
         md.business(c, products),
@@ -41,6 +46,91 @@ def structured_dashboards(
     )
 
 
+def event_sections(events: DataFrame, key: str = "company_id", order: Sequence[str] = SORT_KEYS["events"]) -> DataFrame:
+    """``rounds, recent, risks`` per company: the lines of the funding, growth and risk sections in the events' order.
+
+    Events become their lines before the shuffle; what belongs to no section isn't sent.
+    """
+    e = {c: F.col(c) for c in events.columns}
+    kind = e["event_type"]
+    line = {
+        "rounds": F.when(kind == "funding", md.funding_line(e)),
+        "recent": F.when(md.is_traction(e), md.traction_line(e)),
+        "risks": F.when(F.lower(kind).isin(list(V.RISK_TYPES)), md.risk_line(e)),
+    }
+    rows = events.select(key, F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)]).alias("at"), *[x.alias(n) for n, x in line.items()])
+    rows = rows.filter(F.coalesce(*line).isNotNull())
+    # A null line makes no entry in collect_list.
+    lists = [F.transform(F.sort_array(F.collect_list(F.when(F.col(n).isNotNull(), F.struct("at", F.col(n).alias("v"))))), lambda x: x["v"]).alias(n) for n in line]
+    return rows.groupBy(key).agg(*lists)
+
+
+def customer_names(products: DataFrame, key: str = "company_id", order: Sequence[str] = SORT_KEYS["products"]) -> DataFrame:
+    """``customers`` per company: the named customers of its products in the products' order."""
+    named = products.filter(F.size("reference_customers") > 0).select(key, F.struct(*order, F.col("reference_customers").alias("v")).alias("p"))
+    return named.groupBy(key).agg(F.flatten(F.transform(F.sort_array(F.collect_list("p")), lambda x: x["v"])).alias("customers"))
+
+
+def last_by_date(rows: DataFrame, name: str, key: str = "company_id", by: str = "as_of", newest: bool = True) -> DataFrame:
+    """The dated row with the highest ``by`` per company as a struct (the lowest without ``newest``); one row leaves a map task per company."""
+    dated = rows.filter(F.col(by).isNotNull()).select(key, F.struct(F.col(by).alias("at"), F.struct(*rows.columns).alias("v")).alias("x"))
+    return dated.groupBy(key).agg((F.max("x") if newest else F.min("x"))["v"].alias(name))
+
+
+def dashboard_rows(company: DataFrame, children: Mapping[str, DataFrame], key: str = "company_id", newest: bool = True) -> DataFrame:
+    """One narrow row per company: the record, the sections' lines, the snapshot and the visibility that a dashboard shows.
+
+    Each child table is aggregated by itself to what its sections need; no payload is assembled.
+    """
+    missing = {n: t for n, t in S.PROFILE.items() if n not in company.columns}
+    profile = company.withColumns({n: F.lit(None).cast(t) for n, t in missing.items()})  # a plain company record lacks some fields
+    record = profile.select(key, F.struct(*profile.columns).alias("company_record"))
+    parts = [
+        event_sections(children["events"], key),
+        customer_names(children["products"], key),
+        last_by_date(children["snapshots"], "snapshot", key, newest=newest),
+        last_by_date(children["visibility"], "latest_visibility", key),
+    ]
+    for part in parts:
+        record = record.join(part, key, "left")
+    none = F.array().cast("array<string>")
+    lists = [F.coalesce(n, none).alias(n) for n in ("rounds", "recent", "risks", "customers")]
+    seen = md.merged_visibility(F.col("company_record"), F.col("latest_visibility"))
+    return record.select(key, "company_record", *lists, "snapshot", seen.alias("seen"))
+
+
+def section_texts(section: str | None = None) -> list[Column] | Column:
+    """The eight sections of a row of ``dashboard_rows``, or the one whose name is given."""
+    c = F.col("company_record")
+    texts = {
+        "overview": md.overview(c),
+        "business": md.business_text(c, F.col("customers")),
+        "funding": md.funding_text(c, F.col("rounds")),
+        "growth": md.growth_text(c, md.traction_text(F.col("recent")), F.col("snapshot")),
+        "visibility": md.visibility(F.col("seen")),
+        "risks": md.risks_text(F.col("risks")),
+        "outlook": md.outlook(c),
+        "gaps": md.gaps(c, F.col("seen"), F.col("customers")),
+    }
+    return texts[section] if section else list(texts.values())
+
+
+def dashboards(company: DataFrame, children: Mapping[str, DataFrame], generated_at: Column | str, key: str = "company_id", newest: bool = True) -> DataFrame:
+    """(company_id, dashboard) from the typed tables, by aggregates per section."""
+    stamp = F.lit(generated_at) if isinstance(generated_at, str) else generated_at
+    title = F.coalesce(F.col("company_record.legal_name"), F.lit("Company"))
+    return dashboard_rows(company, children, key, newest).select(key, md.compose(title, stamp, "Structured", section_texts()).alias("dashboard"))
+
+
+def recent_funding(company: DataFrame, events: DataFrame, n: int = 3, key: str = "company_id", order: Sequence[str] = SORT_KEYS["events"]) -> DataFrame:
+    """``company_id, section``: the last ``n`` funding events of each company; ``n`` rows of a company and salt leave a task."""
+    last = top_per_group(events.filter(F.col("event_type") == "funding"), [key], [F.desc(c) for c in order], n, list(order), rank="_rank")
+    e = {x: F.col(x) for x in events.columns}
+    lines = last.select(key, F.struct((-F.col("_rank")).alias("at"), md.recent_funding_line(e).alias("v")).alias("x"))
+    shown = lines.groupBy(key).agg(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["v"]).alias("_lines"))
+    return company.select(key).join(shown, key, "left").select(key, md.recent_funding_text(F.coalesce("_lines", F.array().cast("array<string>"))).alias("section"))
+
+
 def company_listing(seed: DataFrame, structured_ids: DataFrame, answered_slugs: DataFrame) -> DataFrame:
     """Companies with headquarters text, first category and two availability flags."""
     have_s = structured_ids.select("company_id").distinct().withColumn("_s", F.lit(True))

@@ -193,6 +193,58 @@ SORT_KEYS = {
 }
 
 
+PART_ROWS = 1000
+
+
+def payload_items(children: Mapping[str, DataFrame], key: str = "company_id", sort_keys: Mapping[str, Sequence[str]] = SORT_KEYS) -> DataFrame:
+    """``company_id, entity`` and one column per entity: every child row by itself, packed with its sort keys in its entity's column."""
+    names = list(children)
+    types = {n: _packed_type(children[n], sort_keys[n]) for n in names}
+    rows = []
+    for n in names:
+        items = children[n].select(key, _packed(children[n], sort_keys[n]).alias(n))
+        rows.append(items.select(key, F.lit(n).alias("entity"), *[F.col(m) if m == n else F.lit(None).cast(types[m]).alias(m) for m in names]))
+    return union_rows(rows)
+
+
+def payload_counts(children: Mapping[str, DataFrame], key: str = "company_id") -> DataFrame:
+    """``company_id, entity, n_items``, counted from keys alone."""
+    return union_rows([c.select(key, F.lit(n).alias("entity")) for n, c in children.items()]).groupBy(key, "entity").agg(F.count(F.lit(1)).alias("n_items"))
+
+
+def payload_parts(
+    children: Mapping[str, DataFrame], key: str = "company_id", sort_keys: Mapping[str, Sequence[str]] = SORT_KEYS, part_rows: int = PART_ROWS
+) -> DataFrame:
+    """``company_id, entity, n_items, n_parts, part`` and one list per entity: the child rows in parts of about ``part_rows`` items.
+
+    The parts of a company's entity follow from their count; an item's part follows from its content, so a part is in order in itself and the
+    parts merge by the sort keys that the items carry. A company with a third of all rows has as many more parts; its rows meet in no one task,
+    as the join with the counts can be split. The other entities' lists are null.
+    """
+    names = list(children)
+    counts = payload_counts(children, key).withColumn("n_parts", F.ceil(F.col("n_items") / part_rows).cast("int"))
+    items = payload_items(children, key, sort_keys).join(counts, [key, "entity"])
+    items = items.withColumn("part", F.pmod(F.xxhash64(*names), F.col("n_parts")).cast("int"))
+    lists = [F.sort_array(F.collect_list(n)).alias(n) for n in names]
+    parts = items.groupBy(key, "entity", "n_items", "n_parts", "part").agg(*lists)
+    return parts.select(key, "entity", "n_items", "n_parts", "part", *[F.when(F.col("entity") == n, F.col(n)).alias(n) for n in names])
+
+
+def flatten_parts(parts: DataFrame, entity: str) -> DataFrame:
+    """The child rows of an entity (inverse of ``payload_parts``), part by part."""
+    return parts.filter(F.col("entity") == entity).select(F.inline(F.transform(entity, lambda x: x["v"])))
+
+
+def nested_payloads(company: DataFrame, parts: DataFrame, key: str = "company_id", notes: str = "", policy: str = V.PROVENANCE_POLICY) -> DataFrame:
+    """The payload rows (as ``assemble_payloads``) of the given companies, from stored parts; other companies' parts aren't gathered."""
+    names = [c for c in parts.columns if c not in (key, "entity", "n_items", "n_parts", "part")]
+    record = company.select(key, F.struct(*company.columns).alias("company_record"))
+    nested = [F.transform(F.sort_array(F.flatten(F.collect_list(n))), lambda x: x["v"]).alias(n) for n in names]
+    own = parts.join(company.select(key), key, "left_semi").groupBy(key).agg(*nested)
+    joined = record.join(own, key, "left")
+    return joined.select(key, "company_record", *[_or_empty(joined, n) for n in names], F.lit(notes).alias("notes"), F.lit(policy).alias("provenance_policy"))
+
+
 def assemble_payloads(
     company: DataFrame,
     children: Mapping[str, DataFrame],
@@ -201,27 +253,16 @@ def assemble_payloads(
     notes: str = "",
     policy: str = V.PROVENANCE_POLICY,
 ) -> DataFrame:
-    """One payload row per company: the record and one sorted list per child entity.
+    """One payload row per company: the record and one sorted list per child entity, straight from the tables.
 
     All child rows go through one shuffle by company, and the lists stay in the partitions they were built in. A payload
-    is one document by its format, so its size is that of the company's own children; what needs no lists (counts, the
-    latest snapshot, one entity) is better taken from the child tables.
+    is one document by its format, so its row is as large as the company's own children: for companies of any size there are
+    ``payload_parts``, for counts ``payload_counts``, for dashboards the aggregates of ``dashboard.dashboards``.
     """
     names = list(children)
-    types = {n: _packed_type(children[n], sort_keys[n]) for n in names}
-    rows = []
-    for n in names:
-        items = children[n].select(key, _packed(children[n], sort_keys[n]).alias(n))
-        rows.append(
-            items.select(
-                key,
-                *[F.col(m) if m == n else F.lit(None).cast(types[m]).alias(m) for m in names],
-            )
-        )
-    long = union_rows(rows)
     nested = [F.transform(F.sort_array(F.collect_list(n)), lambda x: x["v"]).alias(n) for n in names]
     record = company.select(key, F.struct(*company.columns).alias("company_record"))
-    joined = record.join(long.groupBy(key).agg(*nested), key, "left")
+    joined = record.join(payload_items(children, key, sort_keys).groupBy(key).agg(*nested), key, "left")
     return joined.select(
         key,
         "company_record",

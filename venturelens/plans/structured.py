@@ -24,12 +24,10 @@ def requests_from_pages(texts: DataFrame) -> DataFrame:
 
 
 def dashboards_from_tables(
-    company: DataFrame, children: Mapping[str, DataFrame], generated_at: str, newest: bool = False
+    company: DataFrame, children: Mapping[str, DataFrame], generated_at: str, newest: bool = True
 ) -> DataFrame:
-    """Typed tables to payload rows to Markdown."""
-    return dashboard.structured_dashboards(
-        records.assemble_payloads(company, children), generated_at, newest=newest
-    )
+    """Typed tables to Markdown, by aggregates per section."""
+    return dashboard.dashboards(company, children, generated_at, newest=newest)
 
 
 def snapshots_from_pages(texts: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from venturelens import schemas as S
 from venturelens import vocabulary as V
@@ -200,6 +201,11 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_payload_parts(spark: SparkSession, path: str, schema: StructType | str, company_schema: StructType | str) -> tuple[DataFrame, DataFrame]:
+    """The company records and the parts written by ``writers.write_payload_parts``; ``schema`` is that of the parts."""
+    return spark.read.schema(company_schema).json(f"{path}/company"), spark.read.schema(schema).json(f"{path}/parts")
+
+
 def companies_with_files(files: DataFrame, leave_out: Sequence[str] = ("vector_db",)) -> DataFrame:
     """Company folders that exist, without the store's own folder."""
     return files.select("company_id").filter(~F.col("company_id").isin(list(leave_out))).distinct()

@@ -48,6 +48,17 @@ def write_payloads(payloads: DataFrame, path: str) -> None:
     payloads.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def write_payload_parts(company: DataFrame, parts: DataFrame, path: str, key: str = "company_id") -> None:
+    """Payloads of any size: the company records, and the parts of their lists as JSON lines.
+
+    Parts are dealt out by ranges of company, entity and part, so files are of like size and list a company's parts in order. They
+    stream from the sorted rows; no company is held whole.
+    """
+    company.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/company")
+    order = [key, "entity", "part"]
+    parts.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").json(f"{path}/parts")
+
+
 def append_chunks(chunks: DataFrame, path: str) -> None:
     """Plain append to the chunk store (rows already there stay; see ``plans.refresh`` for the repeatable form).
 

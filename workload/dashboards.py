@@ -80,10 +80,11 @@ def product_table(spark, sf):
 def snapshot_table(spark, sf):
     c = table(spark, sf, "customer").filter(F.col("c_acctbal") > 0)
     k = F.col("c_custkey")
-    rows = c.select(
+    both = F.explode(F.array(F.to_date(F.lit("2024-01-01")), F.to_date(F.lit("2024-06-01"))))
+    rows = c.withColumn("as_of", both).select(
         F.concat(F.lit("cu"), k.cast("string")).alias("company_id"),
-        F.explode(F.array(F.to_date(F.lit("2024-01-01")), F.to_date(F.lit("2024-06-01")))).alias("as_of"),
-        (F.col("c_nationkey") * 10).alias("headcount_total"),
+        "as_of",
+        (F.col("c_nationkey") * 10 + F.month("as_of")).alias("headcount_total"),
         F.when(k % 2 == 0, F.col("c_nationkey")).alias("engineering_openings"),
         F.when(k % 3 == 0, F.lit(2)).alias("sales_openings"),
         F.when(k % 4 == 0, F.array(F.lit("Oslo"))).alias("geo_presence"),
@@ -102,16 +103,17 @@ def visibility_table(spark, sf):
     return records.conform(rows, S.columns_of("visibility"))
 
 
+def child_tables(spark, sf):
+    return {
+        "events": event_table(spark, sf),
+        "products": product_table(spark, sf),
+        "snapshots": snapshot_table(spark, sf),
+        "visibility": visibility_table(spark, sf),
+    }
+
+
 def payloads(spark, sf):
-    return records.assemble_payloads(
-        company_table(spark, sf),
-        {
-            "events": event_table(spark, sf),
-            "products": product_table(spark, sf),
-            "snapshots": snapshot_table(spark, sf),
-            "visibility": visibility_table(spark, sf),
-        },
-    )
+    return records.assemble_payloads(company_table(spark, sf), child_tables(spark, sf))
 
 
 _KIND = "case o_orderpriority " + " ".join(f"when '{k}' then '{v}'" for k, v in KINDS.items()) + " end"
@@ -137,7 +139,7 @@ co_ as (
     case when c_custkey % 9 = 0 then 'per seat' end as pricing_model, case when c_custkey % 9 = 0 then 'Free, Pro' end as tiers,
     case when c_custkey % 8 = 0 then r_name end as partners, case when c_custkey % 2 = 1 then 'Sales-Led' end as sales_motion,
     case when c_custkey % 5 = 1 then r_name end as markets,
-    case when c_acctbal > 0 then c_nationkey * 10 end as headcount, case when c_acctbal > 0 and c_custkey % 2 = 0 then c_nationkey end as eng,
+    case when c_acctbal > 0 then c_nationkey * 10 + 6 end as headcount, case when c_acctbal > 0 and c_custkey % 2 = 0 then c_nationkey end as eng,
     case when c_acctbal > 0 and c_custkey % 3 = 0 then 2 end as sales, case when c_acctbal > 0 and c_custkey % 4 = 0 then 'Oslo' end as geo,
     case when c_custkey % 2 = 0 then c_nationkey end as stars, case when c_custkey % 4 = 0 then 4.5 end as rating
   from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
@@ -217,21 +219,19 @@ GAPS = (
 def _section(ident: str, sql: str, column):
     @query(ident, f"with {PAY} select company_id, {sql} as section from pay_")
     def run(spark, sf):
-        p = payloads(spark, sf)
-        return p.select("company_id", column().alias("section"))
-
-
-_c = lambda: F.col("company_record")  # noqa: E731 - columns need a running session
-_seen = lambda: md.merged_visibility(_c(), md.latest(F.col("visibility")))
-_section("j03_overview", OVERVIEW, lambda: md.overview(_c()))
-_section("j04_business", BUSINESS, lambda: md.business(_c(), F.col("products")))
-_section("j05_funding", FUNDING, lambda: md.funding(_c(), F.col("events")))
-_section("j06_growth", GROWTH, lambda: md.growth(_c(), F.col("events"), F.get("snapshots", 0)))
-_section("j07_traction", f"coalesce(traction, '{ND}')", lambda: md.disclosed(md.traction(F.col("events"))))
-_section("j08_visibility", VISIBILITY, lambda: md.visibility(_seen()))
-_section("j09_risks", RISKS, lambda: md.risks(F.col("events")))
-_section("j10_outlook", OUTLOOK, lambda: md.outlook(_c()))
-_section("j11_gaps", GAPS, lambda: md.gaps(_c(), _seen(), md.named_customers(F.col("products"))))
+        rows = dashboard.dashboard_rows(company_table(spark, sf), child_tables(spark, sf))
+        return rows.select("company_id", column().alias("section"))
+
+
+_section("j03_overview", OVERVIEW, lambda: dashboard.section_texts("overview"))
+_section("j04_business", BUSINESS, lambda: dashboard.section_texts("business"))
+_section("j05_funding", FUNDING, lambda: dashboard.section_texts("funding"))
+_section("j06_growth", GROWTH, lambda: dashboard.section_texts("growth"))
+_section("j07_traction", f"coalesce(traction, '{ND}')", lambda: md.disclosed(md.traction_text(F.col("recent"))))
+_section("j08_visibility", VISIBILITY, lambda: dashboard.section_texts("visibility"))
+_section("j09_risks", RISKS, lambda: dashboard.section_texts("risks"))
+_section("j10_outlook", OUTLOOK, lambda: dashboard.section_texts("outlook"))
+_section("j11_gaps", GAPS, lambda: dashboard.section_texts("gaps"))
 
 _BODIES = [OVERVIEW, BUSINESS, FUNDING, GROWTH, VISIBILITY, RISKS, OUTLOOK, GAPS]
 DASHBOARD = (
@@ -244,6 +244,11 @@ DASHBOARD = (
 
 @query("j12_dashboard", f"with {PAY} select company_id, {DASHBOARD} as dashboard from pay_")
 def j12(spark, sf):
+    return dashboard.dashboards(company_table(spark, sf), child_tables(spark, sf), STAMP)
+
+
+@query("j12_dashboards_of_payloads", f"with {PAY} select company_id, {DASHBOARD} as dashboard from pay_")
+def j12_payloads(spark, sf):
     return dashboard.structured_dashboards(payloads(spark, sf), STAMP)
 
 
@@ -255,7 +260,7 @@ def j12(spark, sf):
     select company_id, coalesce(section, '- No recent funding events disclosed') as section from co_ left join text_ on co_.k = text_.k""",
 )
 def j19(spark, sf):
-    return payloads(spark, sf).select("company_id", md.recent_funding(F.col("events")).alias("section"))
+    return dashboard.recent_funding(company_table(spark, sf), event_table(spark, sf))
 
 
 @query(
@@ -272,13 +277,46 @@ def h08(spark, sf):
     return p.select("company_id", F.col("company_record.legal_name").alias("legal_name"), *sizes, ids)
 
 
+def uneven_children(spark, sf):
+    """Events and products of which a third belong to one company."""
+    one = lambda rows, digits: rows.withColumn("company_id", F.when(digits % 3 == 0, F.lit("cu1")).otherwise(F.col("company_id")))
+    children = child_tables(spark, sf)
+    children["events"] = one(children["events"], F.substring("event_id", 2, 12).cast("bigint"))
+    children["products"] = one(children["products"], F.substring("product_id", 2, 12).cast("bigint"))
+    return children
+
+
+@query(
+    "h08_payload_parts",
+    """with rows_ as (
+      select 'events' as entity, case when o_orderkey % 3 = 0 then 1 else o_custkey end as k, o_orderkey as place from orders
+      union all select 'products', case when l_orderkey % 3 = 0 then 1 else o_custkey end, l_orderkey from lineitem join orders on l_orderkey = o_orderkey
+      union all select 'snapshots', c_custkey, m from customer, (values (1), (6)) as t(m) where c_acctbal > 0
+      union all select 'visibility', c_custkey, 1 from customer where c_custkey % 2 = 0)
+    select 'cu' || k as company_id, entity, count(*) as n_items, cast(ceil(count(*) / 50.0) as int) as n_parts, cast(sum(place) as bigint) as places, true as bounded
+    from rows_ group by k, entity""",
+)
+def h08_parts(spark, sf):
+    parts = records.payload_parts(uneven_children(spark, sf), part_rows=50)
+    place = {
+        "events": lambda v: F.substring(v["event_id"], 2, 12).cast("bigint"),
+        "products": lambda v: F.substring(v["product_id"], 2, 12).cast("bigint"),
+        "snapshots": lambda v: F.month(v["as_of"]).cast("bigint"),
+        "visibility": lambda v: F.lit(1).cast("bigint"),
+    }
+    total = lambda name: F.aggregate(name, F.lit(0).cast("bigint"), lambda n, x: n + place[name](x["v"]))
+    own, held = F.coalesce(*[total(n) for n in place]), F.greatest(*[F.when(F.col(n).isNotNull(), F.size(n)) for n in place])
+    rows = parts.select("company_id", "entity", "n_items", "n_parts", own.alias("places"), held.alias("held"))
+    return rows.groupBy("company_id", "entity", "n_items", "n_parts").agg(F.sum("places").alias("places"), ((F.sum("held") == F.first("n_items")) & (F.max("held") <= 150)).alias("bounded"))
+
+
 @query(
     "h09_flatten_payloads",
     f"with {PAY} select printf('o%012d', o_orderkey) as event_id, company_id, occurred_on, event_type, amount as amount_usd from ev_ join co_ on ev_.k = co_.k",
 )
 def h09(spark, sf):
-    rows = records.flatten_payloads(payloads(spark, sf), "events")
-    return rows.select(
+    rows = records.flatten_parts(records.payload_parts(child_tables(spark, sf)), "events")
+    return rows.join(company_table(spark, sf).select("company_id"), "company_id", "left_semi").select(
         "event_id", "company_id", F.col("occurred_on").cast("string").alias("occurred_on"), "event_type", "amount_usd"
     )
 

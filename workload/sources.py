@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 
+from venturelens.operators import records
 from venturelens.plans.refresh import STORE, refresh_store
 from venturelens.session import scratch_path
 from venturelens.sources import readers, writers
 from venturelens.streaming.refresh import start_refresh
 from workload.common import PAGES_CTE, company_pages, query, sql_strip, table, text_table
-from workload.dashboards import PAY, payloads
+from workload.dashboards import PAY, child_tables, company_table, payloads
 from workload.retrieval import vectors
 from workload.seed import names
 
@@ -226,6 +227,18 @@ def b03(spark, sf):
     )
 
 
+@query("b03_write_payload_parts", f"with {PAY} select company_id, legal_name, cast(n_events as bigint) as n_events, cast(n_products as bigint) as n_products from pay_ where n_events + n_products > 0")
+def b03_parts(spark, sf):
+    path = scratch_path(spark, "payload-parts")
+    company, parts = company_table(spark, sf), records.payload_parts(child_tables(spark, sf), part_rows=20)
+    writers.write_payload_parts(company, parts, path)
+    company, parts = readers.read_payload_parts(spark, path, parts.schema, company.schema)
+    held = parts.filter(F.col("entity").isin("events", "products")).groupBy("company_id").agg(
+        *[F.coalesce(F.sum(F.when(F.col(n).isNotNull(), F.size(n))), F.lit(0)).alias(f"n_{n}") for n in ("events", "products")]
+    )
+    return company.join(held, "company_id").select("company_id", "legal_name", "n_events", "n_products")
+
+
 @query(
     "b04_append_chunks",
     "select 'co' || label as company, vec_id as chunk_key, cast(2 as bigint) as copies from embeddings",
