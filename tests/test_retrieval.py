@@ -120,10 +120,22 @@ def test_top_k_matches_brute_force_whatever_the_blocks(spark):
     vectors = st_.select("company", "chunk_key", "embedding")
     whole = rt.search_company(vectors, queries, 4)
     assert take(whole) == want
-    assert take(rt.search_company(vectors, queries, 4, block_bytes=1)) == want
+    for chunk_block, query_block in ((7, 1), (50, 2), (10**6, 1)):
+        assert take(rt.search_company(vectors, queries, 4, chunk_block=chunk_block, query_block=query_block)) == want
     assert "CartesianProduct" not in plan_of(whole) and "NestedLoop" not in plan_of(whole)
 
 
+def test_chunks_of_a_hot_company_are_dealt_out_and_no_job_runs_for_the_plan(spark):
+    st_ = store(spark).select("company", "chunk_key", "embedding")
+    queries = queries_of(spark, st_.collect())
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup())
+    df = rt.search_company(st_, queries, 3, chunk_block=10)
+    assert len(tracker.getJobIdsForGroup()) == before
+    text = plan_of(df)
+    assert "_chunk_block" in text and "FlatMapCoGroupsInArrow" in text and "Broadcast" not in text.split("FlatMapCoGroupsInArrow")[0]
+
+
 def test_no_queries_and_odd_vectors(spark):
     st_ = store(spark).select("company", "chunk_key", "embedding")
     queries = queries_of(spark, st_.withColumn("content", F.lit("")).collect())
@@ -133,7 +145,7 @@ def test_no_queries_and_odd_vectors(spark):
         [("hot", 70, [2.0]), ("hot", 71, None), ("hot", 72, [1.0, None]), ("hot", 73, [1.0] * 3), (None, 74, [1.0] * 8)], queries.schema
     )
     for size in (1, 1 << 26):
-        rows = rt.search_company(st_.union(odd), queries.union(odd_queries), 3, block_bytes=size).collect()
+        rows = rt.search_company(st_.union(odd), queries.union(odd_queries), 3, chunk_block=size, query_block=size).collect()
         assert {(r.query_no, r.chunk_key, r.score) for r in rows if r.chunk_key < 0 or r.query_no >= 70} == {(70, -1, 18.0)}
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from venturelens import vocabulary as V
 from venturelens.functions import text as tx
 from venturelens.functions import vectors as vx
-from venturelens.operators.skew import BROADCAST_BYTES, top_per_group, union_rows
+from venturelens.operators.skew import top_per_group
 
 # --- chunks --------------------------------------------------------------------------
 
@@ -121,91 +121,44 @@ def embed(df: DataFrame, model: Callable[[], Callable[[list[str]], list[list[flo
 SCORE_DIGITS = 9
 
 
-def _rows_by_value(names: pa.Array) -> Iterator[tuple[object, np.ndarray]]:
-    """(value, row numbers) of each distinct value, by one sort."""
-    groups = names.dictionary_encode()
-    codes = groups.indices.to_numpy(zero_copy_only=False)
-    order = np.argsort(codes, kind="stable")
-    cuts = np.flatnonzero(np.diff(codes[order])) + 1
-    for rows in np.split(order, cuts) if len(order) else []:
-        yield groups.dictionary[int(codes[rows[0]])].as_py(), rows
+CHUNK_BLOCK = 4096  # chunks and queries that meet at a time
+QUERY_BLOCK = 256
 
 
-def query_blocks(
-    queries: DataFrame, company: str = "company", query: str = "query_no", block_bytes: int = BROADCAST_BYTES
-) -> Iterator[dict[tuple[object, int], tuple[np.ndarray, np.ndarray]]]:
-    """The query vectors in blocks of at most ``block_bytes`` as they are measured: (company, width) -> numbers, matrix.
-
-    Rows without company, vector or one of its numbers can't have a score and are left out.
-    """
-    held, size = {}, 0
-
-    def block():
-        return {key: (np.array([n for n, _ in rows]), np.stack([v for _, v in rows])) for key, rows in held.items()}
-
-    rows = queries.select(F.col(company).alias("c"), F.col(query).cast("bigint").alias("n"), F.col("embedding").alias("v"))
-    for row in rows.filter("c is not null and n is not null and v is not null").toLocalIterator():
-        vector = np.array(row.v, dtype="float64")
-        if np.isnan(vector).any() or not len(vector):
-            continue
-        if held and size + vector.nbytes > block_bytes:
-            yield block()
-            held, size = {}, 0
-        held.setdefault((row.c, len(vector)), []).append((row.n, vector))
-        size += vector.nbytes
-    if held:
-        yield block()
+def _vectors(column: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and matrix of the lists of this width that have all their numbers."""
+    lists = column.combine_chunks()
+    rows = np.flatnonzero(lists.value_lengths().to_numpy(zero_copy_only=False) == width)
+    matrix = lists.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, width)
+    whole = ~np.isnan(matrix).any(axis=1)
+    return rows[whole], matrix[whole]
 
 
-def _best_of_batches(
-    chunks: DataFrame, tables: Mapping[tuple[object, int], tuple[np.ndarray, np.ndarray]], k: int, company: str, query: str, id_: str
-) -> DataFrame:
-    """Per Arrow batch, company and query the chunks that may be among the top ``k``.
+def best_of_blocks(chunks: pa.Table, queries: pa.Table, k: int, company: str, query: str, id_: str) -> pa.Table:
+    """Of a block of a company's chunks and a block of its queries: the chunks that may be among the top ``k`` of each query.
 
-    A block of query vectors is sent to the tasks; chunk vectors are scored as one matrix product per batch, company
-    and width, and only the best ``k`` (with ties) leave the task. A chunk scores for queries of its own width only.
+    They are scored as one matrix product per width; a chunk scores for queries of its own width only. Ties with the last stay.
     """
-    shared = chunks.sparkSession.sparkContext.broadcast(dict(tables))
-    kind = {c: chunks.schema[c].dataType.simpleString() for c in (company, id_)}
-
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            lists = batch.column(2)
-            widths = lists.value_lengths().to_numpy(zero_copy_only=False)
-            rows_, numbers_, scores_ = [], [], []
-            for name, rows in _rows_by_value(batch.column(0)):
-                for width in {w for n, w in own if n == name}:
-                    mine = rows[widths[rows] == width]
-                    if not len(mine):
-                        continue
-                    matrix = lists.take(pa.array(mine)).flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, width)
-                    whole = ~np.isnan(matrix).any(axis=1)
-                    mine, matrix = mine[whole], matrix[whole]
-                    numbers, vectors = own[name, width]
-                    scores = np.round(matrix @ vectors.T, SCORE_DIGITS)
-                    bar = np.partition(scores, -k, axis=0)[-k] if len(mine) > k else -np.inf
-                    at, of = np.nonzero(scores >= bar)
-                    rows_.append(mine[at])
-                    numbers_.append(numbers[of])
-                    scores_.append(scores[at, of])
-            if rows_:
-                picked = pa.array(np.concatenate(rows_))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(picked),
-                        batch.column(1).take(picked),
-                        pa.array(np.concatenate(numbers_)),
-                        pa.array(np.concatenate(scores_)),
-                    ],
-                    names=[company, id_, query, "score"],
-                )
-
-    full = chunks.select(company, id_, "embedding").filter(F.col(company).isNotNull() & F.col("embedding").isNotNull())
-    return full.mapInArrow(
-        best, f"`{company}` {kind[company]}, `{id_}` {kind[id_]}, `{query}` bigint, score double"
+    rows_, numbers_, scores_ = [], [], []
+    widths = {w for w in queries["embedding"].combine_chunks().value_lengths().to_pylist() if w}
+    for width in sorted(widths):
+        mine, matrix = _vectors(chunks["embedding"], width)
+        asked, vectors = _vectors(queries["embedding"], width)
+        if not len(mine) or not len(asked):
+            continue
+        scores = np.round(matrix @ vectors.T, SCORE_DIGITS)
+        bar = np.partition(scores, -k, axis=0)[-k] if len(mine) > k else -np.inf
+        at, of = np.nonzero(scores >= bar)
+        rows_.append(mine[at])
+        numbers_.append(asked[of])
+        scores_.append(scores[at, of])
+    none = np.zeros(0, np.int64)
+    picked = pa.array(np.concatenate(rows_) if rows_ else none)
+    numbers = pa.array(np.concatenate(numbers_) if numbers_ else none)
+    found = pa.array(np.concatenate(scores_) if scores_ else np.zeros(0))
+    return pa.table(
+        [chunks[company].combine_chunks().take(picked), chunks[id_].combine_chunks().take(picked), queries[query].combine_chunks().take(numbers), found],
+        names=[company, id_, query, "score"],
     )
 
 
@@ -216,18 +169,34 @@ def search_company(
     company: str = "company",
     query: str = "query_no",
     id_: str = "chunk_key",
-    block_bytes: int = BROADCAST_BYTES,
+    chunk_block: int = CHUNK_BLOCK,
+    query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """Top ``k`` chunks of each query among the chunks of the query's own company (ties: lowest id).
 
-    Companies are matched before anything is ranked, and only ids and scores are ranked; content is
-    joined to the winners afterwards. Queries go to the tasks in blocks of bounded size, each by the same
-    matrix product, so their number changes the count of scans and nothing else.
+    Counts by company tell into how many blocks its chunks and its queries are dealt; blocks of both meet by cogroup, so a company with a
+    third of all chunks is as many groups as it needs, chunk vectors are read and shuffled once (once per block of ``query_block``
+    queries of the company), and chunks of companies without a query aren't sent. Only ids and scores of each block's best ``k`` go on;
+    content is joined to the winners afterwards. Rows without company, vector or one of its numbers can't have a score and are left out.
     """
-    scored = [_best_of_batches(chunks, block, k, company, query, id_) for block in query_blocks(queries, company, query, block_bytes)]
-    if not scored:
-        scored = [_best_of_batches(chunks, {}, k, company, query, id_)]
-    rows = union_rows(scored)
+    kind = {c: chunks.schema[c].dataType.simpleString() for c in (company, id_)}
+    own = chunks.select(company, id_, "embedding").filter(F.col(company).isNotNull() & F.col("embedding").isNotNull())
+    asked = queries.select(company, F.col(query).cast("bigint").alias(query), "embedding").filter(
+        F.col(company).isNotNull() & F.col(query).isNotNull() & F.col("embedding").isNotNull()
+    )
+    blocks = lambda rows, most, name: rows.groupBy(company).agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(name))
+    sizes = blocks(own, chunk_block, "_chunk_blocks").join(blocks(asked, query_block, "_query_blocks"), company)  # a row per company
+    block_of = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    keys = [company, "_chunk_block", "_query_block"]
+    left = own.join(sizes, company).select(company, id_, "embedding", block_of(id_, "_chunk_blocks").alias("_chunk_block"), every("_query_blocks").alias("_query_block"))
+    right = asked.join(sizes, company).select(company, query, "embedding", block_of(query, "_query_blocks").alias("_query_block"), every("_chunk_blocks").alias("_chunk_block"))
+
+    def best(chunk_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
+        return best_of_blocks(chunk_rows, query_rows, k, company, query, id_)
+
+    schema = f"`{company}` {kind[company]}, `{id_}` {kind[id_]}, `{query}` bigint, score double"
+    rows = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best, schema)
     return top_per_group(rows, [company, query], [F.col("score").desc(), F.col(id_)], k, [id_], salts=1)
 
 

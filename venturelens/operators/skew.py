@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-
 
 def union_rows(frames: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL by column name.
