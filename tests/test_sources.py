@@ -6,7 +6,7 @@ from tests.conftest import plan_of
 from venturelens import schemas as S
 from venturelens.operators import records, runs, selection, signals
 from venturelens.plans import structured
-from venturelens.plans.refresh import STORE, refresh_store
+from venturelens.plans.refresh import STORE, marked_chunks, refresh_store
 from venturelens.session import scratch_path, scratch_root
 from venturelens.sources import readers, writers
 from venturelens.streaming import refresh as stream
@@ -142,6 +142,29 @@ def test_refresh_adds_changed_pages_once(spark):
     assert {r.source for r in only_key.collect()} == {"about"}
 
 
+def test_chunks_of_replaced_versions_are_marked(spark):
+    path = scratch_path(spark, "store")
+    for batch, text in (("1", "one. "), ("2", "two. "), ("2", "two. "), ("3", "one. "), ("4", "one. ")):
+        refresh_store(spark, page_rows(spark, ("a", "about", text), ("b", "blog", "same. ")), path, batch)
+    chunks = marked_chunks(spark, path).collect()
+    assert {(r.source, r.content[:4], r.current) for r in chunks} == {("about", "one.", True), ("about", "two.", False), ("blog", "same", True)}
+    assert len(chunks) == len({(r.source, r.chunk_id, r.text_hash) for r in chunks})  # a returning text isn't stored again
+
+
+def test_a_batch_reads_only_its_buckets_of_the_index(spark):
+    from venturelens.operators import runs
+    from venturelens.plans import refresh
+
+    path = scratch_path(spark, "store")
+    refresh_store(spark, page_rows(spark, *[(f"c{i}", "about", f"text {i}. ") for i in range(60)]), path, "1")
+    one = runs.with_hash(page_rows(spark, ("c7", "about", "text 7. ")))
+    for folder, schema, bucket in (("_hashes", refresh.HASHES, refresh._hash_bucket()), ("_pages", refresh.VERSIONS, refresh._page_bucket())):
+        read = refresh._read_buckets(spark, f"{path}/{folder}", schema, one, bucket, "2")
+        assert "c7" in {r.company for r in read.collect()} and read.count() < 10
+        assert "PartitionFilters: [isnotnull(bucket" in plan_of(read) or "PartitionFilters: [isnotnull(batch" in plan_of(read)
+        assert len(read.inputFiles()) < 60
+
+
 def test_stream_equals_batch_and_restarts(spark, tmp_path):
     pages = page_rows(spark, ("a", "about", "one. "), ("b", "blog", "two. "))
     store, check = scratch_path(spark, "store"), scratch_path(spark, "check")

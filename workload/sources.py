@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 
 from venturelens.operators import records
-from venturelens.plans.refresh import STORE, refresh_store
+from venturelens.plans.refresh import STORE, marked_chunks, refresh_store
 from venturelens.session import scratch_path
 from venturelens.sources import readers, writers
 from venturelens.streaming.refresh import start_refresh
@@ -323,6 +323,25 @@ def l06_store(spark, sf):
     return added.filter("chunk_id = 0").select("company", "source", "text_hash")
 
 
+@query(
+    "l06_marked_chunks",
+    f"""with d as (select 'c' || (doc_id // 2) % 7 as company, doc_id // 2 as page, sha256(text) as text_hash, doc_id % 2 as day, length({sql_strip('text')}) >= 100 as stored
+      from documents where text is not null),
+    now as (select company, page, max_by(text_hash, day) as text_hash from d group by company, page)
+    select company, text_hash, (company, text_hash) in (select (company, text_hash) from now) as current from (select distinct company, text_hash from d where stored)""",
+)
+def l06_marked(spark, sf):
+    """Documents 2n and 2n + 1 are two versions of one page, indexed on two days."""
+    path = scratch_path(spark, "store")
+    half = F.floor(F.col("doc_id") / 2)
+    pages = text_table(spark, sf, "documents", "doc_id").select(
+        "doc_id", F.concat(F.lit("c"), (half % 7).cast("string")).alias("company"), F.lit("page").alias("source"), F.concat(F.lit("p"), half.cast("string")).alias("file_path"), "text"
+    )
+    for day in (0, 1):
+        refresh_store(spark, pages.filter(F.col("doc_id") % 2 == day).drop("doc_id"), path, f"day{day}")
+    return marked_chunks(spark, path).filter("chunk_id = 0").select("company", "text_hash", "current")
+
+
 @query(
     "l06_refresh_stream",
     f"select distinct source as company, lang as source, sha256(text) as text_hash from documents where length({sql_strip('text')}) >= 100",
