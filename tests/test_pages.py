@@ -1,3 +1,7 @@
+import html
+
+from pyspark.sql import functions as F
+
 from tests.conftest import values
 from venturelens.functions import html as hx
 from venturelens.functions import urls
@@ -8,8 +12,8 @@ PAGE = """<!DOCTYPE html><html><head><title>A &amp; B</title><style>p{x}</style>
 <div class="Site-Footer"><a href="/careers?x=1&amp;y=2">Work with us</a><a href="#top">Top</a><a href="https://www.linkedin.com/company/ex/?t=1" aria-label="Network"></a></div></body></html>"""
 
 
-def frame(spark, html=PAGE):
-    return spark.createDataFrame([(1, html)], "id int, html string")
+def frame(spark, page=PAGE):
+    return spark.createDataFrame([(1, page)], "id int, html string")
 
 
 def test_regex_and_parser_text_agree(spark):
@@ -22,19 +26,31 @@ def test_regex_and_parser_text_agree(spark):
 
 
 def test_parser_respects_nesting(spark):
-    html = "<header>x<header>inner text</header>outer text</header><p>kept text</p>"
-    assert pg.parse_text(frame(spark, html), main=True).first().text == "kept text"
+    page = "<header>x<header>inner text</header>outer text</header><p>kept text</p>"
+    assert pg.parse_text(frame(spark, page), main=True).first().text == "kept text"
 
 
 def test_unclosed_script_runs_to_the_end(spark):
     assert values(spark, hx.visible_text, "<p>a</p><script>never closed <b>x</b>") == ["a"]
 
 
+def test_entities_without_semicolon(spark):
+    odd = ["&copy 2024", "a&ampb", "&#65 x", "&#x41z &#66", "&notit; &nosuch x", "&lt", "&gtx&", "&ampfoo; &AMP", "&frac12x &thetasym", "& &# &#x &#xg;"]
+    assert values(spark, hx.decode_entities, *odd) == [html.unescape(x) for x in odd]
+
+
+def test_text_with_loose_signs_is_one_node(spark):
+    cases = ["<p>a < b and c > d</p>", "<p>&copy 2024 a&ampb company</p>", "<h2>1. A < B Corp</h2>", "<p>one<!-- x -->two words</p>"]
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, html string")
+    for main, column in ((False, hx.visible_text), (True, hx.main_text)):
+        parsed = [r.text for r in pg.parse_text(df, main=main).orderBy("i").collect()]
+        assert parsed[0] == "a < b and c > d" and parsed[2] == "1. A < B Corp"
+        assert parsed[:3] == [r.t for r in df.orderBy("i").select(column(F.col("html")).alias("t")).collect()][:3]
+
+
 def test_entities(spark):
     got = values(spark, hx.decode_entities, "&amp;lt; &#65;&#x42; &nosuch; & &copy;", "plain")
     assert got == ["&lt; AB &nosuch; & ©", "plain"]
-    import html
-
     odd = ["&#128512;&#x1F600;&hellip;", "&#0000065;", "&#xD800;|&#99999999999;|&#x110000;", "caf&eacute; &NotEqualTilde;"]
     assert values(spark, hx.decode_entities, *odd) == [html.unescape(x) for x in odd]
 

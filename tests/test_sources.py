@@ -115,7 +115,7 @@ def test_pushdown_and_partition_pruning(spark, sf, tmp_path):
     pages = d.select(F.col("source").alias("company_id"), F.lit("blog").alias("page_type"), "text", F.lit("2025-01-01").cast("date").alias("run_date"))
     writers.write_pages(pages, str(tmp_path / "pages"))
     plan = plan_of(readers.read_pages(spark, str(tmp_path / "pages"), "2025-01-01", "src1"))
-    assert "PartitionFilters: [isnotnull(run_date" in plan and "EqualTo(company_id,src1)" in plan
+    assert "PartitionFilters: [" in plan and "isnotnull(run_date" in plan and "company_bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0] and "EqualTo(company_id,src1)" in plan
 
 
 def test_latest_and_counts(spark):

@@ -41,18 +41,21 @@ def inner_pattern(tag: str) -> str:
 
 # All names of HTML 5 that end in a semicolon; some stand for two characters.
 NAMED = {name[:-1]: chars for name, chars in html5.items() if name.endswith(";")}
+# Names that also count without it, as the longest beginning of what follows the ampersand.
+BARE = {name: chars for name, chars in html5.items() if not name.endswith(";")}
 
 
-def decode_entities(text: Column, names: Mapping[str, str] = NAMED) -> Column:
-    """``&name;``, ``&#n;`` and ``&#xh;`` as characters, in one pass (``&amp;lt;`` gives ``&lt;``)."""
-    # One literal, folded to a constant map by the optimizer.
-    table = F.from_json(F.lit(json.dumps(dict(names))), "map<string,string>")
+def decode_entities(text: Column, names: Mapping[str, str] = NAMED, bare: Mapping[str, str] = BARE) -> Column:
+    """``&name;``, ``&#n;`` and ``&#xh;`` as characters, in one pass (``&amp;lt;`` gives ``&lt;``); numbers and old names also without semicolon."""
+    # One literal each, folded to a constant map by the optimizer.
+    table, beginnings = (F.from_json(F.lit(json.dumps(dict(x))), "map<string,string>") for x in (names, bare))
+    lengths = sorted({len(x) for x in bare}, reverse=True)
 
     def decoded(piece: Column) -> Column:
         # Leading zeros don't count; what is no character gives the replacement character.
-        dec = F.regexp_extract(piece, r"^#0*([0-9]+);", 1)
+        dec = F.regexp_extract(piece, r"^#0*([0-9]+)", 1)
         short = F.when(F.length(dec).between(1, 9), F.hex(dec.cast("int"))).when(F.length(dec) > 9, F.lit("FFFFFFF"))
-        code = F.coalesce(short, F.upper(F.regexp_extract(piece, r"^#[xX]0*([0-9a-fA-F]+);", 1)))
+        code = F.coalesce(short, F.upper(F.regexp_extract(piece, r"^#[xX]0*([0-9a-fA-F]+)", 1)))
 
         def character(c: Column) -> Column:
             value = F.conv(c, 16, 10).cast("bigint")
@@ -61,9 +64,12 @@ def decode_entities(text: Column, names: Mapping[str, str] = NAMED) -> Column:
 
         numeric = let(code, character)
         named = F.try_element_at(table, F.regexp_extract(piece, r"^([A-Za-z][A-Za-z0-9]{1,31});", 1))
-        rest = F.substring(piece, F.instr(piece, ";") + 1, F.length(piece))
-        char = F.when(F.startswith(piece, F.lit("#")), numeric).otherwise(named)
-        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+        after = F.substring(piece, F.instr(piece, ";") + 1, F.length(piece))
+        by_number = F.concat(numeric, F.regexp_replace(piece, r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", ""))
+        shorter = [F.concat(F.try_element_at(beginnings, F.substring(piece, 1, n)), F.substring(piece, F.lit(n + 1), F.length(piece))) for n in lengths]
+        old = F.when(F.rlike(piece, F.lit("^[A-Za-z]{2}")), F.coalesce(*shorter))
+        by_name = F.coalesce(F.concat(named, after), old)
+        return F.coalesce(F.when(F.startswith(piece, F.lit("#")), by_number).otherwise(by_name), F.concat(F.lit("&"), piece))
 
     def whole(pieces: Column) -> Column:
         tail = F.transform(F.slice(pieces, 2, 2147483646), decoded)

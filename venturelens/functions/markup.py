@@ -24,8 +24,10 @@ class Elements(HTMLParser):
         self.text_range: list[list[int]] = []
         self.pieces: list[str] = []
         self.open: list[int] = []
+        self.data: list[str] = []
         self.feed(html or "")
         self.close()
+        self._end_of_text()
         while self.open:
             self._close()
 
@@ -34,7 +36,14 @@ class Elements(HTMLParser):
         self.ends[i] = len(self.tags)
         self.text_range[i][1] = len(self.pieces)
 
+    def _end_of_text(self) -> None:
+        """What was read since the last markup is one text: the parser may hand it over in parts."""
+        if self.data and (piece := "".join(self.data).strip()):
+            self.pieces.append(piece)
+        self.data.clear()
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self._end_of_text()
         i = len(self.tags)
         self.tags.append(tag)
         self.attributes.append(dict(attrs))
@@ -49,7 +58,11 @@ class Elements(HTMLParser):
         if tag not in VOID:
             self._close()
 
+    def handle_comment(self, data: str) -> None:
+        self._end_of_text()
+
     def handle_endtag(self, tag: str) -> None:
+        self._end_of_text()
         for depth in range(len(self.open) - 1, -1, -1):
             if self.tags[self.open[depth]] == tag:
                 while len(self.open) > depth:
@@ -59,8 +72,7 @@ class Elements(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open and self.tags[self.open[-1]] in SILENT:
             return
-        if piece := data.strip():
-            self.pieces.append(piece)
+        self.data.append(data)
 
     def text(self, i: int) -> str:
         """Text of the element and all within it, each piece stripped."""

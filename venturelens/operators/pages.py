@@ -28,24 +28,36 @@ class _TextNodes(HTMLParser):
 
     def __init__(self, skip: frozenset[str]):
         super().__init__(convert_charrefs=True)
-        self.skip, self.depth, self.nodes = skip, 0, []
+        self.skip, self.depth, self.nodes, self.data = skip, 0, [], []
+
+    def end_of_text(self):
+        """What was read since the last markup is one node: the parser may hand it over in parts."""
+        if self.data:
+            self.nodes.append("".join(self.data))
+            self.data.clear()
 
     def handle_starttag(self, tag, attrs):
+        self.end_of_text()
         self.depth += tag in self.skip
 
+    def handle_comment(self, data):
+        self.end_of_text()
+
     def handle_endtag(self, tag):
+        self.end_of_text()
         if tag in self.skip and self.depth:
             self.depth -= 1
 
     def handle_data(self, data):
         if not self.depth:
-            self.nodes.append(data)
+            self.data.append(data)
 
 
 def _nodes(html: str, skip: frozenset[str]) -> list[str]:
     parser = _TextNodes(skip)
     parser.feed(html)
     parser.close()
+    parser.end_of_text()
     return parser.nodes
 
 

@@ -16,6 +16,7 @@ from venturelens import schemas as S
 from venturelens import vocabulary as V
 from venturelens.functions.text import strip
 from venturelens.operators.skew import keyed_join, union_rows
+from venturelens.sources.writers import page_bucket
 
 
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
@@ -38,26 +39,34 @@ def _path_parts(back: int) -> Column:
     return F.element_at(F.split(F.col("_metadata.file_path"), "/"), -back)
 
 
+PARTITION_LAYOUT = r"/company_id=([^/]+)/page_type=([^/]+)/[^/]+$"
+
+
 def read_page_files(
-    spark: SparkSession, path: str, page_types: Sequence[str] | None = V.PAGE_TYPES, suffix: str = "txt", folder_level: int = 2
+    spark: SparkSession, path: str, page_types: Sequence[str] | None = V.PAGE_TYPES, suffix: str = "txt", folder_level: int = 2, layout: str | None = None
 ) -> DataFrame:
     """(company_id, page_type, file_path, text) of ``<company>/<page type>.txt``, whole files.
 
     ``page_types=None`` takes every text file. ``folder_level`` is the company folder's place from
-    the end (3 where dated run folders lie between).
+    the end (3 where dated run folders lie between). ``layout`` is for any other naming: a pattern over the path whose first two
+    groups are company and page type, as ``PARTITION_LAYOUT`` for folders that Spark wrote; files that it doesn't fit are left out.
     """
-    stem = F.regexp_replace(_path_parts(1), rf"\.{suffix}$", "")
+    company, stem = _path_parts(folder_level), F.regexp_replace(_path_parts(1), rf"\.{suffix}$", "")
+    if layout:
+        company, stem = (F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), layout, i)) for i in (1, 2))
     files = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*.{suffix}")
         .text(path, wholetext=True)
         .select(
-            _path_parts(folder_level).alias("company_id"),
+            company.alias("company_id"),
             stem.alias("page_type"),
             F.col("_metadata.file_path").alias("file_path"),
             F.col("value").alias("text"),
         )
     )
+    if layout:
+        files = files.filter(F.col("page_type") != "")
     return files.filter(F.col("page_type").isin(list(page_types))) if page_types else files
 
 
@@ -109,7 +118,9 @@ def read_pages(spark: SparkSession, path: str, run_date: str | None = None, comp
         pages = pages.filter(F.col("run_date") == F.lit(run_date).cast("date"))
     if company_id:
         pages = pages.filter(F.col("company_id") == company_id)
-    return pages
+        if "company_bucket" in pages.columns:
+            pages = pages.filter(F.col("company_bucket") == page_bucket(F.lit(company_id)))
+    return pages.drop("company_bucket")
 
 
 def read_crawl_metadata(

@@ -4,19 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from venturelens.functions.urls import folder_slug
 
 
+PAGE_BUCKETS = 64
+
+
+def page_bucket(company: Column) -> Column:
+    return F.pmod(F.xxhash64(company), F.lit(PAGE_BUCKETS)).cast("int")
+
+
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Pages by run date. The rebalance gives each date files of even size and splits a large date."""
+    """Pages by run date and bucket of the company, so that a reader of one company opens one folder a date.
+
+    The rebalance gives each folder files of even size and splits a large one.
+    """
     (
-        pages.hint("rebalance", "run_date")
+        pages.withColumn("company_bucket", page_bucket(F.col("company_id")))
+        .hint("rebalance", "run_date", "company_bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date")
+        .partitionBy("run_date", "company_bucket")
         .parquet(path)
     )
 

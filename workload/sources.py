@@ -49,6 +49,16 @@ def a01(spark, sf):
     )
 
 
+@query("a02_page_files", f"with {PAGES_CTE} select company_id, page_type, text from pages_ where text <> ''")
+def a02(spark, sf):
+    """Pages written as one text file each, by company and page type, and read back whole."""
+    path = scratch_path(spark, "page-files")
+    pages = company_pages(spark, sf).filter(F.col("text") != "").select("company_id", "page_type", "text")
+    pages.write.partitionBy("company_id", "page_type").option("lineSep", "\x01").text(path)
+    files = readers.read_page_files(spark, path, page_types=None, layout=readers.PARTITION_LAYOUT)
+    return files.select("company_id", "page_type", F.regexp_replace("text", "\x01$", "").alias("text"))
+
+
 @query("a03_long_texts", f"select doc_id, text from documents where length({sql_strip('text')}) >= 400")
 def a03(spark, sf):
     return readers.long_texts(text_table(spark, sf, "documents", "doc_id").select("doc_id", "text"), 400)
