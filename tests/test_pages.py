@@ -118,6 +118,26 @@ def test_list_headings_rules(spark):
     assert [r.name for r in rows] == ["Alpha", "Beta"]
 
 
+def test_cascade_in_one_pass_equals_the_methods_one_by_one(spark, sf):
+    raw = spark.read.parquet(f"{sf}/pages.parquet").limit(60)
+    number = F.concat(F.lit("<h2>"), (F.col("page_id") % 60).cast("string"), F.lit(". "))
+    html_ = F.when(F.col("page_id") % 2 == 0, F.replace(F.replace("html", F.lit("<h1>"), number), F.lit("</h1>"), F.lit("</h2>"))).otherwise(F.col("html"))
+    odd = [(-1, None), (-2, ""), (-3, "<ul><li class='listitem'><h3>1. Twice</h3></li><li class='listitem'><h3>2. Twice</h3><a href='b'></a></li></ul>"), (-4, "<h2>3. A < B Corp</h2><h2>12</h2>")]
+    df = raw.select("page_id", html_.alias("html")).union(spark.createDataFrame(odd, "page_id long, html string"))
+    df = df.withColumn("text", F.concat(F.lit("a\n 1. Line one\n 1. Line one\n 2. xy\n"), F.coalesce("html", F.lit(""))))
+    paths = ["/the", "/an"]
+    methods = [pg.list_from_ld_json(df, "page_id"), pg.list_from_selectors(df, "page_id"), pg.list_from_headings(df, "page_id"), pg.list_from_links(df, "page_id", paths), pg.list_from_lines(df, "page_id")]
+    columns = ["page_id", "pos", "name", "url", "method_no", "n"]
+    one_pass = pg.cascade(df, "page_id", paths=paths).select(*columns)
+    rows = sorted(map(tuple, one_pass.collect()))
+    assert rows == sorted(map(tuple, pg.first_method(methods, "page_id").select(*columns).collect()))
+    assert len({r[4] for r in rows}) >= 3
+    from tests.conftest import plan_of
+
+    text = plan_of(one_pass)
+    assert "Exchange hash" not in text and text.split("== Initial Plan")[0].count("ArrowEvalPython") == 1
+
+
 def test_cascade_takes_first_method_with_rows(spark):
     schema = "id int, pos int, name string, url string"
     one = spark.createDataFrame([(1, 0, "a", "")], schema)

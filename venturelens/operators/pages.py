@@ -14,7 +14,7 @@ from venturelens import vocabulary as V
 from venturelens.functions import html as hx
 from venturelens.functions import urls
 from venturelens.functions.markup import Elements
-from venturelens.functions.text import any_of, strip
+from venturelens.functions.text import any_of, let, strip
 from venturelens.operators.skew import union_rows
 
 
@@ -348,6 +348,77 @@ def first_method(methods: Sequence[DataFrame], key: str, first: int = 50) -> Dat
     return kept.drop("_first").withColumn("n", number).filter(F.col("n") <= first)
 
 
+LISTED = "array<struct<name:string,url:string>>"
+
+
+def cascade(
+    pages: DataFrame,
+    key: str,
+    text: str = "text",
+    base: str | None = None,
+    numbered: str = r"^(\d+)[.\s]+(.+)$",
+    heading_stop_words: Sequence[str] = V.HEADING_STOP_WORDS,
+    top: int = 50,
+    paths: Sequence[str] = V.PROFILE_PATHS,
+    link_stop_words: Sequence[str] = V.LINK_STOP_WORDS,
+    pattern: str = r"\n\s*\d+[\.\s]+([^\n]+)",
+    line_stop_words: Sequence[str] = V.LINE_STOP_WORDS,
+    first: int = 50,
+) -> DataFrame:
+    """``key, pos, name, url, method_no, n``: what ``first_method`` gives for the five list methods, from one pass over the pages.
+
+    Each page gets one array per method; the first that isn't empty is taken, and its first ``first`` entries become rows. A page is parsed
+    once, for both parser methods, and only if its JSON-LD lists nothing. Nothing is shuffled. With ``base``, relative links of
+    the methods 2 to 4 are joined to it.
+    """
+    none = F.array().cast("array<struct<pos:int,name:string,url:string>>")
+
+    def entries(found: Column, name: Callable[[Column], Column], url: Callable[[Column], Column]) -> Column:
+        return F.transform(found, lambda x, i: F.struct(i.alias("pos"), name(x).alias("name"), url(x).alias("url")))
+
+    def first_of_equal(rows: Column) -> Column:
+        return let(F.transform(rows, lambda x: x["name"]), lambda names: F.filter(rows, lambda x, i: F.array_position(names, x["name"]) == i + 1))
+
+    def clean(rows: Column, stop_words: Sequence[str]) -> Column:
+        return F.filter(rows, lambda x: (F.length(x["name"]) > 2) & (F.length(x["name"]) < 100) & ~any_of(F.lower(x["name"]), list(stop_words)))
+
+    def joined(url: Column) -> Column:
+        return F.when(F.coalesce(url, F.lit("")) != "", urls.resolve(F.lit(base), url)).otherwise(url) if base else url
+
+    @F.pandas_udf(f"selectors {LISTED}, headings {LISTED}")
+    def parsed(html: pd.Series) -> pd.DataFrame:
+        trees = [Elements(page) if page is not None else None for page in html]
+        listed = lambda found: [[] if t is None else [{"name": n, "url": u} for n, u in found(t)] for t in trees]
+        return pd.DataFrame({"selectors": listed(_listed), "headings": listed(_headed)})
+
+    scripts = F.regexp_extract_all("html", F.lit(hx.LD_JSON), F.lit(1))
+    item = "itemListElement array<struct<name:string,url:string>>"
+    items = F.flatten(F.transform(scripts, lambda x: F.coalesce(F.from_json(x, item)["itemListElement"], F.array().cast(LISTED))))
+    by_ld_json = F.filter(entries(items, lambda x: x["name"], lambda x: F.coalesce(x["url"], F.lit(""))), lambda x: (F.length(x["name"]) > 0) & (F.length(x["name"]) < 100))
+    rows = pages.select(key, "html", F.col(text).alias("_text"), F.coalesce(first_of_equal(by_ld_json), none).alias("_m1"))
+    # Called non-deterministic so that the optimizer keeps it out of the lambdas below, where it can't be run.
+    rows = rows.withColumn("_parsed", parsed.asNondeterministic()(F.when(F.size("_m1") == 0, F.col("html"))))
+    by_selectors = clean(entries(F.col("_parsed.selectors"), lambda x: F.regexp_replace(x["name"], r"^\d+\.?\s*", ""), lambda x: joined(x["url"])), [])
+
+    def ranked(x: Column) -> Column:
+        rank = F.regexp_replace(F.regexp_extract(x["name"], numbered, 1), "^0+(?=.)", "")
+        return F.coalesce(F.when(F.length(rank).between(1, 9), rank.try_cast("int")).between(1, top), F.lit(False))
+
+    heads = F.transform(F.col("_parsed.headings"), lambda x, i: F.struct(i.alias("pos"), x["name"].alias("label"), ranked(x).alias("ranked"), strip(F.regexp_extract(x["name"], numbered, 2)).alias("name"), joined(x["url"]).alias("url")))
+    heads = F.transform(F.filter(heads, lambda x: x["ranked"] & ~F.regexp_like(x["name"], F.lit(r"^\d+$"))), lambda x: F.struct(x["pos"].alias("pos"), x["name"].alias("name"), x["url"].alias("url")))
+    links = F.filter(entries(hx.anchors(F.col("html")), lambda x: x["label"], lambda x: x["href"]), lambda x: any_of(x["url"], list(paths)))
+    links = F.transform(links, lambda x: F.struct(x["pos"].alias("pos"), x["name"].alias("name"), joined(x["url"]).alias("url")))
+    lines = entries(F.slice(F.regexp_extract_all("_text", F.lit(pattern), F.lit(1)), 1, first), strip, lambda x: F.lit(""))
+    later = [by_selectors, clean(heads, heading_stop_words), clean(links, link_stop_words), clean(lines, line_stop_words)]
+    # Tried in order: a method is evaluated only where those before it found nothing.
+    found = F.when(F.size("_m1") > 0, F.struct(F.lit(1).alias("method_no"), F.col("_m1").alias("rows")))
+    tried = [F.struct(F.lit(i).alias("method_no"), first_of_equal(m).alias("rows")) for i, m in enumerate(later, 2)]
+    picked = F.coalesce(found, *[F.when(F.size(m["rows"]) > 0, m) for m in tried])
+    rows = rows.select(key, picked.alias("_found")).filter(F.col("_found").isNotNull())
+    rows = rows.select(key, F.col("_found.method_no").alias("method_no"), F.posexplode(F.slice("_found.rows", 1, first)).alias("n", "_r"))
+    return rows.select(key, "_r.pos", "_r.name", "_r.url", "method_no", (F.col("n") + 1).alias("n"))
+
+
 def ld_json_details(pages: DataFrame, key: str) -> DataFrame:
     """Website, address and founding year of JSON-LD blocks: last address and year win, first URL wins."""
     schema = (
