@@ -424,7 +424,7 @@ def test_prefix_scan_of_state_maps():
 
 # 10: decontamination
 
-ITEMS = [(1, "the quick brown fox jumps over the lazy dog again and again"), (2, "Two words"), (3, None), (4, "..."), (5, "two WORDS!"), (11, "again and")]
+ITEMS = [(None, "again and again"), (1, "the quick brown fox jumps over the lazy dog again and again"), (2, "Two words"), (3, None), (4, "..."), (5, "two WORDS!"), (11, "again and")]
 
 
 def test_contamination_brute_force(spark, small, sf, odd_docs, no_docs):
@@ -434,15 +434,21 @@ def test_contamination_brute_force(spark, small, sf, odd_docs, no_docs):
     )
     for d, b in ((docs, items), (small, spark.read.parquet(f"{sf}/benchmark.parquet")), (odd_docs, items), (no_docs, items), (docs, items.filter("false"))):
         rows = [(r["item_id"], r["text"]) for r in b.collect()]
-        got = decontaminate.contamination(d, b).select("doc_id", "n_words", "n_hit", decontaminate.items_digest().alias("s"))
-        assert Counter(map(tuple, got.collect())) == Counter((r.doc_id, *decontaminate.brute_force(r.text, rows)) for r in d.select("doc_id", "text").collect())
+        expected = Counter((r.doc_id, *decontaminate.brute_force(r.text, rows)) for r in d.select("doc_id", "text").collect())
+        for size in (1 << 23, 3000 if d is small else 12):  # in one pass, and in several
+            got = decontaminate.contamination(d, b, block_bytes=size).select("doc_id", "n_words", "n_hit", decontaminate.items_digest().alias("s"))
+            assert Counter(map(tuple, got.collect())) == expected
+            left = decontaminate.remove_contaminated(d, b, block_bytes=size)
+            assert left.columns == d.columns
+            assert Counter(r.doc_id for r in left.collect()) == Counter(k[0] for k in expected.elements() if k[2] == 0)
 
 
 def test_longest_match_and_blocks(spark):
     docs = spark.createDataFrame([(1, "x the quick brown fox jumps over the lazy dog again y two words")], "doc_id long, text string")
     items = spark.createDataFrame(ITEMS, "item_id int, text string")
-    row = decontaminate.contamination(docs, items).first()
-    assert tuple(row.matches[0]) == ("1", 1, 0, 10) and row["items"] == ["1", "2", "5"]
-    assert len(decontaminate.benchmark_blocks(items, 10, block_bytes=20)) > 1
+    for size in (1 << 23, 20):
+        row = decontaminate.contamination(docs, items, block_bytes=size).first()
+        assert tuple(row.matches[0]) == ("1", 1, 0, 10) and row["items"] == ["1", "2", "5"]
+    assert decontaminate.stored_blocks(items, 10, block_bytes=20)[1] > 1
     kept = decontaminate.remove_contaminated(docs.withColumn("n", F.lit(1)), items)
     assert kept.count() == 0 and kept.columns == ["doc_id", "text", "n"]
