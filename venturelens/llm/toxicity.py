@@ -59,42 +59,59 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
-def toxic_features(docs: list[list[str]], labels: list[int], least: float = 0.004, ratio: float = 20.0) -> set[str]:
-    """Greedy cover of the toxic documents by features that are ``ratio`` times as frequent in them as in clean ones."""
+class Vocabulary:
+    """Features of numbered words, held as arrays: ``feature`` numbers (-1 where a word has fewer) and their buckets."""
+
+    def __init__(self, words: list[str]) -> None:
+        hashes, self.words = np.zeros((len(words), 4), np.uint64), words
+        for i, w in enumerate(words):
+            for k, f in enumerate(features(w)):
+                hashes[i, k] = xxhash.xxh64_intdigest(f.encode()) | 1
+        distinct, number = np.unique(hashes, return_inverse=True)
+        skip = int(len(distinct) > 0 and distinct[0] == 0)  # 0 stands for no feature
+        self.feature = number.reshape(hashes.shape).astype(np.int32) - skip
+        self.size = len(distinct) - skip
+
+    def names(self, wanted: np.ndarray) -> dict[int, str]:
+        """The features themselves, for some numbers."""
+        rows = np.flatnonzero(np.isin(self.feature, wanted).any(1))
+        own = set(wanted.tolist())
+        return {n: f for i in rows.tolist() for f, n in zip(features(self.words[i]), self.feature[i].tolist(), strict=False) if n in own}
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        """Numbers of the distinct features of some words."""
+        found = np.unique(self.feature[np.unique(words)])
+        return found[found >= 0]
+
+
+def toxic_features(docs: list[np.ndarray], labels: list[int], vocabulary: Vocabulary, least: float = 0.004, ratio: float = 20.0) -> np.ndarray:
+    """Greedy cover of the toxic documents by features that are ``ratio`` times as frequent in them as in clean ones; by number."""
     n = [max(1, labels.count(0)), max(1, labels.count(1))]
-    counts: dict[str, int] = {}
+    clean, toxic = (np.zeros(vocabulary.size, np.int64) for _ in range(2))
     for words, y in zip(docs, labels, strict=True):
-        if y:
-            for f in {f for w in set(words) for f in features(w)}:
-                counts[f] = counts.get(f, 0) + 1
-    clean: dict[str, int] = {}
-    for words, y in zip(docs, labels, strict=True):
-        if not y:
-            for f in {f for w in set(words) for f in features(w) if f in counts}:
-                clean[f] = clean.get(f, 0) + 1
+        (toxic if y else clean)[vocabulary.of(words)] += 1
     enough = max(3, least * n[1])
-    # Documents are listed for the few features that may be chosen.
-    toxic: dict[str, set[int]] = {f: set() for f, c in counts.items() if c >= enough and (c / n[1] >= ratio * (clean.get(f, 0) + 0.5) / n[0] or not clean.get(f, 0))}
+    strong = (toxic >= enough) & (toxic / n[1] >= ratio * (clean + 0.5) / n[0])
+    sets: dict[int, set[int]] = {f: set() for f in np.flatnonzero(strong).tolist()}
     for i, (words, y) in enumerate(zip(docs, labels, strict=True)):
         if y:
-            for w in set(words):
-                for f in features(w):
-                    if f in toxic:
-                        toxic[f].add(i)
-    left = {f: s for f, s in toxic.items() if len(s) >= enough and len(s) / n[1] >= ratio * (clean.get(f, 0) + 0.5) / n[0]}
-    chosen, explained = set(), set()
+            own = vocabulary.of(words)
+            for f in own[strong[own]].tolist():
+                sets[f].add(i)
+    names = vocabulary.names(np.flatnonzero(strong))
+    left, chosen, explained = dict(sets), set(), set()
     while left:
         # Of features with equal gain the longest is the most specific one.
-        best = max(left, key=lambda f: (len(left[f]), -clean.get(f, 0), len(f), f))
+        best = max(left, key=lambda f: (len(left[f]), -clean[f], len(names[f]), names[f]))
         if len(left[best]) < enough:
             break
         chosen.add(best)
         explained |= left.pop(best)
         left = {f: rest for f, s in left.items() if len(rest := s - explained) >= enough}
     # A frequent feature may be explained away by others in the same documents: keep those that are as strong by themselves.
-    share = max((len(toxic[f]) for f in chosen), default=0)
-    chosen |= {f for f, s in toxic.items() if not clean.get(f, 0) and len(s) >= max(enough, 0.1 * share)}
-    return chosen
+    share = max((toxic[f] for f in chosen), default=0)
+    alone = np.flatnonzero((clean == 0) & (toxic >= max(enough, 0.1 * share)))
+    return np.union1d(np.array(sorted(chosen), np.int64), alone)
 
 
 @dataclass
@@ -196,26 +213,22 @@ def fit(texts: list[str], labels: list[int], natural: float | None = None, round
     """A model from labelled documents; ``natural`` are the odds of label 1 among all labels (those of ``labels`` if not given)."""
     if not labels or len(set(labels)) < 2:
         return Model(base=float(sum(labels)) / len(labels) if labels else 0.0)
-    same: dict[str, str] = {}  # one string per word
-    docs = [[same.setdefault(w, w) for w in words_of(t)] for t in texts]
-    chosen = toxic_features(docs, labels)
     number: dict[str, int] = {}
-    n_docs = len(docs)
-    ids = [np.array([number.setdefault(w, len(number)) for w in d], np.int32) for d in docs]
-    del docs, same
+    n_docs = len(texts)
+    ids = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int32) for t in texts]
+    vocabulary = Vocabulary(list(number))
+    marked = np.isin(vocabulary.feature, toxic_features(ids, labels, vocabulary)).any(1)
     owner = np.array([i for i, x in enumerate(ids) for _ in range(-(-len(x) // CHAIN))], np.int64)
     ids = [x[k : k + CHAIN] for x in ids for k in range(0, len(x), CHAIN)]
-    kinds = [features(w) for w in number]
-    marked = np.array([any(f in chosen for f in fs) for fs in kinds], bool)
     flat = np.concatenate([x for x in ids if len(x)] or [np.zeros(0, np.int32)])
     sizes = np.array([len(x) for x in ids], np.int64)
     doc = np.repeat(owner.astype(np.int32), sizes)
     truth = marked[flat] & (np.array(labels)[doc] == 1)
-    names = sorted({f for fs in kinds for f in fs})
-    index = {f: bucket(f) for f in names}
-    row = np.repeat(np.arange(len(kinds)), [len(fs) for fs in kinds])
-    column = np.array([index[f] for fs in kinds for f in fs], np.int64)
-    used, column = np.unique(column, return_inverse=True)
+    n_words = len(vocabulary.words)
+    buckets = np.array([bucket(f) for word in vocabulary.words for f in features(word)], np.int32)
+    row = np.repeat(np.arange(n_words), (vocabulary.feature >= 0).sum(1))
+    used, column = np.unique(buckets, return_inverse=True)
+    del number, vocabulary, ids
     w, bias, start, move = np.zeros(len(used)), -7.0, 0.0, np.zeros((2, 2))
     seen = {k: np.zeros_like(v) for k, v in (("w", w), ("b", np.zeros(1)), ("s", np.zeros(1)), ("m", move))}
     first = (np.cumsum(sizes) - sizes)[sizes > 0]
@@ -231,17 +244,17 @@ def fit(texts: list[str], labels: list[int], natural: float | None = None, round
         return value + rate * gradient / (np.sqrt(seen[key]) + 1e-8)
 
     for _ in range(rounds):
-        by_word = bias + np.bincount(row, weights=w[column], minlength=len(kinds))
+        by_word = bias + np.bincount(row, weights=w[column], minlength=n_words)
         p, pair = marginals(by_word, flat, sizes, start, move)
         rest = truth - p
-        by_word_rest = np.bincount(flat, weights=rest, minlength=len(kinds))
+        by_word_rest = np.bincount(flat, weights=rest, minlength=n_words)
         gradient = np.bincount(column, weights=by_word_rest[row], minlength=len(used)) * scale - penalty * w
         w = stepped("w", w, gradient)
         bias = float(stepped("b", np.array([bias]), np.array([rest.sum() * scale]))[0])
         start = float(stepped("s", np.array([start]), np.array([rest[first].sum() * scale]))[0])
         move = stepped("m", move, (goal - pair) * scale - penalty * move)
     model = Model(used.astype(np.int32), w.astype(np.float32), bias, start, move, fitted=True)
-    p, _ = marginals(bias + np.bincount(row, weights=w[column], minlength=len(kinds)), flat, sizes, start, move)
+    p, _ = marginals(bias + np.bincount(row, weights=w[column], minlength=n_words), flat, sizes, start, move)
     model.slope, model.offset = _calibrated(evidence_of(p, doc, n_docs), np.array(labels, float))
     if natural:
         model.offset += float(np.log(natural * labels.count(0) / labels.count(1)))
@@ -289,6 +302,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 1500, **names) -> Mo
     natural = counts[1] / counts[0] if counts.get(0) and counts.get(1) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("toxicity-training", lambda: None)  # lets go of what other operators left in this worker
         known = sorted({(t, y) for b in batches for t, y in zip(b.column("_t").to_pylist(), b.column("_y").to_pylist(), strict=True)})
         model = fit([t for t, _ in known], [y for _, y in known], natural)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
