@@ -106,7 +106,7 @@ class Codec:
         self.first = [self.table.get(bytes([a, b])) for a in range(256) for b in range(256)]  # of two bytes
         self.split = regex.compile(pattern)
         self.spelled_array = pa.array(self.spelled, pa.binary())
-        self.units = UnitMemory(self._encode_units)
+        self.units = UnitMemory(self._encode_units, 1 << 18)
 
     def _join(self, key: int) -> int:
         """Id of the union of the two ids in ``key``, or -1; kept in ``joined``."""
@@ -227,7 +227,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_: str = "doc_id", text:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks, pattern)
-        for b in pieces(batches, "_text", 2 << 20):
+        for b in pieces(batches, "_text", 1 << 20):
             yield pa.RecordBatch.from_arrays([b.column("_id"), own.encode_all(b.column("_text"))], ["doc_id", "ids"])
 
     narrow = docs.select(F.col(id_).alias("_id"), F.col(text).alias("_text"))
@@ -255,7 +255,7 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, id_: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks, pattern)
-        for b in pieces(batches, "_text", 2 << 20):
+        for b in pieces(batches, "_text", 1 << 20):
             ids = own.encode_all(b.column("_text"))
             yield pa.RecordBatch.from_arrays([b.column("_id"), ids, own.decode_all(ids)], ["doc_id", "ids", "decoded"])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Hashable, Iterator
 from typing import Any
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from venturelens.session import ship_package
 
 BATCH_ROWS = 1000  # rows of an Arrow batch; texts are wide
-PIECE_BYTES = 4 << 20  # text bytes that one step of a Python task works on (a single longer text is one step)
+PIECE_BYTES = 2 << 20  # text bytes that one step of a Python task works on (a single longer text is one step)
 
 
 def prepare(spark: SparkSession) -> None:
@@ -54,6 +55,25 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str | None = None, limit: in
             at = to
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows in ``pieces`` of about ``limit`` bytes of text, small batches put together."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def joined() -> pa.RecordBatch:
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for piece in pieces(batches, text, limit):
+        n = pa.compute.sum(pa.compute.binary_length(piece.column(text))).as_py() or 0
+        if held and size + n > limit:
+            yield joined()
+            held, size = [], 0
+        held.append(piece)
+        size += n
+    if held:
+        yield joined()
+
+
 _KEPT: dict[Hashable, Any] = {}
 
 
@@ -61,6 +81,8 @@ def kept(key: Hashable, make: Callable[[], Any]) -> Any:
     """What a worker keeps between tasks for one operator; another operator's goes, as workers are used again."""
     if key not in _KEPT:
         _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _KEPT[key] = make()
     return _KEPT[key]
 
