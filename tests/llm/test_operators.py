@@ -180,11 +180,43 @@ def test_language_held_out(spark):
 
 
 def test_language_backoff():
-    model = langid.Model(["de", "en"], {0: {"the": np.array([-9.0, -2.0])}, 5: {}, 4: {}, 3: {"sch": np.array([-2.0, -7.0])}, 2: {}, 1: {}}, np.zeros((6, 2)))
+    none = {5: {}, 4: {}, 2: {}, 1: {}}
+    model = langid.Model(["de", "en"], {0: {"the": 0}, 3: {"sch": 0}, **none}, {0: np.array([[-9.0, -2.0]]), 3: np.array([[-2.0, -7.0]]), **{n: np.zeros((0, 2)) for n in none}})
     assert model.word("the")[1] > model.word("the")[0] and model.word("schuh")[0] > model.word("schuh")[1]
     assert list(model.word("qqq")) == [0, 0]
 
 
+def slow_language(model, text):
+    words = langid.words_of(text)
+    if not any(c.isalpha() for w in words for c in w):
+        return "und", 0.0
+    total = sum(model.word(w).astype(float) for w in words)
+    best = max(range(len(model.languages)), key=lambda i: (total[i], -i))
+    return model.languages[best], 1 / sum(np.exp(min(x - total[best], 0)) for x in total)
+
+
+def test_language_by_definition(spark, odd_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.train(docs, sample=30)
+    for own in (docs.limit(150), odd_docs):
+        got = sorted(((r.doc_id or -1, r.lang_pred, round(r.score, 6)) for r in langid.predict(own, model).collect()))
+        want = sorted((r.doc_id or -1, *slow_language(model, r.text)) for r in own.select("doc_id", "text").collect())
+        assert [(d, p) for d, p, _ in got] == [(d, p) for d, p, _ in want]
+        assert np.allclose([x for _, _, x in got], [x for _, _, x in want], atol=1e-4)
+
+
+def test_a_rare_language_is_learnt_however_many_others_there_are(spark):
+    rng = random.Random(2)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(5))
+    rows = [(i, " ".join(word("abcdef") for _ in range(12)), "aa") for i in range(3000)] + [(5000 + i, " ".join(word("uvwxyz") for _ in range(12)), "zz") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, sample=10)
+    assert model.languages == ["aa", "zz"]
+    assert {r.lang_pred for r in langid.predict(docs.filter("lang = 'zz'"), model).collect()} == {"zz"}
+    many = spark.createDataFrame([(i, f"word{i} x", f"l{i:03d}") for i in range(300)], "doc_id long, text string, lang string")
+    assert len(langid.train(many).languages) > 200
+
+
 def test_language_odd(odd_docs, no_docs):
     model = langid.train(odd_docs)
     got = langid.predict(odd_docs, model)
