@@ -103,21 +103,24 @@ def _keyed(docs: DataFrame, id_: str, text: str) -> DataFrame:
 
 
 def following(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
-    """``k1, k2, before1, before2, before_chars``: each class of equal rows and the one before it in descending order of ids, in a circle."""
+    """``k1, k2, before``: each class of equal rows and the one before it in descending order of ids, in a circle.
+
+    ``before``: struct<k1, k2, doc_id, copies, n_chars>.
+    """
     spark = docs.sparkSession
-    narrow = _keyed(docs, id_, text).select("k1", "k2", "doc_id", F.length("text").alias("n_chars")).groupBy("k1", "k2").agg(F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"))
+    narrow = _keyed(docs, id_, text).select("k1", "k2", "doc_id", F.length("text").alias("n_chars"))
+    narrow = narrow.groupBy("k1", "k2").agg(F.first("doc_id").alias("doc_id"), F.first("n_chars").cast("long").alias("n_chars"), F.count(F.lit(1)).alias("copies"))
     order = [F.desc_nulls_last("doc_id"), F.asc("k1"), F.asc("k2")]
     path = scratch_path(spark, "order")
     narrow.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()).write.parquet(path)
     placed = spark.read.parquet(path).withColumn("part", F.shiftright("at", 33))
-    own = F.struct("k1", "k2", "n_chars")
+    own = F.struct("k1", "k2", "doc_id", "copies", "n_chars")
     last = placed.groupBy("part").agg(F.max_by(own, "at").alias("last"))  # a row per partition
     parts = Window.orderBy("part")
     everywhere = parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     last = last.select("part", F.coalesce(F.lag("last").over(parts), F.last("last").over(everywhere)).alias("last"))
     inside = placed.select("part", "k1", "k2", F.lag(own).over(Window.partitionBy("part").orderBy("at")).alias("before"))
-    before = F.coalesce("before", "last")
-    return inside.join(last, "part").select("k1", "k2", before["k1"].alias("before1"), before["k2"].alias("before2"), before["n_chars"].alias("before_chars"))
+    return inside.join(last, "part").select("k1", "k2", F.coalesce("before", "last").alias("before"))
 
 
 def edited(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame:
@@ -125,11 +128,11 @@ def edited(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFram
 
     ``versions``: the text; the text with its second half replaced by the beginning of the next; and for copies, that with their own beginning.
     """
-    classes = _keyed(docs, id_, text).groupBy("k1", "k2").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    classes = _keyed(docs, id_, text).groupBy("k1", "k2").agg(F.first("text").alias("text"))  # alike on both sides of the join, so shuffled once
     beginnings = classes.join(following(docs, id_, text), ["k1", "k2"]).select(
-        F.col("before1").alias("k1"), F.col("before2").alias("k2"), F.expr("substring(text, 1, before_chars div 2)").alias("beginning"), F.col("k1").alias("next1"), F.col("k2").alias("next2")
+        "before.*", F.expr("substring(text, 1, cast(before.n_chars div 2 as int))").alias("beginning"), F.col("k1").alias("next1"), F.col("k2").alias("next2")
     )
-    both = classes.join(beginnings, ["k1", "k2"]).withColumn("n_chars", F.length("text").cast("long"))
+    both = classes.join(beginnings, ["k1", "k2"])
     head = "substring(text, 1, cast(n_chars - n_chars div 2 as int))"
     versions = F.array(
         F.col("text"), F.expr(f"concat({head}, beginning)"), F.expr(f"case when copies > 1 then concat({head}, substring(text, 1, cast(n_chars div 2 as int))) end")
@@ -146,11 +149,12 @@ def fingerprints(docs: DataFrame, id_: str = "doc_id", text: str = "text", least
     bodies = bodies.select("k1", "k2", "kind", *about, F.sha2("body", 256).alias("sha256"), terms_of(F.col("body")).alias("own"))
     bodies = bodies.withColumn("fallback", F.xxhash64(F.array_sort("own")))
     marked = F.concat(F.array(F.lit(MARK).cast("long")), "own")
-    rows = bodies.select("k1", "k2", "kind", *about, "sha256", "fallback", F.explode(marked).alias("term")).join(words, "term")
-    # Texts lie by (k1, k2) since they met the beginnings, so neither of these moves them.
     carried = [*about, "sha256", "fallback"]
-    texts = rows.groupBy("k1", "k2", "kind").agg(F.collect_list("kept").alias("terms"), *[F.first(c).alias(c) for c in carried])
-    texts = with_signatures(texts, parts)
+    rows = bodies.select("k1", "k2", "kind", *carried, F.explode(marked).alias("term")).join(words, "term")
+    rows = rows.select("k1", "k2", "kind", "kept", F.when(F.col("kept").isNull(), F.struct(*carried)).alias("about"))  # terms go on as numbers alone
+    # Texts lie by (k1, k2) since they met the beginnings, so neither of these moves them.
+    texts = rows.groupBy("k1", "k2", "kind").agg(F.collect_list("kept").alias("terms"), F.first("about", ignorenulls=True).alias("about"))
+    texts = with_signatures(texts.select("k1", "k2", "kind", "terms", "about.*"), parts)
     found = texts.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("kind", "sha256", "signatures"))).alias("versions"), *[F.first(c).alias(c) for c in about])
     path = scratch_path(spark, "signatures")
     found.write.parquet(path)
