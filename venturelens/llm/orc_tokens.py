@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from venturelens.llm.common import kept, pieces
+from venturelens.llm.common import gathered, kept
 from venturelens.llm.unit_memory import UnitMemory
 from venturelens.session import scratch_path
 
@@ -108,7 +108,7 @@ def encoded(docs: DataFrame, tokenizer: str, end: int, id_: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept(("orc", tokenizer), lambda: Encoder(tokenizer))
-        for b in pieces(batches, "_text"):
+        for b in gathered(batches, "_text", 8 << 20):
             ids, starts = encoder.encode(b.column("_text"), end)
             lists = pa.ListArray.from_arrays(pa.array(starts), pa.array(ids))
             yield pa.RecordBatch.from_arrays([b.column("_id"), lists], ["doc_id", "ids"])

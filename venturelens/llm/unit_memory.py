@@ -6,55 +6,54 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 from venturelens.llm.common import ranges
 
-UNITS = 1 << 18  # remembered units; as many again of the generation before
+UNITS = 1 << 19  # units remembered before those that weren't used lately go
 UNIT_BYTES = 32 << 20
 
 
-class Generation:
-    """Ids of units in one flat array; a unit's number tells where they stand."""
-
-    def __init__(self) -> None:
-        self.numbers: dict[bytes, int] = {}
-        self.bytes = 0
-        self.start, self.length, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
-
-    def add(self, units: list[bytes], length: np.ndarray, flat: np.ndarray) -> None:
-        known = len(self.numbers)
-        self.numbers.update(zip(units, range(known, known + len(units)), strict=True))
-        self.bytes += sum(map(len, units))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(length) - length])
-        self.length = np.concatenate([self.length, length])
-        self.flat = np.concatenate([self.flat, flat])
-
-    def at(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number of ids of each unit, and all their ids."""
-        length = self.length[numbers]
-        return length, self.flat[np.repeat(self.start[numbers], length) + ranges(length)]
-
-
 class UnitMemory:
-    """``encode(units)`` gives (number of ids of each unit, all ids); it is asked only for units that aren't remembered."""
+    """``encode(units)`` gives (number of ids of each unit, all ids); it is asked only for units that aren't remembered.
+
+    Units and ids lie in flat arrays, in the order of their first use.
+    """
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], units: int = UNITS) -> None:
         self.encode, self.units = encode, units
-        self.now, self.before = Generation(), Generation()
+        self.names = pa.array([], pa.binary())
+        self.length, self.flat, self.used = np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, bool)
+
+    def _forget(self) -> None:
+        """Leaves the units used since the last time, or none if those are too many as well."""
+        if 2 * int(self.used.sum()) > self.units or self.names.nbytes > 2 * UNIT_BYTES:
+            self.used[:] = False
+        start = np.cumsum(self.length) - self.length
+        length = self.length[self.used]
+        self.flat = self.flat[np.repeat(start[self.used], length) + ranges(length)]
+        self.names, self.length = self.names.filter(pa.array(self.used)), length
+        self.used = np.zeros(len(length), bool)
 
     def take(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each of the units (binary), and all their ids."""
         coded = units.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.now.numbers) > self.units or self.now.bytes > UNIT_BYTES:
-            self.before, self.now = self.now, Generation()
-        numbers, older = self.now.numbers, self.before.numbers
-        missing = [u for u in distinct if u not in numbers]
-        known = [u for u in missing if u in older]
-        if known:
-            self.now.add(known, *self.before.at(np.fromiter(map(older.__getitem__, known), np.int64, len(known))))
-        unseen = [u for u in missing if u not in numbers]
-        if unseen:
-            self.now.add(unseen, *self.encode(unseen))
-        at = np.fromiter(map(numbers.__getitem__, distinct), np.int64, len(distinct))
-        return self.now.at(at[coded.indices.to_numpy(zero_copy_only=False)] if len(at) else np.zeros(0, np.int64))
+        distinct = coded.dictionary
+        if not len(distinct):
+            return np.zeros(0, np.int64), np.zeros(0, np.int32)
+        if len(self.names) > self.units or self.names.nbytes > UNIT_BYTES:
+            self._forget()
+        at = pa.compute.fill_null(pa.compute.index_in(distinct, value_set=self.names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        missing = at < 0
+        if missing.any():
+            new = distinct.filter(pa.array(missing))
+            length, flat = self.encode(new.to_pylist())
+            at[missing] = len(self.names) + np.arange(len(new))
+            self.names = pa.concat_arrays([self.names, new])
+            self.length, self.flat = np.concatenate([self.length, length]), np.concatenate([self.flat, flat.astype(np.int32)])
+            self.used = np.concatenate([self.used, np.zeros(len(new), bool)])
+        self.used[at] = True
+        wanted = at[coded.indices.to_numpy(zero_copy_only=False)]
+        start = np.cumsum(self.length) - self.length
+        length = self.length[wanted]
+        return length, self.flat[np.repeat(start[wanted], length) + ranges(length)]
