@@ -117,7 +117,7 @@ def funding_text(c: Column, rounds: Column) -> Column:
     return lines(
         item("Total Raised", money_if_any(c["total_raised_usd"])),
         item("Latest Round", c["last_round_name"]),
-        F.when(shown != "", shown).otherwise(F.lit("- No funding events disclosed")),
+        F.when(shown != "", shown).otherwise(F.lit(V.NO_FUNDING)),
     )
 
 
@@ -137,7 +137,7 @@ def recent_funding(events: Column, n: int = 3) -> Column:
 
 def recent_funding_text(rounds: Column) -> Column:
     shown = F.array_join(rounds, "\n")
-    return F.when(shown != "", shown).otherwise(F.lit("- No recent funding events disclosed"))
+    return F.when(shown != "", shown).otherwise(F.lit(V.NO_RECENT_FUNDING))
 
 
 def _event_title(e: Column) -> Column:
@@ -200,14 +200,7 @@ def merged_visibility(c: Column, top: Column, own: bool = True) -> Column:
 
 
 def visibility(v: Column) -> Column:
-    labels = {
-        "News Mentions (30d)": "news_mentions_30d",
-        "Avg Sentiment": "avg_sentiment",
-        "GitHub Stars": "github_stars",
-        "Glassdoor Rating": "glassdoor_rating",
-        "Attention Trend": "attention_trend",
-    }
-    return lines(*[item(label, v[name].cast("string")) for label, name in labels.items()])
+    return lines(*[item(label, v[name].cast("string")) for label, name in V.VISIBILITY_LABELS.items()])
 
 
 def risk_line(e: Column) -> Column:
@@ -229,10 +222,7 @@ def outlook(c: Column) -> Column:
         F.coalesce(c["legal_name"], F.lit("The company")),
         F.lit(" operates in "), F.coalesce(listed(c["categories"]), F.lit("its category")),
         F.lit(" serving "), F.coalesce(listed(c["target_customer_segments"]), F.lit("its target customers")),
-        F.lit(
-            ". Based on available structured fields, the company appears to have a clear product "
-            "focus and defined buyer profile."
-        ),
+        F.lit(V.OUTLOOK_END),
     )
 
 
@@ -242,13 +232,13 @@ def gaps(c: Column, v: Column, customers: Column) -> Column:
 
     found = F.concat_ws(
         "\n",
-        missing(c["total_raised_usd"] == 0, "- Total raised not disclosed"),
-        missing(c["last_disclosed_valuation_usd"] == 0, "- Valuation not disclosed"),
-        missing(v["glassdoor_rating"] == 0, "- Glassdoor rating unavailable or behind login"),
-        missing(F.size(c["pricing_tiers_public"]) <= 0, "- Pricing tiers not publicly detailed"),
-        missing(F.size(customers) <= 0, "- Named customers not publicly listed"),
+        missing(c["total_raised_usd"] == 0, V.GAP_RAISED),
+        missing(c["last_disclosed_valuation_usd"] == 0, V.GAP_VALUATION),
+        missing(v["glassdoor_rating"] == 0, V.GAP_RATING),
+        missing(F.size(c["pricing_tiers_public"]) <= 0, V.GAP_PRICING),
+        missing(F.size(customers) <= 0, V.GAP_CUSTOMERS),
     )
-    return F.when(found != "", found).otherwise(F.lit("- None noted"))
+    return F.when(found != "", found).otherwise(F.lit(V.NO_GAPS))
 
 
 def compose(title: Column, generated_at: Column, pipeline: str, bodies: Sequence[Column], sections: Sequence[str] = V.SECTIONS) -> Column:

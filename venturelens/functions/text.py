@@ -77,21 +77,7 @@ def cut_at_sentence(text: Column, n: int | Column) -> Column:
     return F.when(F.length(text) <= n, text).otherwise(let(F.substring(text, F.lit(1), n), shorten))
 
 
-# Per page type: characters to keep, keyword picks (label, word list, sentences), and whether the
-# kept characters stand before the picks (``both``) or only replace missing ones.
-RULES: dict[str, dict] = {
-    "homepage": {"cut": 2500},
-    "about": {"cut": 3500, "both": True, "picks": [("Locations: ", "location", 5), ("Leadership: ", "leadership", 10)]},
-    "blog": {"cut": 2000, "picks": [("", "funding", 8)]},
-    "press": {"cut": 2000, "picks": [("", "funding", 10)]},
-    "careers": {"cut": 1500, "picks": [("Headcount info: ", "headcount", 5), ("Locations: ", "location", 5)]},
-    "product": {"cut": 4000, "picks": [("", "product", 15)]},
-    "pricing": {"cut": 4000},
-    "customers": {"cut": 2000, "picks": [("", "customer", 10)]},
-    "partners": {"cut": 2000},
-    "team": {"cut": 4000, "picks": [("", "leadership", 20)]},
-}
-OTHER_RULE = {"cut": 2000}
+RULES, OTHER_RULE = V.PAGE_RULES, V.OTHER_PAGE_RULE
 WORD_LISTS = {
     "funding": V.FUNDING_WORDS,
     "headcount": V.HEADCOUNT_WORDS,

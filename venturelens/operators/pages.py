@@ -239,33 +239,19 @@ def list_from_ld_json(pages: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _class_rule(tag: str | None, part: str) -> Callable[[Elements, int], bool]:
-    """Elements with the class ``part``; of the tag ``tag``, with ``part`` anywhere in the class attribute."""
-    if tag is None:
-        return lambda page, i: part in page.get(i, "class").split()
-    return lambda page, i: page.tags[i] == tag and part in page.get(i, "class")
-
-
-# What marks a list item, in the order in which the rules are tried.
-LIST_ITEMS: Sequence[Callable[[Elements, int], bool]] = (
-    lambda page, i: page.attributes[i].get("data-type") == "list-item",
-    _class_rule(None, "fbs-list__item"),
-    _class_rule(None, "listitem"),
-    _class_rule(None, "ranked-list-item"),
-    _class_rule("div", "list-item"),
-    _class_rule("div", "company"),
-    _class_rule("article", "company"),
-)
-NAME_TAGS = frozenset(["h2", "h3", "h4", "a", "span"])
-HEADING_TAGS = frozenset(["h2", "h3", "h4", "div", "span"])
+def _fits(page: Elements, i: int, rule: tuple[str | None, str, str, str]) -> bool:
+    """Whether an element is what a rule of ``V.LIST_ITEM_RULES`` marks."""
+    tag, attribute, value, how = rule
+    own = page.get(i, attribute)
+    return (tag is None or page.tags[i] == tag) and (own == value if how == "whole" else value in (own.split() if how == "word" else own))
 
 
 def _listed(page: Elements) -> Iterator[tuple[str, str]]:
     """Name and link of each marked item, rule by rule, nested items too."""
-    for rule in LIST_ITEMS:
+    for rule in V.LIST_ITEM_RULES:
         for i in range(len(page.tags)):
-            if rule(page, i):
-                name = next(page.inside(i, lambda k: page.tags[k] in NAME_TAGS), None)
+            if _fits(page, i, rule):
+                name = next(page.inside(i, lambda k: page.tags[k] in V.NAME_TAGS), None)
                 link = next(page.inside(i, lambda k: page.tags[k] == "a"), None)
                 if name is not None:
                     yield page.text(name), "" if link is None else page.get(link, "href")
@@ -274,7 +260,7 @@ def _listed(page: Elements) -> Iterator[tuple[str, str]]:
 def _headed(page: Elements) -> Iterator[tuple[str, str]]:
     """Text and link (inside, else around it) of each element of a heading's tag whose text begins with a digit."""
     for i, tag in enumerate(page.tags):
-        if tag in HEADING_TAGS and page.starts_with_digit(i):
+        if tag in V.HEADING_TAGS and page.starts_with_digit(i):
             link = next(page.inside(i, lambda k: page.tags[k] == "a"), None)
             link = page.ancestor(i, "a") if link is None else link
             yield page.text(i), "" if link is None else page.get(link, "href")

@@ -108,13 +108,7 @@ def repo_candidates(found: DataFrame, key: str = "company_id", repo_host: str =
     """Owner and repository to look up; an owner-only URL gives five names in order of preference."""
     owner, repo = urls.repo_owner(F.col("repo_url"), repo_host), urls.repo_name(F.col("repo_url"), repo_host)
     parsed = found.withColumn("owner", owner).withColumn("_repo", repo).filter(F.col("owner").isNotNull())
-    guesses = F.array(
-        F.col("owner"),
-        F.concat(F.col("owner"), F.lit(".github.io")),
-        F.lit("transformers"),
-        F.lit("platform"),
-        F.lit("core"),
-    )
+    guesses = F.array(*[F.replace(F.lit(g), F.lit("{owner}"), F.col("owner")) if "{owner}" in g else F.lit(g) for g in V.REPO_GUESSES])
     names = F.when(F.col("_repo") == "", guesses).otherwise(F.array("_repo"))
     return parsed.select(key, "repo_url", "owner", F.posexplode(names).alias("pos", "repo"))
 

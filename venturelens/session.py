@@ -26,13 +26,15 @@ DEFAULTS = {
 
 
 def build_session(master: str | None = None, app: str = "venturelens", **conf: str) -> SparkSession:
-    """A session with the defaults above; the cluster's own settings win where given in ``conf``."""
+    """A session with the defaults above, and the package on its executors; the cluster's own settings win where given in ``conf``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -275,3 +275,58 @@ KNOWN_DOMAINS = {
     "writer": "writer.com",
     "xai": "x.ai",
 }
+
+# --- fixed values: text selection by page type -----------------------------------------
+# Characters to keep, keyword picks (label, word list, sentences), and whether the kept characters stand before
+# the picks (``both``) or only replace missing ones.
+PAGE_RULES: dict[str, dict] = {
+    "homepage": {"cut": 2500},
+    "about": {"cut": 3500, "both": True, "picks": [("Locations: ", "location", 5), ("Leadership: ", "leadership", 10)]},
+    "blog": {"cut": 2000, "picks": [("", "funding", 8)]},
+    "press": {"cut": 2000, "picks": [("", "funding", 10)]},
+    "careers": {"cut": 1500, "picks": [("Headcount info: ", "headcount", 5), ("Locations: ", "location", 5)]},
+    "product": {"cut": 4000, "picks": [("", "product", 15)]},
+    "pricing": {"cut": 4000},
+    "customers": {"cut": 2000, "picks": [("", "customer", 10)]},
+    "partners": {"cut": 2000},
+    "team": {"cut": 4000, "picks": [("", "leadership", 20)]},
+}
+OTHER_PAGE_RULE = {"cut": 2000}
+
+# --- fixed values: what marks a list item, in the order in which the rules are tried ----------------------
+# (tag or None, attribute, value, how: the whole attribute, one of its words, or a part of it)
+LIST_ITEM_RULES = [
+    (None, "data-type", "list-item", "whole"),
+    (None, "class", "fbs-list__item", "word"),
+    (None, "class", "listitem", "word"),
+    (None, "class", "ranked-list-item", "word"),
+    ("div", "class", "list-item", "part"),
+    ("div", "class", "company", "part"),
+    ("article", "class", "company", "part"),
+]
+NAME_TAGS = ["h2", "h3", "h4", "a", "span"]
+HEADING_TAGS = ["h2", "h3", "h4", "div", "span"]
+
+# --- fixed values: repositories looked up where only an owner is known; {owner} stands for it --------------
+REPO_GUESSES = ["{owner}", "{owner}.github.io", "transformers", "platform", "core"]
+
+# --- fixed values: wording of the dashboard -----------------------------------------------
+OUTLOOK_END = (
+    ". Based on available structured fields, the company appears to have a clear product "
+    "focus and defined buyer profile."
+)
+NO_FUNDING = "- No funding events disclosed"
+NO_RECENT_FUNDING = "- No recent funding events disclosed"
+NO_GAPS = "- None noted"
+GAP_RAISED = "- Total raised not disclosed"
+GAP_VALUATION = "- Valuation not disclosed"
+GAP_RATING = "- Glassdoor rating unavailable or behind login"
+GAP_PRICING = "- Pricing tiers not publicly detailed"
+GAP_CUSTOMERS = "- Named customers not publicly listed"
+VISIBILITY_LABELS = {
+    "News Mentions (30d)": "news_mentions_30d",
+    "Avg Sentiment": "avg_sentiment",
+    "GitHub Stars": "github_stars",
+    "Glassdoor Rating": "glassdoor_rating",
+    "Attention Trend": "attention_trend",
+}

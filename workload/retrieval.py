@@ -121,15 +121,6 @@ def i03(spark, sf):
     )
 
 
-def letter_model():
-    """A stand-in for an embedding model: eight letter counts per text."""
-
-    def encode(texts):
-        return [[float(t.lower().count(c)) for c in "aeinorst"] for t in texts]
-
-    return encode
-
-
 @query(
     "i03_embed",
     """with v as (select doc_id, list_transform(string_split('aeinorst', ''), lambda c:
@@ -138,6 +129,10 @@ def letter_model():
     select doc_id, round(cast(cast(case when norm > 0 then v[1] / norm else v[1] end as float) as double), 5) as a, round(cast(cast(case when norm > 0 then v[8] / norm else v[8] end as float) as double), 5) as t from n""",
 )
 def i03_embed(spark, sf):
+    def letter_model():
+        """A stand-in for an embedding model: eight letter counts per text. Local, so that it travels with the query."""
+        return lambda texts: [[float(t.lower().count(c)) for c in "aeinorst"] for t in texts]
+
     d = text_table(spark, sf, "documents", "doc_id")
     e = rt.embed(d, letter_model, text="text")
     return e.select(
