@@ -67,9 +67,47 @@ capped_ as (select * from (select *, row_number() over (partition by company ord
 )
 
 
-@query("i01_recursive_chunks")
+def recursive_chunks_sql(size: int = V.CHUNK_SIZE, overlap: int = V.CHUNK_OVERLAP) -> str:
+    """The recursive cut in SQL, for the default separators: one round per separator (nodes, pieces, runs of short pieces; long pieces are the
+    next round's nodes), then the windows of each run one after another by recursion. A path of places keeps the order.
+    """
+    separators = ["chr(10) || chr(10)", "chr(10)", "'. '", "' '", "''"]
+    assert len(separators) == len(V.CHUNK_SEPARATORS)
+    last = len(separators) - 1
+    rounds = ["n0 as (select doc_id, [0] as path, text, 0 as least from documents where text <> '')"]
+    coarsest = " ".join(f"when least <= {i} and contains(text, {x}) then {i}" for i, x in enumerate(separators[:-1]))
+    chosen = " ".join(f"when {i} then {x}" for i, x in enumerate(separators))
+    for r in range(len(separators)):
+        rounds += [
+            f"l{r} as (select *, case {coarsest} else {last} end as level from n{r})",
+            f"""s{r} as (select doc_id, path, level, case level when {last} then list_transform(range(1, length(text) + 1), lambda i: substring(text, i, 1))
+              else list_filter(list_transform(list_zip(string_split(text, sep), range(len(string_split(text, sep)))),
+                lambda x: case when x[2] = 0 then x[1] else sep || x[1] end), lambda x: x <> '') end as pieces
+              from (select *, case level {chosen} end as sep from l{r}))""",
+            f"p{r} as (select doc_id, path, level, unnest(range(len(pieces))) as i, unnest(pieces) as piece from s{r})",
+            f"g{r} as (select *, length(piece) >= {size} as long, i - row_number() over (partition by doc_id, path, length(piece) >= {size} order by i) as run from p{r})",
+            f"n{r + 1} as (select doc_id, list_append(path, i) as path, piece as text, level + 1 as least from g{r} where long and level < {last})",
+        ]
+    every = range(len(separators))
+    runs = " union all ".join(f"select doc_id, list_append(path, min(i)) as path, list(piece order by i) as pieces from g{r} where not long group by doc_id, path, run" for r in every)
+    whole = " union all ".join(f"select doc_id, list_append(path, i) as path, piece as content from g{r} where long and level = {last}" for r in every)
+    return f"""with recursive {", ".join(rounds)}, runs as ({runs}),
+    sums as (select *, len(pieces) as n,
+      list_transform(range(len(pieces) + 1), lambda k: coalesce(list_sum(list_transform(pieces[1:k], lambda x: length(x))), 0)::bigint) as p from runs),
+    -- a: where the next window begins; e: the piece that did not fit into the one before
+    windows as (
+      select doc_id, path, pieces, n, p, 0::bigint as a, 0::bigint as e, null::varchar as content, 0 as w from sums
+      union all
+      select doc_id, path, pieces, n, p,
+        case when f = n then n else list_filter(range(a, f + 1), lambda s: p[f + 1] - p[s + 1] <= {overlap} and (p[f + 1] = p[s + 1] or p[f + 2] - p[s + 1] <= {size}))[1] end,
+        f, array_to_string(pieces[a + 1:f], ''), w + 1
+      from (select *, coalesce(list_filter(range(greatest(a, e) + 1, n), lambda k: p[k + 2] - p[a + 1] > {size})[1], n) as f from windows where w = 0 or e < n)),
+    chunks as (select doc_id, list_append(path, w) as path, {sql_strip("content")} as content from windows where w > 0 and {sql_strip("content")} <> '' union all {whole})
+    select doc_id, cast(row_number() over (partition by doc_id order by path) - 1 as int) as chunk_id, content, cast(length(content) as int) as n_chars from chunks"""
+
+
+@query("i01_recursive_chunks", recursive_chunks_sql())
 def i01(spark, sf):
-    """Exact recursive cut; no SQL twin (sequential), tests compare it with brute force."""
     d = text_table(spark, sf, "documents", "doc_id")
     rows = d.select("doc_id", F.posexplode(rt.recursive_chunks(F.col("text"))).alias("chunk_id", "content"))
     return rows.withColumn("n_chars", F.length("content"))
