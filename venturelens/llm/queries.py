@@ -44,7 +44,25 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc32_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
-@query("op6_ngram_jaccard")
+@query(
+    "op6_ngram_jaccard",
+    r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents
+),
+sets as (
+  select distinct doc_id, array_to_string(ws[i + 1:i + least(4, len(ws))], ' ') as shingle
+  from (select doc_id, ws, unnest(range(len(ws) - least(4, len(ws)) + 1)) as i from words where len(ws) > 0)
+),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as k from sets a join sets b on a.shingle = b.shingle and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+links as (select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * k >= 85 * (x.n + y.n - k)),
+ways as (select a, b from links union all select b, a from links),
+reach as (select a, b from ways union select r.a, l.b from reach r join ways l on r.b = l.a),
+least_ as (select a as doc_id, min(b) as c from reach group by a)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, least(d.doc_id, c)::bigint as component_id
+from documents d left join sizes using (doc_id) left join least_ using (doc_id)""",
+)
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return jaccard.near_duplicates(docs, size=4, numerator=85, denominator=100)
@@ -120,7 +138,35 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op10_decontaminate")
+@query(
+    "op10_decontaminate",
+    r"""
+with docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents
+),
+items as (
+  select coalesce(item_id::varchar, '') as item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark
+),
+windows as (
+  select item, j, d, array_to_string(ws[j + 1:j + d], ' ') as w
+  from (select item, ws, least(10, len(ws)) as d, unnest(range(len(ws) - least(10, len(ws)) + 1)) as j from items where len(ws) > 0)
+),
+depths as (select distinct d from windows),
+places as (
+  select doc_id, p, d, array_to_string(ws[p + 1:p + d], ' ') as w
+  from (select doc_id, ws, d, unnest(range(len(ws) - d + 1)) as p from docs, depths where len(ws) >= d)
+),
+hits as (select doc_id, item, p, j, d from places join windows using (d, w)),
+covered as (select doc_id, count(*) as n_hit from (select distinct doc_id, unnest(range(p, p + d)) as i from hits) group by doc_id),
+runs as (select *, p - row_number() over (partition by doc_id, item, p - j order by p) as run from (select distinct doc_id, item, p, j, d from hits)),
+matches as (select doc_id, item, max(p + d) - min(p) as n from runs group by doc_id, item, p - j, run),
+longest as (select doc_id, first(item order by n desc, item) as longest_item, max(n) as longest_words from matches group by doc_id),
+named as (select doc_id, count(*) as n_items, sha256(string_agg(item, ',' order by item)) as sha from (select distinct doc_id, item from hits) group by doc_id)
+select docs.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, coalesce(sha, sha256('')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated, longest_item, longest_words::int as longest_words
+from docs left join covered using (doc_id) left join named using (doc_id) left join longest using (doc_id)""",
+)
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.contamination(docs, benchmark)
@@ -131,7 +177,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         decontaminate.items_digest().alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        F.get("matches", F.lit(0)).alias("longest_match"),
+        F.get("matches", F.lit(0))["item_id"].alias("longest_item"),
+        F.get("matches", F.lit(0))["n_words"].alias("longest_words"),
     )
 
 
