@@ -24,10 +24,49 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("op1_host_quality")
+_RULES = ["short", "repeats", "symbols", "dup_lines", "word_length"]
+# A rule's rate over all documents, the variance between hosts beyond chance, and from them the prior's strength, as in quality.host_rates.
+_PRIORS = ", ".join(
+    f"""m_{r} as mean_{r}, least(greatest(case when v_{r} - m_{r} * (1 - m_{r}) * inverse > 0
+      then m_{r} * (1 - m_{r}) / (v_{r} - m_{r} * (1 - m_{r}) * inverse) - 1 else 1000.0 end, 2.0), 1000.0) as weight_{r}"""
+    for r in _RULES
+)
+_RATES = {r: f"((k_{r} + mean_{r} * weight_{r}) / (n_docs + weight_{r}))" for r in _RULES}
+
+
+@query(
+    "op1_host_quality",
+    rf"""
+with words as (select doc_id, source as host, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+grams as (
+  select doc_id, i, md5(array_to_string(ws[i + 1:i + 3], ' ')) as g from (select doc_id, ws, unnest(range(len(ws) - 2)) as i from words where len(ws) > 3)
+),
+again as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) as c from grams) where c > 1),
+repeats as (select doc_id, count(distinct i + k) as n from again, (values (0), (1), (2)) as t(k) group by doc_id),
+lines as (select doc_id, unnest(string_split(text, chr(10))) as line from words),
+dups as (select doc_id, count(*) - count(distinct line) as n from lines where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id),
+measures as (
+  select doc_id, host, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars,
+         length(regexp_replace(array_to_string(ws, ''), '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(d.n, 0)::bigint as n_dup_lines, coalesce(r.n, 0)::bigint as n_repeat_words
+  from words left join dups d using (doc_id) left join repeats r using (doc_id)
+),
+fails as (
+  select *, (n_words < 50)::int as f_short, (100 * n_repeat_words > 50 * n_words)::int as f_repeats, (n_symbols > 0.1::double * n_words)::int as f_symbols,
+         (n_dup_lines >= 3)::int as f_dup_lines, (n_words > 0 and (word_chars < 2.0 * n_words or word_chars > 12.0 * n_words))::int as f_word_length from measures
+),
+hosts as (select host, count(*) as n_docs, {", ".join(f"sum(f_{r}) as k_{r}" for r in _RULES)} from fails where host is not null group by host),
+moments as (select avg(1.0::double / n_docs) as inverse, {", ".join(f"sum(k_{r})::double / sum(n_docs) as m_{r}, var_pop(k_{r}::double / n_docs) as v_{r}" for r in _RULES)} from hosts),
+priors as (select {_PRIORS} from moments),
+verdicts as (select host, {" or ".join(f"{x} > 0.5" for x in _RATES.values())} as bad, {", ".join(f"({x} > 0.01)::int as habit_{r}" for r, x in _RATES.items())} from hosts, priors)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f_short + f_repeats > 0 as base_failed,
+       concat_ws(',', {", ".join(f"case when f_{r} = 1 then '{r}' end" for r in _RULES)}) as failed_rules, coalesce(bad, false) as host_rejected,
+       f_short + f_repeats = 0 and not coalesce(bad, false) and {" + ".join(f"f_{r} * coalesce(habit_{r}, 0)" for r in _RULES)} = 0 as kept
+from fails left join verdicts using (host)""",
+)
 def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return quality.host_quality(docs, store=scratch_path(spark, "op1"))
+    found = quality.host_quality(docs, store=scratch_path(spark, "op1"))
+    return found.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
 @query("op4_orc_tokens")
