@@ -30,9 +30,9 @@ def dashboards_from_tables(
     return dashboard.dashboards(company, children, generated_at, newest=newest)
 
 
-def snapshots_from_pages(texts: DataFrame) -> DataFrame:
-    """Hiring snapshots with their provenance."""
-    return signals.snapshot_provenance(signals.hiring_snapshots(texts), texts)
+def snapshots_from_pages(texts: DataFrame, **rules) -> DataFrame:
+    """Hiring snapshots with their provenance; ``rules`` are those of ``signals.hiring_snapshots``."""
+    return signals.snapshot_provenance(signals.hiring_snapshots(texts, **rules), texts)
 
 
 def visibility_from_pages(texts: DataFrame, repo_answers: DataFrame, contributor_answers: DataFrame) -> DataFrame:

@@ -150,15 +150,17 @@ snap_ as (select company_id, coalesce(total || '', '-') as headcount_total, coal
 """
 
 
+SNAPSHOT_RULES = {
+    "headcount": {"patterns": COUNTS, "ranges": RANGES},
+    "jobs": {"patterns": JOBS, "titles": TITLES, "list_item": ITEM, "indicators": SIGNS},
+    "departments": DEPTS,
+    "cities": CITIES,
+    "policies": POLICIES,
+}
+
+
 def snapshots(spark, sf):
-    return ops.hiring_snapshots(
-        company_pages(spark, sf),
-        headcount={"patterns": COUNTS, "ranges": RANGES},
-        jobs={"patterns": JOBS, "titles": TITLES, "list_item": ITEM, "indicators": SIGNS},
-        departments=DEPTS,
-        cities=CITIES,
-        policies=POLICIES,
-    )
+    return ops.hiring_snapshots(company_pages(spark, sf), **SNAPSHOT_RULES)
 
 
 @query("f08_hiring_snapshots", f"with {SNAP_CTE} select * from snap_")
@@ -178,11 +180,14 @@ def f08(spark, sf):
 _ORD = "case page_type when 'about' then 0 when 'homepage' then 1 when 'team' then 2 else 3 end"
 
 
+PROVENANCE_SQL = f"""with {SNAP_CTE}, pv_ as (select company_id, string_agg(source_url || ' Extracted from ' || page_type || ' page', '; ' order by {_ORD}) as provenance
+    from pages_ where page_type in ('about', 'homepage', 'team', 'careers') and length(text) > 0 group by company_id)
+    select s.company_id, coalesce(provenance, '') as provenance from snap_ s left join pv_ on s.company_id = pv_.company_id"""
+
+
 @query(
     "f09_snapshot_provenance",
-    f"""with {SNAP_CTE}, pv_ as (select company_id, string_agg(source_url || ' Extracted from ' || page_type || ' page', '; ' order by {_ORD}) as provenance
-    from pages_ where page_type in ('about', 'homepage', 'team', 'careers') and length(text) > 0 group by company_id)
-    select s.company_id, coalesce(provenance, '') as provenance from snap_ s left join pv_ on s.company_id = pv_.company_id""",
+    PROVENANCE_SQL,
 )
 def f09(spark, sf):
     pages = company_pages(spark, sf).withColumn("crawled_at", F.lit("2025-01-01"))
