@@ -107,16 +107,40 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(docs, size=4, numerator=85, denominator=100)
 
 
-@query("op7_sparse_suffix")
+@query(
+    "op7_sparse_suffix",
+    r"""
+with words as (select doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as ws from documents where text is not null),
+classes as (select text, min(doc_id) as doc_id, count(*) as copies from words group by text),
+windows as (
+  select doc_id, i, md5(array_to_string(ws[i + 1:i + 50], ' ')) as w
+  from (select doc_id, ws, unnest(range(len(ws) - 49)) as i from words semi join classes using (doc_id) where len(ws) >= 50)
+),
+placed as (select *, row_number() over (partition by w order by doc_id, i) as place, count(*) over (partition by w) as places from windows),
+hits as (
+  select doc_id, i as s, i + 50 as e, place = 1 as original from placed where places > 1
+  union all
+  select x.doc_id, 0, len(ws), x.doc_id = c.doc_id from words x join classes c using (text) where copies > 1 and len(ws) >= 50
+),
+marked as (select *, s > max(e) over (partition by doc_id, original order by s, e rows between unbounded preceding and 1 preceding) as apart from hits),
+numbered as (select *, sum(coalesce(apart, false)::int) over (partition by doc_id, original order by s, e rows unbounded preceding) as span from marked),
+spans as (select doc_id, original, min(s) as s, max(e) as e from numbered group by doc_id, original, span)
+select doc_id, count(*)::bigint as n_spans, count(*) filter (where not original)::bigint as n_repeats,
+       coalesce(sum(e - s) filter (where not original), 0)::bigint as repeated_words,
+       string_agg(s || '-' || e || case when original then '*' else '' end, ',' order by s, e, original) as spans
+from spans group by doc_id""",
+)
 def op7_sparse_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document with a repeated passage; ``spans`` are word ranges, those to keep with an asterisk."""
     found = sparse_suffix.repeated_passages(table(spark, sf_dir, "documents"))
     repeats = F.filter("spans", lambda s: ~s["original"])
+    shown = F.transform("spans", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string"), F.when(s["original"], F.lit("*")).otherwise(F.lit(""))))
     return found.select(
         "doc_id",
         F.size("spans").cast("long").alias("n_spans"),
         F.size(repeats).cast("long").alias("n_repeats"),
         F.aggregate(repeats, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("repeated_words"),
-        "spans",
+        F.array_join(shown, ",").alias("spans"),
     )
 
 
