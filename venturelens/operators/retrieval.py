@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from venturelens import vocabulary as V
 from venturelens.functions import text as tx
 from venturelens.functions import vectors as vx
-from venturelens.operators.skew import top_per_group
+from venturelens.operators.skew import top_per_group, union_rows
 
 # --- chunks --------------------------------------------------------------------------
 
@@ -184,8 +184,10 @@ def search_company(
     asked = queries.select(company, F.col(query).cast("bigint").alias(query), "embedding").filter(
         F.col(company).isNotNull() & F.col(query).isNotNull() & F.col("embedding").isNotNull()
     )
-    blocks = lambda rows, most, name: rows.groupBy(company).agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(name))
-    sizes = blocks(own, chunk_block, "_chunk_blocks").join(blocks(asked, query_block, "_query_blocks"), company)  # a row per company
+    counts = union_rows([own.select(company, F.lit(1).alias("_c"), F.lit(0).alias("_q")), asked.select(company, F.lit(0).alias("_c"), F.lit(1).alias("_q"))])
+    blocks = lambda column, most, name: F.ceil(F.sum(column) / most).cast("int").alias(name)
+    sizes = counts.groupBy(company).agg(blocks("_c", chunk_block, "_chunk_blocks"), blocks("_q", query_block, "_query_blocks"))  # a row per company
+    sizes = sizes.filter((F.col("_chunk_blocks") > 0) & (F.col("_query_blocks") > 0))
     block_of = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     keys = [company, "_chunk_block", "_query_block"]
