@@ -53,6 +53,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str | None = None, limit: in
             to = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()  # an idle worker shouldn't hold what its last task needed
 
 
 def gathered(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
