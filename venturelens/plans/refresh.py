@@ -29,12 +29,12 @@ STORE = (
 PAGE = ("company", "source", "file_path")
 HASHES = "company string, source string, text_hash string, file_path string, batch string, bucket int"
 VERSIONS = "company string, source string, file_path string, text_hash string, batch string, bucket int"
-INDEX_BUCKETS = 256
+INDEX_BUCKETS = 64  # folders of each index that a batch writes at most
 
 
 def _hash_bucket() -> Column:
-    """By the first two digits of the text's hash."""
-    return F.conv(F.substring("text_hash", 1, 2), 16, 10).cast("int")
+    """By the first six bits of the text's hash."""
+    return F.shiftright(F.conv(F.substring("text_hash", 1, 2), 16, 10).cast("int"), 2)
 
 
 def _page_bucket() -> Column:
