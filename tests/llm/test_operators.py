@@ -66,7 +66,8 @@ def test_quality_odd(odd_docs, no_docs):
 # 2: WARC
 
 
-def test_warc_round_trip(spark):
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_warc_round_trip(spark, broadcast_rows):
     big = "x" * 120
     rows = [
         (1, "http://a b\r\nc%41", big), (2, None, big), (2, "u", big), (3, "é", None), (4, "u", "short"), (5, "u", "short"), (None, "n", big),
@@ -78,7 +79,7 @@ def test_warc_round_trip(spark):
     warc.write_pages(pages, raw, "2024-01-01T00:00:00Z")
     back = sorted(((r.page_id, r.url, r.payload) for r in warc.read(spark, raw).collect()), key=repr)
     assert back == sorted(((p, u, h or "") for p, u, h in rows), key=repr)
-    warc.deduplicate(spark, raw, new, "2024-01-02T00:00:00Z")
+    warc.deduplicate(spark, raw, new, "2024-01-02T00:00:00Z", broadcast_rows=broadcast_rows)
     got = warc.read(spark, new).collect()
     assert sorted((r.page_id for r in got if r.record_type == "revisit"), key=repr) == [2, 2, 7, None]
     originals = {r.record_id: r for r in got if r.record_type == "response"}

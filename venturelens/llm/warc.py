@@ -4,9 +4,10 @@ Archives are written and read by Spark's text source, one record per row, so any
 commit protocol covers lost executors. The reader splits at the line that begins a record; a payload that contains that
 very line is put together again by its Content-Length, which is what ends a record.
 
-Deduplication shuffles headers only: by payload digest, the record with the smallest page id is the original (one
-partial aggregate, so a digest that a third of all records share is one row per task). Revisit records are joined to it and the
-archives are written anew, with fresh headers: originals keep their payload, revisits name the original and carry none.
+Deduplication shuffles headers: by payload digest, the record with the smallest page id is the original (one
+partial aggregate, so a digest that a third of all records share is one row per task). The verdicts on revisits are stored and counted. Up to
+``BROADCAST_ROWS`` of them are sent to the tasks that read the archives, so that no payload leaves its task; more are joined, which
+shuffles the records. The archives are written anew, with fresh headers: originals keep their payload, revisits name the original and carry none.
 
 Defined results: null html is an empty payload; payloads under ``least`` bytes are never revisits; of records with the same page id
 and payload one (the smallest record id) is the original; a null page id is larger than any other; a null URL is left out of
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from venturelens.llm.common import prepare
+from venturelens.session import scratch_path
 
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -31,6 +33,8 @@ BREAK = "\r\n\r\n"
 SEPARATOR = f"{BREAK}{VERSION}\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+BROADCAST_ROWS = 500_000  # verdicts of about 100 bytes
+
 HEADERS = "record_id string, page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to_id string, refers_to long"
 
 
@@ -190,9 +194,13 @@ def revisits(headers: DataFrame, least: int = 100) -> DataFrame:
     )
 
 
-def deduplicate(spark: SparkSession, source: str, target: str, date: str, least: int = 100) -> None:
+def deduplicate(spark: SparkSession, source: str, target: str, date: str, least: int = 100, broadcast_rows: int = BROADCAST_ROWS) -> None:
     """Reads the archives in ``source`` and writes deduplicated ones to ``target``."""
-    again = revisits(read(spark, source, payload=False).drop("refers_to_id", "refers_to"), least)
+    path = scratch_path(spark, "revisits")
+    revisits(read(spark, source, payload=False).drop("refers_to_id", "refers_to"), least).write.parquet(path)
+    again = spark.read.parquet(path)
+    if again.count() <= broadcast_rows:
+        again = F.broadcast(again)
     records = read(spark, source).drop("refers_to_id", "refers_to", "record_type").join(again, "record_id", "left")
     kind = F.when(F.col("refers_to_id").isNotNull(), F.lit("revisit")).otherwise(F.lit("response"))
     _write(records.withColumn("record_type", kind).withColumn("date", F.lit(date)), "payload", target)
