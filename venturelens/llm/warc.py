@@ -79,7 +79,7 @@ def _write(records: DataFrame, payload: str, path: str) -> None:
     text = F.concat(F.lit(VERSION), record_text(F.col(payload)))
     # The last line end of a record is the one that the text source writes.
     rows = records.select(F.left(text, F.length(text) - F.lit(2)).alias("value"))
-    rows.write.mode("overwrite").option("lineSep", "\r\n").option("compression", "gzip").text(path)
+    rows.write.mode("overwrite").option("lineSep", "\r\n").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def write_pages(pages: DataFrame, path: str, date: str, page_id: str = "page_id", url: str = "url", html: str = "html") -> None:
