@@ -204,3 +204,21 @@ def test_assembly_has_one_shuffle_of_children(spark, sf):
 
     text = plan_of(payloads(spark, sf))
     assert "CartesianProduct" not in text and "Python" not in text
+
+
+def test_parts_of_a_long_list_are_built_in_several_tasks(spark):
+    """Where the counts are too many to broadcast, a company's items still don't meet in one task."""
+    events = spark.range(400).select(F.format_string("e%04d", "id").alias("event_id"), F.when(F.col("id") == 0, "b").otherwise(F.lit("a")).alias("company_id"), F.lit(1).alias("occurred_on"))
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        parts = records.payload_parts({"events": events}, part_rows=5).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k in changed:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    long = [p for p in parts if p.company_id == "a"]
+    assert {(p.n_items, p.n_parts) for p in long} == {(399, 80)} and len({p.part for p in long}) == len(long)
+    assert sorted(x.v.event_id for p in long for x in p.events) == [f"e{i:04d}" for i in range(1, 400)]
+    assert len({p.task for p in long}) > 1
