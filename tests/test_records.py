@@ -206,6 +206,17 @@ def test_assembly_has_one_shuffle_of_children(spark, sf):
     assert "CartesianProduct" not in text and "Python" not in text
 
 
+def test_payloads_take_one_shuffle_of_bare_rows(spark):
+    """No list is built before the shuffle, and no join sorts payloads afterwards."""
+    company = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "company_id string")
+    events = spark.createDataFrame([("e2", "a", 2), ("e1", "a", 1), ("e3", None, 3), ("e4", "x", 4)], "event_id string, company_id string, occurred_on int")
+    p = records.assemble_payloads(company, {"events": events})
+    plan = plan_of(p)
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "partial_collect_list" not in plan[plan.index("Exchange"):]
+    got = sorted((r.company_id or "", [e.event_id for e in r.events]) for r in p.collect())
+    assert got == [("", []), ("a", ["e1", "e2"]), ("b", []), ("b", [])]
+
+
 def test_parts_of_a_long_list_are_built_in_several_tasks(spark):
     """Where the counts are too many to broadcast, a company's items still don't meet in one task."""
     events = spark.range(400).select(F.format_string("e%04d", "id").alias("event_id"), F.when(F.col("id") == 0, "b").otherwise(F.lit("a")).alias("company_id"), F.lit(1).alias("occurred_on"))
