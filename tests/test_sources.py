@@ -183,3 +183,21 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
 
 def test_scratch_root_is_the_sessions(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_records_and_parts_are_written_compressed(spark, tmp_path):
+    """Most of a JSON line is field names; the files are as readable as plain ones."""
+    rows = spark.createDataFrame([("a", "A"), ("b", "B")], "company_id string, legal_name string")
+    lines = rows.select(F.struct("company_id", "legal_name").alias("company"))
+    writers.write_records(lines, str(tmp_path / "records"))
+    assert list((tmp_path / "records").glob("*.json.gz")) and not list((tmp_path / "records").glob("*.json"))
+    back = readers.read_records(spark, str(tmp_path / "records"), file_per_company=False)
+    assert {(r.company_id, r.company.legal_name) for r in back.collect()} == {("a", "A"), ("b", "B")}
+    events = spark.createDataFrame([("e1", "a", 1)], "event_id string, company_id string, occurred_on int")
+    parts = records.payload_parts({"events": events})
+    writers.write_payload_parts(rows, parts, str(tmp_path / "parts"))
+    assert list((tmp_path / "parts" / "parts").glob("*.json.gz")) and list((tmp_path / "parts" / "company").glob("*.json.gz"))
+    company, held = readers.read_payload_parts(spark, str(tmp_path / "parts"), parts.schema, rows.schema)
+    assert company.count() == 2 and [x.v.event_id for x in held.first().events] == ["e1"]
+    writers.write_payloads(records.assemble_payloads(rows, {"events": events}), str(tmp_path / "payloads"), compression="gzip")
+    assert list((tmp_path / "payloads").glob("*.json.gz")) and readers.read_payloads(spark, str(tmp_path / "payloads")).count() == 2
