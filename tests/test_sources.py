@@ -201,3 +201,14 @@ def test_records_and_parts_are_written_compressed(spark, tmp_path):
     assert company.count() == 2 and [x.v.event_id for x in held.first().events] == ["e1"]
     writers.write_payloads(records.assemble_payloads(rows, {"events": events}), str(tmp_path / "payloads"), compression="gzip")
     assert list((tmp_path / "payloads").glob("*.json.gz")) and readers.read_payloads(spark, str(tmp_path / "payloads")).count() == 2
+
+
+def test_refresh_does_not_rank_texts(spark, tmp_path, monkeypatch):
+    """The first of equal pages is chosen by keys and hashes; texts go through no ranking shuffles. A page given twice is stored once."""
+    ranked, rank = [], runs.first_of_copies
+    monkeypatch.setattr(runs, "first_of_copies", lambda rows, *rest: (ranked.append(rows.columns), rank(rows, *rest))[1])
+    long = "word " * 60
+    pages = spark.createDataFrame([("a", "blog", "p2", long), ("a", "blog", "p1", long), ("a", "blog", "p1", long)], "company string, source string, file_path string, text string")
+    added = refresh_store(spark, pages, str(tmp_path / "store"), "day1").collect()
+    assert {r.file_path for r in added} == {"p1"} and len({r.chunk_id for r in added}) == len(added)
+    assert ranked and not any("text" in columns for columns in ranked)

@@ -68,8 +68,10 @@ def refresh_store(spark: SparkSession, pages: DataFrame, path: str, batch: str,
     text_key = ["company", "source", "text_hash"]
     seen = _read_buckets(spark, f"{path}/_hashes", HASHES, narrow, _hash_bucket(), batch).select(*text_key)
     new = runs.first_of_copies(narrow.join(seen, text_key, "left_anti"), text_key, "file_path")
-    texts = hashed.join(new.select(*PAGE, "text_hash"), [*PAGE, "text_hash"], "left_semi")
-    chunks = rt.chunk_rows(runs.first_of_copies(texts, text_key, "file_path"), keep=("text_hash",))
+    page_key = [*PAGE, "text_hash"]
+    # One page is left of each text, so copies are equal in the join's keys: they are dropped where the join has brought them, and texts move once.
+    texts = hashed.select(*page_key, "text").join(new.select(*page_key), page_key, "left_semi").dropDuplicates(page_key)
+    chunks = rt.chunk_rows(texts, keep=("text_hash",))
     _write_batch(bucketed(chunks), path, batch)
     _write_batch(new.select(*text_key, "file_path", _hash_bucket().alias("bucket")), f"{path}/_hashes", batch)
     versions = _read_buckets(spark, f"{path}/_pages", VERSIONS, narrow, _page_bucket(), batch)
