@@ -1,5 +1,9 @@
+import gzip
 import json
+import os
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
@@ -10,6 +14,7 @@ from venturelens.plans.refresh import STORE, marked_chunks, refresh_store
 from venturelens.session import scratch_path, scratch_root
 from venturelens.sources import readers, writers
 from venturelens.streaming import refresh as stream
+from workload import REGISTRY
 
 SEED = [
     {"company_id": "id-1", "company_name": "Example AI Inc.", "website": "https://example.test", "linkedin": None, "categories": []},
@@ -67,6 +72,69 @@ def test_page_files_and_metadata(spark, tmp_path):
     assert [p.snippet for p in snap.provenance] == ["Extracted from about page", "Extracted from careers page"]
 
 
+def files_below(folder):
+    return sorted(str(f.relative_to(folder)) for f in folder.rglob("*") if f.is_file())
+
+
+def test_page_files_in_batches(spark, tmp_path, monkeypatch):
+    texts = ["a\r\nb\n", " é\n\n", "\x00 nul \t", "x" * 50_000]
+    rows = [(f"c{i}", kind, f"{i} {texts[i % 4]}") for i in range(70) for kind in ("blog", "about us")]
+    odd = [("a/b%c", "blog", "odd id"), (None, "blog", "no id"), ("", "blog", "empty id"), ("c1", None, "no type"), ("c2", "team", None)]
+    twice = [("c3", "news", "same")] * 2
+    pages = spark.createDataFrame([*rows, *odd, *twice], "company_id string, page_type string, text string").repartition(8)
+
+    def back(name):
+        folders = writers.write_page_files(pages, f"file://{tmp_path}/{name}", part_pages=1)
+        read = [readers.read_page_files(spark, f, page_types=None, layout=readers.PARTITION_LAYOUT).drop("file_path").collect() for f in folders]
+        return read, [f.split("/")[:-1] for f in files_below(tmp_path / name) if f.endswith(".txt")]
+
+    read, folders = back("ours")
+    got = {(r.company_id, r.page_type): r.text for batch in read for r in batch}
+    assert len(read) == 3 and max(map(len, read)) < 100 and len(got) == sum(map(len, read)) == len(rows) + 5
+    assert [got[row[:2]] for row in rows] == [f"{row[2]}\x01" for row in rows]
+    assert got["c3", "news"] == "same\x01same\x01" and got["c2", "team"] == "\x01"
+    assert sorted(got["__HIVE_DEFAULT_PARTITION__", "blog"].split("\x01")) == ["", "empty id", "no id"]
+    assert len({tuple(f[:3]) for f in folders}) == len({f[2] for f in folders})  # a company is whole in one part
+    with pytest.raises(FileExistsError):
+        writers.write_page_files(pages, f"{tmp_path}/ours")
+    monkeypatch.setattr(writers, "_local_folder", lambda *_: None)  # as in a store that only Spark reaches
+    others, spark_folders = back("sparks")
+    unordered = {("__HIVE_DEFAULT_PARTITION__", "blog")}
+    assert spark_folders == folders
+    assert {k: v for k, v in got.items() if k not in unordered} == {(r.company_id, r.page_type): r.text for b in others for r in b if (r.company_id, r.page_type) not in unordered}
+    monkeypatch.undo()
+    assert writers.write_page_files(pages.limit(0), f"{tmp_path}/none") == []
+
+
+def test_page_files_query_makes_page_files_only(spark, sf):
+    """One file a page, in one batch here; no checksum files, each of which costs what a page costs."""
+    before = set(os.listdir(scratch_root(spark)))
+    n = REGISTRY["a02_page_files"][0](spark, sf).count()
+    new = [name for name in os.listdir(scratch_root(spark)) if name not in before and name.startswith("page-files")]
+    files = files_below(Path(scratch_root(spark)) / new[0])
+    assert len(new) == 1 and len([f for f in files if f.endswith(".txt")]) == n == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert not [f for f in files if f.endswith(".crc") and "page_type=" in f]
+
+
+def test_page_files_query_without_pages(spark, sf, tmp_path):
+    spark.read.parquet(f"{sf}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert REGISTRY["a02_page_files"][0](spark, str(tmp_path)).count() == 0
+
+
+def test_page_files_bytes(spark, tmp_path):
+    """Files come as the text source reads them, bytes that aren't UTF-8 too; packed ones are unpacked."""
+    (tmp_path / "c").mkdir()
+    for name, content in {"crlf": b"a\r\nb\r\n", "bom": b"\xef\xbb\xbfx", "latin": b"caf\xe9", "empty": b"", "nul": b"a\x00b"}.items():
+        (tmp_path / "c" / f"{name}.txt").write_bytes(content)
+    hexes = F.hex(F.col("text").cast("binary"))
+    got = {r[0]: r[1] for r in readers.read_page_files(spark, str(tmp_path), page_types=None).select("page_type", hexes).collect()}
+    files = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path), wholetext=True)
+    stem = F.regexp_extract("_metadata.file_path", r"([a-z]+)\.txt$", 1)
+    assert got == {r[0]: r[1] for r in files.select(stem, F.hex(F.col("value").cast("binary"))).collect()} and len(got) >= 4
+    (tmp_path / "c" / "packed.txt.gz").write_bytes(gzip.compress(b"packed"))
+    assert readers.read_page_files(spark, str(tmp_path), page_types=None, suffix="txt.gz").first().text == "packed"
+
+
 def test_object_listing(spark, tmp_path):
     crawl(tmp_path)
     write(tmp_path / "seed.json", "[]")
