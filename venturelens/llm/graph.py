@@ -6,13 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venturelens.operators.skew import union_rows
-from venturelens.session import scratch_path
-
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+from venturelens.session import Scratch, shuffles_freed
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -36,11 +30,15 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     Each round is written to the shared folder, so a lost executor costs one round; the number of rounds grows with
     the logarithm of the longest chain. A node's links are joined, never gathered, so a hub can be split.
     """
-    edges = _stored(links.select("a", "b").filter("a <> b").distinct(), "links")
+    spark = links.sparkSession
+    scratch = Scratch(spark)
+    edges = scratch.store(links.select("a", "b").filter("a <> b").distinct(), "links-0")
     before = None
-    for _ in range(rounds):
-        edges = _stored(_small_star(_large_star(edges)), "links")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    for k in range(rounds):
+        edges = scratch.store(_small_star(_large_star(edges)), f"links-{k + 1}")
+        scratch.drop(f"links-{k}")
+        with shuffles_freed(spark):
+            state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break
         before = state
