@@ -40,7 +40,7 @@ from pyspark.sql.types import IntegralType
 
 from venturelens.llm.common import fresh, pieces, ranges, word_hashes
 from venturelens.llm.graph import components
-from venturelens.llm.id_filter import FEW, among
+from venturelens.llm.id_filter import FEW, among, without
 from venturelens.llm.sparse_suffix import gram_hashes, mixed
 from venturelens.operators.skew import union_rows
 from venturelens.session import Scratch, shuffles_freed
@@ -394,7 +394,7 @@ def keep_first(docs: DataFrame, id_: str = "doc_id", text: str = "text", **optio
     found = near_duplicates(docs, named, text, **options)
     dropped = found.filter((F.col("n_shingles") > 0) & (F.col("component_id") < F.col("doc_id"))).select(F.col("doc_id").alias(other)).distinct()
     dropped = scratch.store(dropped, "near-copies")
-    return docs.join(dropped, F.col(named).cast("long") == F.col(other), "left_anti").drop(row)
+    return without(docs, F.col(named).cast("long"), dropped, options.get("few", FEW)).drop(row)
 
 
 def brute_force(texts: dict[int, str | None], size: int, numerator: int, denominator: int) -> dict[int, tuple[int, int]]:
